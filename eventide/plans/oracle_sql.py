@@ -49,3 +49,72 @@ ORACLE: dict[str, str] = {
         FROM ({_URL_COUNTS}) c) r
   WHERE rn <= 5""",
 }
+
+_K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+
+_ETL = """
+  WITH areas AS (SELECT n.n_name AS country, max(r.r_name) AS area
+                 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+                 WHERE r.r_name <> 'MIDDLE EAST' GROUP BY n.n_name)
+  SELECT l.l_returnflag AS type, l.l_discount AS score, l.l_linestatus AS level,
+         strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS dt, a.area
+  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+  LEFT JOIN areas a ON a.country = n.n_name"""
+
+_ORDER_STATUS = """
+  WITH s AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type = 'click'),
+       e AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type = 'purchase'),
+       m AS (SELECT s.user_id, s.event_id AS start_event_id, s.ts AS start_ts, s.value AS start_value,
+                    n.event_id AS n_event_id, n.ts AS n_ts, n.value AS n_value,
+                    coalesce(n.ts < s.ts + INTERVAL 1 HOUR, false) AS paid
+             FROM s LEFT JOIN LATERAL (
+                 SELECT e.event_id, e.ts, e.value FROM e
+                 WHERE e.user_id = s.user_id
+                   AND (e.ts > s.ts OR (e.ts = s.ts AND e.event_id > s.event_id))
+                 ORDER BY e.ts, e.event_id LIMIT 1) n ON TRUE)
+  SELECT user_id, start_event_id, start_ts, start_value,
+         CASE WHEN paid THEN n_event_id END AS end_event_id,
+         CASE WHEN paid THEN n_ts END AS end_ts,
+         CASE WHEN paid THEN n_value END AS end_value,
+         CASE WHEN paid THEN 'paid' ELSE 'timeout' END AS status
+  FROM m"""
+
+ORACLE.update({
+    "parse_behavior": f"""
+  SELECT user_id, {_K} AS item_id, {_K} % 10 AS category_id, event_type AS behavior,
+         epoch_us(ts) // 1000000 AS ts_seconds,
+         make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS event_time
+  FROM events""",
+    "parse_access_log": """
+  SELECT '10.0.' || (e.user_id % 256) || '.' || (p.page_id % 256) AS ip,
+         CAST(e.user_id AS VARCHAR) AS user_name, epoch_us(e.ts) // 1000 AS event_ms, 'GET' AS method,
+         p.url, make_timestamp((epoch_us(e.ts) // 1000) * 1000) AS event_time
+  FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
+  WHERE e.event_type = 'click'""",
+    "dimension_inverted": """
+  SELECT n.n_name AS country, max(r.r_name) AS area
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+  WHERE r.r_name <> 'MIDDLE EAST' GROUP BY n.n_name""",
+    "etl_enriched": _ETL,
+    "etl_enriched_json": f"""
+  SELECT '{{"type":"' || type || '","score":' || CAST(score AS VARCHAR)
+         || ',"level":"' || level || '","dt":"' || dt || '"'
+         || CASE WHEN area IS NULL THEN '' ELSE ',"area":"' || area || '"' END || '}}' AS value
+  FROM ({_ETL}) x""",
+    "adjacent_change": f"""
+  WITH e AS (SELECT user_id, event_id, ts, {_K} AS k FROM events WHERE user_id IS NOT NULL),
+       l AS (SELECT *, lag(event_id) OVER w AS prev_event_id, lag(ts) OVER w AS prev_ts,
+                    lag(k) OVER w AS prev_k, row_number() OVER w AS rn
+             FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+  SELECT user_id, event_id, ts, k, prev_event_id, prev_ts, prev_k
+  FROM l WHERE rn > 1 AND k IS DISTINCT FROM prev_k""",
+    "order_status": _ORDER_STATUS,
+    "order_paid": f"""
+  SELECT user_id, end_event_id AS event_id, end_ts AS ts, end_value AS value
+  FROM ({_ORDER_STATUS}) x WHERE status = 'paid'""",
+    "order_timeout": f"""
+  SELECT user_id, start_event_id AS event_id, start_ts AS ts, start_value AS value
+  FROM ({_ORDER_STATUS}) x WHERE status = 'timeout'""",
+})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hot
+from . import etl, hot, parsing, patterns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,4 +16,13 @@ QUERIES: dict[str, Query] = {
     "hot_items_report": hot.hot_items_report,
     "hot_urls_counts": hot.hot_urls_counts,
     "hot_urls_top5": hot.hot_urls_top5,
+    "parse_behavior": parsing.parse_behavior,
+    "parse_access_log": parsing.parse_access_log,
+    "dimension_inverted": etl.dimension_inverted,
+    "etl_enriched": etl.etl_enriched,
+    "etl_enriched_json": etl.etl_enriched_json,
+    "adjacent_change": patterns.adjacent_change_q,
+    "order_status": patterns.order_status,
+    "order_paid": patterns.order_paid,
+    "order_timeout": patterns.order_timeout,
 }
