@@ -86,29 +86,34 @@ def parse_delimited(df: DataFrame, value: str, schema, sep: str = ",",
     raise ValueError(f"on_error must be fail, drop or quarantine, not {on_error!r}")
 
 
+def _epoch() -> Column:
+    return F.expr(EPOCH_NTZ)
+
+
 def epoch_seconds_to_ts(c) -> Column:
     """Epoch seconds -> ``timestamp_ntz``."""
-    return F.expr(f"timestampadd(SECOND, {_sql(c)}, {EPOCH_NTZ})")
+    return F.timestamp_add("SECOND", _col(c), _epoch())
 
 
 def epoch_millis_to_ts(c) -> Column:
     """Epoch milliseconds -> ``timestamp_ntz``."""
-    return F.expr(f"timestampadd(MILLISECOND, {_sql(c)}, {EPOCH_NTZ})")
+    return F.timestamp_add("MILLISECOND", _col(c), _epoch())
 
 
 def ts_to_epoch_seconds(c) -> Column:
     """``timestamp_ntz`` -> whole epoch seconds (fraction dropped)."""
-    return F.expr(f"timestampdiff(SECOND, {EPOCH_NTZ}, {_sql(c)})")
+    return F.timestamp_diff("SECOND", _epoch(), _col(c))
 
 
 def ts_to_epoch_millis(c) -> Column:
-    return F.expr(f"timestampdiff(MILLISECOND, {EPOCH_NTZ}, {_sql(c)})")
+    return F.timestamp_diff("MILLISECOND", _epoch(), _col(c))
 
 
 def truncate_to_millis(ts) -> Column:
     """Drop sub-millisecond digits of a ``timestamp_ntz`` (truncates, .1249 -> .124)."""
-    t = _sql(ts)
-    return F.expr(f"timestampadd(MICROSECOND, -(CAST(extract(SECOND FROM {t}) * 1000000 AS BIGINT) % 1000), {t})")
+    t = _col(ts)
+    micros = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint") % 1000
+    return F.timestamp_add("MICROSECOND", -micros, t)
 
 
 def to_timestamp3(text) -> Column:
@@ -129,9 +134,3 @@ def parse_datetime(text, fmt: str = "yyyy-MM-dd HH:mm:ss", epoch0: bool = False)
 def substr0(text, n: int) -> Column:
     """First ``n`` characters (SQL ``substring(text, 0, n)`` in the jobs, P9)."""
     return F.substring(_col(text), 1, n)
-
-
-def _sql(c) -> str:
-    if isinstance(c, str):
-        return f"`{c}`"
-    raise TypeError("pass a column name")

@@ -118,3 +118,67 @@ ORACLE.update({
   SELECT user_id, start_event_id AS event_id, start_ts AS ts, start_value AS value
   FROM ({_ORDER_STATUS}) x WHERE status = 'timeout'""",
 })
+
+_DECODED = f"""
+  WITH e AS (SELECT event_id AS seq, user_id AS id, event_type AS name, event_type,
+                    CAST({_K} AS INTEGER) AS age, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS birthday, ts
+             FROM events),
+       l AS (SELECT *, lag(name) OVER w AS p_name, lag(age) OVER w AS p_age,
+                    lag(birthday) OVER w AS p_birthday, row_number() OVER w AS rn
+             FROM e WINDOW w AS (PARTITION BY id ORDER BY ts, seq))
+  SELECT seq, '+I' AS kind, id, name, age, birthday FROM l WHERE event_type = 'signup'
+  UNION ALL SELECT seq, '-D', id, name, age, birthday FROM l WHERE event_type = 'error'
+  UNION ALL SELECT seq, '-U', id, p_name, p_age, p_birthday FROM l
+            WHERE event_type NOT IN ('signup', 'error') AND rn > 1
+  UNION ALL SELECT seq, '+U', id, name, age, birthday FROM l
+            WHERE event_type NOT IN ('signup', 'error')"""
+
+_ORDERS_T = """
+  SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS partition_day,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1
+              WHEN o_orderpriority = '3-MEDIUM' THEN 2 ELSE 3 END AS c
+  FROM orders"""
+
+_SNAPSHOT = f"""
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, partition_day
+  FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+                                     ORDER BY o_orderdate DESC, o_orderkey DESC, c DESC) AS rn
+        FROM ({_ORDERS_T}) t) r
+  WHERE rn = 1"""
+
+ORACLE.update({
+    "changes_decoded": _DECODED,
+    "changes_encoded": f"""
+  SELECT seq, kind,
+         CASE WHEN kind IN ('+I', '+U') THEN '{{"after":' ELSE '{{"before":' END
+         || '{{"id":' || id || ',"name":"' || name || '","age":' || age
+         || ',"birthday":"' || birthday || '"}},"op":"'
+         || CASE WHEN kind IN ('+I', '+U') THEN 'c' ELSE 'd' END || '"}}' AS value
+  FROM ({_DECODED}) d""",
+    "latest_state": f"""
+  SELECT id, name, age, birthday, ts, partition_day
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, seq DESC) AS rn
+        FROM (SELECT *, make_timestamp((epoch_us(CAST(birthday AS TIMESTAMP)) // 1000) * 1000) AS ts,
+                     substring(birthday, 1, 10) AS partition_day
+              FROM ({_DECODED}) d WHERE kind IN ('+I', '+U', '-D')) x) r
+  WHERE rn = 1 AND kind <> '-D'""",
+    "order_derived": """
+  SELECT strftime(ts, '%Y%m%d%H%M%S') || substring(strftime(ts, '%f'), 1, 3) || event_id AS orderId,
+         CAST(user_id AS VARCHAR) AS userId,
+         strftime(ts, '%Y-%m-%d %H:%M:%S.') || substring(strftime(ts, '%f'), 1, 3) AS orderTime,
+         '10.0.0.' || (user_id % 256) AS ip, value AS orderMoney,
+         CAST(CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS INTEGER) AS orderStatus,
+         strftime(ts, '%Y%m%d%H%M%S') || substring(strftime(ts, '%f'), 1, 3) AS ts,
+         strftime(ts, '%Y-%m-%d') AS partition_day
+  FROM events""",
+    "upsert_snapshot": _SNAPSHOT,
+    "compacted_snapshot": _SNAPSHOT,
+    "changes_since": f"""
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+         partition_day, 'U' AS _op, CAST(c AS BIGINT) AS _commit
+  FROM (SELECT *, row_number() OVER (PARTITION BY c, o_custkey
+                                     ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+        FROM ({_ORDERS_T}) t) r
+  WHERE rn = 1 AND c > 1""",
+    "limit20": f"SELECT * FROM ({_SNAPSHOT}) s ORDER BY o_custkey LIMIT 20",
+})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import etl, hot, parsing, patterns
+from . import cdc, etl, hot, parsing, patterns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,4 +25,12 @@ QUERIES: dict[str, Query] = {
     "order_status": patterns.order_status,
     "order_paid": patterns.order_paid,
     "order_timeout": patterns.order_timeout,
+    "order_derived": cdc.order_derived,
+    "changes_decoded": cdc.changes_decoded,
+    "changes_encoded": cdc.changes_encoded,
+    "latest_state": cdc.latest_state,
+    "upsert_snapshot": cdc.upsert_snapshot,
+    "changes_since": cdc.changes_since,
+    "compacted_snapshot": cdc.compacted_snapshot,
+    "limit20": cdc.limit20,
 }
