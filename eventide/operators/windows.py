@@ -5,13 +5,21 @@ Two plans compute the same result:
 * ``method="window"`` -- Spark's ``window(ts, size, slide)``: every input row
   is expanded into ``size/slide`` windows before aggregation.
 * ``method="panes"`` (default) -- count per key and *pane* of length
-  ``gcd(size, slide)`` first (partial aggregation map-side, so only one row per
-  key and pane crosses the shuffle), then assign each pane to the windows that
-  contain it with a second ``window()`` over the pane start and add the pane
-  counts. A pane ``[p, p+g)`` lies in ``[s, s+size)`` exactly when
-  ``s <= p < s+size`` because ``s``, ``size`` and ``p`` are multiples of ``g``,
-  so the result equals the first plan row for row; the fan-out (12x for
-  1 h/5 min, 120x for 10 min/5 s) happens after pre-aggregation.
+  ``g = gcd(size, slide)`` first (partial aggregation map-side, so only one
+  row per key and pane crosses the shuffle), then add each pane count to
+  every window containing the pane. A pane ``[p, p+g)`` lies in
+  ``[s, s+size)`` exactly when ``s <= p < s+size`` because ``s``, ``size``
+  and ``p`` are multiples of ``g``, so the result equals the first plan row
+  for row. The windows of a pane are generated by exploding the window
+  offsets ``0 .. ceil(size/slide)-1`` from the last window start at or before
+  the pane: one small array per pane instead of the ``size/slide``-way
+  ``Expand`` of ``window()``, which at 120 windows no longer compiles into
+  whole-stage code. The fan-out (12x for 1 h/5 min, 120x for 10 min/5 s)
+  happens after pre-aggregation and after the shuffle: pane counts are
+  hash-partitioned by ``(key, time bucket)`` (a pane near a bucket end is
+  copied into the next bucket too), and each partition generates and sums
+  its windows locally. Only pane counts cross the network, and a hot key is
+  spread over its buckets.
 
 Windows are half open ``[start, end)``; an event exactly on a slide boundary
 belongs to the windows starting there. Only windows holding at least one row
@@ -24,6 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.intervals import interval_str, interval_us, pane_us
+from ..functions.timebucket import floor_time, shift
+
+
+DEFAULT_SPLIT = "1 day"
 
 
 def _names(keys) -> list[str]:
@@ -32,13 +44,16 @@ def _names(keys) -> list[str]:
 
 def sliding_counts(df: DataFrame, keys, ts: str, size, slide,
                    method: str = "panes", count_col: str = "n",
-                   with_start: bool = False, weight: str | None = None) -> DataFrame:
+                   with_start: bool = False, weight: str | None = None,
+                   split=None) -> DataFrame:
     """Rows per key and sliding window.
 
     Returns ``keys..., [window_start], window_end, <count_col>`` (count is a
     bigint). ``size``/``slide`` are interval strings, seconds or timedeltas.
     ``weight`` names a column of pre-counted rows (for instance the output of
     :func:`pane_counts` joined to a lookup) to add instead of counting rows.
+    ``split`` is the time-bucket length of the pane plan (default one day,
+    never less than ``size``).
     """
     keys = _names(keys)
     size_s = interval_str(interval_us(size))
@@ -47,19 +62,49 @@ def sliding_counts(df: DataFrame, keys, ts: str, size, slide,
     if method == "window":
         agg = (df.groupBy(*keys, F.window(ts, size_s, slide_s).alias("_w"))
                  .agg(measure.cast("bigint").alias(count_col)))
-    elif method == "panes":
-        g = interval_str(pane_us(size, slide))
-        panes = (df.groupBy(*keys, F.window(ts, g).start.alias("_pane"))
-                   .agg(measure.alias("_pn")))
-        agg = (panes.groupBy(*keys, F.window("_pane", size_s, slide_s).alias("_w"))
-                    .agg(F.sum("_pn").cast("bigint").alias(count_col)))
-    else:
+        cols: list[Column] = [F.col(k) for k in keys]
+        if with_start:
+            cols.append(F.col("_w.start").alias("window_start"))
+        cols += [F.col("_w.end").alias("window_end"), F.col(count_col)]
+        return agg.select(*cols)
+    if method != "panes":
         raise ValueError(f"unknown method {method!r}")
-    cols: list[Column] = [F.col(k) for k in keys]
+    size_us, slide_us, g_us = interval_us(size), interval_us(slide), pane_us(size, slide)
+    bucket_us = max(size_us, interval_us(split or DEFAULT_SPLIT))
+    panes = (df.groupBy(*keys, F.window(ts, interval_str(g_us)).start.alias("_pane"))
+               .agg(measure.alias("_pn")))
+
+    tdt = panes.schema["_pane"].dataType
+
+    def bucket(c):
+        return floor_time(c, bucket_us, tdt)
+
+    # Window ends of a pane lie in (p, p + size]; with buckets at least `size`
+    # long that is one bucket or two neighbours.
+    first = bucket(shift(F.col("_pane"), g_us))
+    last = bucket(shift(F.col("_pane"), size_us))
+    # An explicit partition count: the pane table is small next to the window
+    # rows it fans out to, so letting AQE coalesce it by size would put the
+    # whole fan-out into a few tasks.
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = (panes.withColumn("_b", F.explode(F.array_distinct(F.array(first, last))))
+                   .repartition(n_parts, *keys, "_b"))
+    n_windows = -(-size_us // slide_us)
+    offsets = F.sequence(F.lit(0).cast("bigint"), F.lit(n_windows - 1).cast("bigint"))
+    ends = (spread.select(*keys, "_b", "_pn", "_pane", F.explode(offsets).alias("_i"),
+                          floor_time(F.col("_pane"), slide_us, tdt).alias("_s0"))
+                  .select(*keys, "_b", "_pn", "_pane",
+                          shift(F.col("_s0"), F.lit(size_us) - F.col("_i") * F.lit(slide_us)).alias("window_end"))
+                  .where((F.col("window_end") > F.col("_pane"))
+                         & (F.col("window_end") >= F.col("_b"))
+                         & (F.col("window_end") < shift(F.col("_b"), bucket_us))))
+    # Grouping by (keys, _b, window_end) reuses the (keys, _b) partitioning:
+    # no second exchange of the fanned-out rows.
+    agg = ends.groupBy(*keys, "_b", "window_end").agg(F.sum("_pn").cast("bigint").alias(count_col))
+    cols = [F.col(k) for k in keys]
     if with_start:
-        cols.append(F.col("_w.start").alias("window_start"))
-    cols += [F.col("_w.end").alias("window_end"), F.col(count_col)]
-    return agg.select(*cols)
+        cols.append(F.timestamp_add("MICROSECOND", F.lit(-size_us), F.col("window_end")).alias("window_start"))
+    return agg.select(*cols, "window_end", count_col)
 
 
 def pane_counts(df: DataFrame, keys, ts: str, pane) -> DataFrame:
