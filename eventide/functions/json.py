@@ -33,7 +33,8 @@ def parse_json(df: DataFrame, value: str, schema, on_error: str = "fail",
     if on_error == "fail":
         guard = F.when(bad, F.raise_error(F.concat(F.lit("malformed JSON: "),
                                                   F.coalesce(F.col("_raw"), F.lit("NULL")))))
-        return tmp.select(*keep_cols, body, guard.alias("_guard")).drop("_guard")
+        # A filter predicate, so the check cannot be pruned away with a column.
+        return tmp.where(guard.otherwise(F.lit(True))).select(*keep_cols, body)
     if on_error == "drop":
         return tmp.where(~bad).select(*keep_cols, body)
     if on_error == "quarantine":

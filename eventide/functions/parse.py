@@ -75,9 +75,10 @@ def parse_delimited(df: DataFrame, value: str, schema, sep: str = ",",
         bad = bad | raw.isNull() | conv.isNull()
     keep_cols = [F.col(k) for k in (keep or [])]
     if on_error == "fail":
+        # A filter predicate, so the check cannot be pruned away with a column.
         guard = F.when(bad, F.raise_error(F.concat(F.lit("malformed line: "),
                                                   F.coalesce(F.col(value), F.lit("NULL")))))
-        return df.select(*keep_cols, *fields, guard.alias("_guard")).drop("_guard")
+        return df.where(guard.otherwise(F.lit(True))).select(*keep_cols, *fields)
     if on_error == "drop":
         return df.where(~bad).select(*keep_cols, *fields)
     if on_error == "quarantine":
