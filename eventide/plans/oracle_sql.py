@@ -182,3 +182,8 @@ ORACLE.update({
   WHERE rn = 1 AND c > 1""",
     "limit20": f"SELECT * FROM ({_SNAPSHOT}) s ORDER BY o_custkey LIMIT 20",
 })
+
+# Streaming forms produce exactly the rows of their batch queries.
+for _name in ("hot_items_top5", "order_status", "adjacent_change", "etl_enriched",
+              "upsert_snapshot", "changes_since"):
+    ORACLE[f"stream_{_name}"] = ORACLE[_name]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cdc, etl, hot, parsing, patterns
+from . import cdc, etl, hot, parsing, patterns, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,4 +33,10 @@ QUERIES: dict[str, Query] = {
     "changes_since": cdc.changes_since,
     "compacted_snapshot": cdc.compacted_snapshot,
     "limit20": cdc.limit20,
+    "stream_hot_items_top5": streams.stream_hot_items_top5,
+    "stream_order_status": streams.stream_order_status,
+    "stream_adjacent_change": streams.stream_adjacent_change_q,
+    "stream_etl_enriched": streams.stream_etl_enriched,
+    "stream_upsert_snapshot": streams.stream_upsert_snapshot,
+    "stream_changes_since": streams.stream_changes_since,
 }
