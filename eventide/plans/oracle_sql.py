@@ -187,3 +187,4 @@ ORACLE.update({
 for _name in ("hot_items_top5", "order_status", "adjacent_change", "etl_enriched",
               "upsert_snapshot", "changes_since"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
+ORACLE["behavior_text_roundtrip"] = ORACLE["parse_behavior"]

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import (epoch_millis_to_ts, epoch_seconds_to_ts, parse_delimited,
                                ts_to_epoch_millis, ts_to_epoch_seconds)
+from ..session import scratch_path
+from ..sources.lines import read_lines, write_lines
 from ..sources.tables import read_table
 
 BEHAVIOR_SCHEMA = "user_id bigint, item_id bigint, category_id bigint, behavior string, ts_seconds bigint"
@@ -47,3 +49,11 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parse_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = parse_delimited(access_lines(spark, sf_dir), "value", ACCESS_SCHEMA)
     return p.withColumn("event_time", epoch_millis_to_ts("event_ms"))
+
+
+def behavior_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behaviour lines written as a text topic stand-in, read back and parsed."""
+    path = scratch_path(spark, "behavior-lines")
+    write_lines(behavior_lines(spark, sf_dir), path)
+    p = parse_delimited(read_lines(spark, path), "value", BEHAVIOR_SCHEMA)
+    return p.withColumn("event_time", epoch_seconds_to_ts("ts_seconds"))

@@ -18,6 +18,7 @@ QUERIES: dict[str, Query] = {
     "hot_urls_top5": hot.hot_urls_top5,
     "parse_behavior": parsing.parse_behavior,
     "parse_access_log": parsing.parse_access_log,
+    "behavior_text_roundtrip": parsing.behavior_text_roundtrip,
     "dimension_inverted": etl.dimension_inverted,
     "etl_enriched": etl.etl_enriched,
     "etl_enriched_json": etl.etl_enriched_json,
