@@ -24,21 +24,23 @@ def parse_json(df: DataFrame, value: str, schema, on_error: str = "fail",
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    tmp = df.select(*(keep or []), F.col(value).alias("_raw"), parsed.alias("_p"))
+    keep_cols = [F.col(k) for k in (keep or [])]
+    # Parse once in its own projection; the checks and the output read the
+    # parsed struct. (A Filter here would be pushed below it and re-parse.)
+    tmp = df.select(*keep_cols, F.col(value).alias("_raw"), parsed.alias("_p"))
     bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
     for r in required or []:
         bad = bad | F.col(f"_p.{r}").isNull()
-    body = F.struct(*[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields]).alias(out)
-    keep_cols = [F.col(k) for k in (keep or [])]
+    body = F.struct(*[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields])
     if on_error == "fail":
-        guard = F.when(bad, F.raise_error(F.concat(F.lit("malformed JSON: "),
-                                                  F.coalesce(F.col("_raw"), F.lit("NULL")))))
-        # A filter predicate, so the check cannot be pruned away with a column.
-        return tmp.where(guard.otherwise(F.lit(True))).select(*keep_cols, body)
+        boom = F.raise_error(F.concat(F.lit("malformed JSON: "),
+                                      F.coalesce(F.col("_raw"), F.lit("NULL"))))
+        return tmp.select(*keep_cols, F.when(bad, boom).otherwise(body).alias(out))
     if on_error == "drop":
-        return tmp.where(~bad).select(*keep_cols, body)
+        t2 = tmp.select(*keep_cols, F.struct(body.alias(out)).alias("_row"), bad.alias("_bad"))
+        return t2.select(*keep_cols, F.inline(F.when(~F.col("_bad"), F.array(F.col("_row")))))
     if on_error == "quarantine":
-        return tmp.select(*keep_cols, body, F.when(bad, F.col("_raw")).alias(error_col))
+        return tmp.select(*keep_cols, body.alias(out), F.when(bad, F.col("_raw")).alias(error_col))
     raise ValueError(f"on_error must be fail, drop or quarantine, not {on_error!r}")
 
 

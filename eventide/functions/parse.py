@@ -71,22 +71,36 @@ def parse_delimited(df: DataFrame, value: str, schema, sep: str = ",",
     for i, f in enumerate(schema.fields):
         raw = F.get(parts, i)
         conv = typed_field(raw, f.dataType)
-        fields.append(conv.alias(f.name))
+        fields.append((f.name, conv))
         bad = bad | raw.isNull() | conv.isNull()
     keep_cols = [F.col(k) for k in (keep or [])]
+    # Everything is computed in projections, where Spark evaluates the shared
+    # split once per row. (A Filter on `bad` would be pushed below the
+    # projection and re-split the line for every field it references.)
     if on_error == "fail":
-        # A filter predicate, so the check cannot be pruned away with a column.
-        guard = F.when(bad, F.raise_error(F.concat(F.lit("malformed line: "),
-                                                  F.coalesce(F.col(value), F.lit("NULL")))))
-        return df.where(guard.otherwise(F.lit(True))).select(*keep_cols, *fields)
+        boom = F.raise_error(F.concat(F.lit("malformed line: "),
+                                      F.coalesce(F.col(value), F.lit("NULL"))))
+        return df.select(*keep_cols, *[F.when(bad, boom).otherwise(c).alias(n) for n, c in fields])
     if on_error == "drop":
-        return df.where(~bad).select(*keep_cols, *fields)
+        return drop_bad(df.select(*keep_cols, F.struct(*[c.alias(n) for n, c in fields]).alias("_row"),
+                                  bad.alias("_bad")), keep or [])
     if on_error == "quarantine":
-        return df.select(*keep_cols, *fields,
+        return df.select(*keep_cols, *[c.alias(n) for n, c in fields],
                          F.when(bad, F.col(value)).alias(error_col))
     raise ValueError(f"on_error must be fail, drop or quarantine, not {on_error!r}")
 
 
+def drop_bad(df: DataFrame, keep: list[str], row: str = "_row", bad: str = "_bad") -> DataFrame:
+    """``keep`` columns plus the fields of struct ``row``, for rows where ``bad`` is false.
+
+    Written as ``inline(CASE WHEN NOT bad THEN array(row) END)`` rather than a
+    filter, so the optimizer cannot push the test below the projection that
+    computes ``row`` and ``bad`` once per input row.
+    """
+    return df.select(*[F.col(k) for k in keep],
+                     F.inline(F.when(~F.col(bad), F.array(F.col(row)))))
+
+
 def _epoch() -> Column:
     return F.expr(EPOCH_NTZ)
 

@@ -39,8 +39,8 @@ def decode_changes(df: DataFrame, value: str, row_schema, keep: list[str] | None
                         T.StructField("op", T.StringType()), T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), env,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    e = df.select(*(keep or []), parsed.alias("_e")).where(
-        F.col("_e").isNotNull() & F.col(f"_e.{CORRUPT}").isNull())
+    e = df.select(*(keep or []), parsed.alias("_e"))
+    ok = F.col("_e").isNotNull() & F.col(f"_e.{CORRUPT}").isNull()
 
     def change(kind, side):
         return F.struct(F.lit(kind).alias("k"), F.col(f"_e.{side}").alias("r"))
@@ -49,7 +49,10 @@ def decode_changes(df: DataFrame, value: str, row_schema, keep: list[str] | None
     rows = (F.when(op.isin("c", "r"), F.array(change(INSERT, "after")))
              .when(op == "u", F.array(change(UPDATE_BEFORE, "before"), change(UPDATE_AFTER, "after")))
              .when(op == "d", F.array(change(DELETE, "before"))))
-    x = e.select(*(keep or []), F.explode(rows).alias("_c")).where(F.col("_c.r").isNotNull())
+    # The validity test sits inside the generator, not in a Filter that the
+    # optimizer would push below the parse and evaluate with its own from_json.
+    x = (e.select(*(keep or []), F.explode(F.when(ok, rows)).alias("_c"))
+          .where(F.col("_c.r").isNotNull()))
     return x.select(*(keep or []), F.col("_c.k").alias(kind_col),
                     *[F.col(f"_c.r.{f.name}").alias(f.name) for f in rs.fields])
 
