@@ -2,14 +2,19 @@
 
 Layout under ``path``::
 
-    log/evt_commit=<n>/*.parquet                   one folder per commit, rows sorted by day
-    base/evt_version=<n>/evt_part=<day>/*.parquet  compacted snapshots, one folder per day
-    versions/evt_version=<n>/*.parquet             written after a base is complete
-
-Commits are small and frequent, so a commit is written as a few files sorted
-by day (Parquet statistics still skip other days) rather than one file per
-day and task; compaction writes the day folders, with a ``rebalance`` hint
-so AQE splits a hot day over several files and packs small days together.
+    log/evt_commit=<n>/*.parquet      one folder per commit, rows sorted by day
+    base/evt_version=<n>/*.parquet    compacted snapshots, range-partitioned by (day, key)
+    versions/evt_version=<n>/*.parquet  written after a base is complete
+
+Rows are never laid out one folder per day by default: a snapshot has to
+merge every day anyway (a key can move between days), so day folders would
+not prune a snapshot read, and small days would cost one file each. Commits
+are written as a few files sorted by day; compaction range-partitions the
+merged rows by ``(day, key)`` -- equal row counts per task, a large day split
+over several files, runs of small days sharing one -- so every file covers a
+contiguous day range and Parquet statistics skip the other days.
+``compact(..., day_folders=True)`` writes Hive-style ``<partition>=<day>``
+folders instead, for external readers of the base.
 
 Every stored row carries the table columns plus ``_op`` (``U`` upsert or
 ``D`` delete), ``_commit`` and ``_seq`` (arrival order within the commit).
@@ -124,7 +129,8 @@ def read_changes_since(spark: SparkSession, path: str, commit: int) -> DataFrame
     return log.where(F.col(COMMIT_DIR) > int(commit)).drop(COMMIT_DIR, "_seq")
 
 
-def compact(spark: SparkSession, path: str, keys, ordering, partition: str) -> int | None:
+def compact(spark: SparkSession, path: str, keys, ordering, partition: str,
+            day_folders: bool = False) -> int | None:
     """Write the merged state as a new base version (U5); returns its number.
 
     Deleted winners are dropped from the base. The version is the last
@@ -136,9 +142,12 @@ def compact(spark: SparkSession, path: str, keys, ordering, partition: str) -> i
         return None
     last = log.agg(F.max(COMMIT_DIR)).first()[0]
     m = merged(spark, path, keys, ordering).where(F.col("_op") != "D")
-    (m.withColumn(PART_DIR, F.col(partition)).hint("rebalance", PART_DIR)
-      .write.mode("overwrite").partitionBy(PART_DIR)
-      .parquet(f"{path}/base/{VERSION_DIR}={last}"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = m.repartitionByRange(n, partition, *_keys(keys)).sortWithinPartitions(partition)
+    w = ranged.write.mode("overwrite")
+    if day_folders:
+        w = ranged.withColumn(PART_DIR, F.col(partition)).write.mode("overwrite").partitionBy(PART_DIR)
+    w.parquet(f"{path}/base/{VERSION_DIR}={last}")
     (spark.range(1).select(F.lit(int(last)).cast("bigint").alias("_marker"))
           .write.mode("overwrite").parquet(f"{path}/versions/{VERSION_DIR}={last}"))
     return last

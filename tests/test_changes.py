@@ -64,5 +64,7 @@ def test_upsert_rules(spark):
     assert _snap(spark, path) == [(1, "new", "d2"), (2, "moved", "d3")]
     snap = read_snapshot(spark, path, "id", "ts")
     assert snap.where(F.col("day") == "d1").count() == 0      # the last key left d1
-    assert compact(spark, path, "id", "ts", "day") == 3
+    assert compact(spark, path, "id", "ts", "day", day_folders=True) == 3
     assert _snap(spark, path) == [(1, "new", "d2"), (2, "moved", "d3")]
+    import glob
+    assert sorted(p.rsplit("=", 1)[1] for p in glob.glob(f"{path}/base/evt_version=3/evt_part=*")) == ["d2", "d3"]
