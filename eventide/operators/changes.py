@@ -50,9 +50,11 @@ def decode_changes(df: DataFrame, value: str, row_schema, keep: list[str] | None
              .when(op == "u", F.array(change(UPDATE_BEFORE, "before"), change(UPDATE_AFTER, "after")))
              .when(op == "d", F.array(change(DELETE, "before"))))
     # The validity test sits inside the generator, not in a Filter that the
-    # optimizer would push below the parse and evaluate with its own from_json.
-    x = (e.select(*(keep or []), F.explode(F.when(ok, rows)).alias("_c"))
-          .where(F.col("_c.r").isNotNull()))
+    # optimizer would push below the parse and evaluate with its own
+    # from_json; posexplode_outer keeps it from inferring one from the
+    # generator (a NULL array yields a NULL `_c`, dropped by the test on it).
+    x = (e.select(*(keep or []), F.posexplode_outer(F.when(ok, rows)).alias("_pos", "_c"))
+          .where(F.col("_c.r").isNotNull()).drop("_pos"))
     return x.select(*(keep or []), F.col("_c.k").alias(kind_col),
                     *[F.col(f"_c.r.{f.name}").alias(f.name) for f in rs.fields])
 

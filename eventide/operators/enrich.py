@@ -37,6 +37,20 @@ def invert_groups(df: DataFrame, group: str, members: str, sep: str = ",",
               .groupBy(member).agg(F.max("_g").alias(group)))
 
 
+def explode_rows(df: DataFrame, array_col: str, out: str) -> DataFrame:
+    """``explode``: one row per element (NULL elements included), none for an
+    empty or NULL array.
+
+    Written as ``posexplode_outer`` plus a test on the position: a plain
+    ``explode`` lets the optimizer infer ``size(array) > 0`` and push it below
+    the projection that builds the array (for instance a ``from_json``),
+    which then runs twice per row. A predicate on generator output stays put.
+    """
+    rest = [c for c in df.columns if c != array_col]
+    return (df.select(*rest, F.posexplode_outer(array_col).alias("_pos", out))
+              .where(F.col("_pos").isNotNull()).drop("_pos"))
+
+
 def explode_enrich(msgs: DataFrame, array_col: str, carry: list[str],
                    dim: DataFrame | None = None, key: str | None = None,
                    dim_key: str | None = None, dim_value: str | None = None,
@@ -56,9 +70,9 @@ def explode_enrich(msgs: DataFrame, array_col: str, carry: list[str],
     ``dim_value``. The message stream is never shuffled when the dimension is
     broadcast.
     """
-    exploded = msgs.select(*[F.col(c) for c in carry],
-                           *([F.col(key).alias("_key")] if dim is not None else []),
-                           F.explode(F.col(array_col)).alias("_el"))
+    exploded = explode_rows(msgs.select(*[F.col(c) for c in carry],
+                                        *([F.col(key).alias("_key")] if dim is not None else []),
+                                        F.col(array_col).alias("_arr")), "_arr", "_el")
     if element_fields is None:
         element_fields = [f.name for f in exploded.schema["_el"].dataType.fields]
     own = [f for f in element_fields if f not in carry and f != dim_value]
