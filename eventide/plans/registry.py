@@ -36,6 +36,7 @@ QUERIES: dict[str, Query] = {
     "limit20": cdc.limit20,
     "stream_hot_items_top5": streams.stream_hot_items_top5,
     "stream_order_status": streams.stream_order_status,
+    "stream_order_timeout": streams.stream_order_timeout,
     "stream_adjacent_change": streams.stream_adjacent_change_q,
     "stream_etl_enriched": streams.stream_etl_enriched,
     "stream_upsert_snapshot": streams.stream_upsert_snapshot,

@@ -22,7 +22,7 @@ from ..session import scratch_path
 from ..sources.tables import read_table
 from ..streaming.enrich import DimensionSnapshot, enrich_per_batch
 from ..streaming.patterns import stream_adjacent_change, stream_followed_by_within
-from ..streaming.runner import append_markers, run_stream, stage_by_time
+from ..streaming.runner import append_markers, run_stream, split_outputs_per_batch, stage_by_time
 from ..streaming.topn import event_time, top_n_per_batch, window_counts_stream
 from ..streaming.upsert import stream_changes, upsert_per_batch
 from . import cdc, etl, hot, patterns
@@ -88,6 +88,26 @@ def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").where(F.col("start_event_id") >= 0)
 
 
+def stream_order_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main and side output from one stream: paid events and timed-out starts, two sinks."""
+    root = scratch_path(spark, "stream-order-outputs")
+    s = stream_followed_by_within(_staged_events(spark, sf_dir, root, ("click", "purchase")),
+                                  "user_id", "ts", "event_id",
+                                  F.col("event_type") == "click", F.col("event_type") == "purchase",
+                                  patterns.WITHIN, cols=["value"])
+    real = F.col("start_event_id") >= 0
+    outputs = {
+        f"{root}/paid": (real & (F.col("status") == "paid"),
+                         ["user_id", F.col("end_event_id").alias("event_id"),
+                          F.col("end_ts").alias("ts"), F.col("end_value").alias("value")]),
+        f"{root}/timeout": (real & (F.col("status") == "timeout"),
+                            ["user_id", F.col("start_event_id").alias("event_id"),
+                             F.col("start_ts").alias("ts"), F.col("start_value").alias("value")]),
+    }
+    _drain(run_stream(s, f"{root}/ckpt", foreach_batch=split_outputs_per_batch(outputs)))
+    return spark.read.parquet(f"{root}/timeout").drop("batch")
+
+
 def stream_adjacent_change_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-adjacent")
     ev = _staged_events(spark, sf_dir, root).where(F.col("event_id") >= 0).select(

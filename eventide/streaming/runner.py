@@ -70,3 +70,22 @@ def append_markers(markers, path: str, files_per_batch: int) -> None:
     """
     for k in (0, 1):
         markers(k).repartition(files_per_batch).write.mode("append").parquet(path)
+
+
+def split_outputs_per_batch(outputs: dict):
+    """``foreachBatch`` function writing one micro-batch to several sinks (K5).
+
+    ``outputs`` maps a sink path to ``(predicate Column, [columns])``. The
+    batch is persisted once so every sink reads the same rows without
+    recomputing the batch; each sink folder is ``<path>/batch=<id>``,
+    overwritten on replay.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        try:
+            for path, (pred, cols) in outputs.items():
+                (b.where(pred).select(*cols)
+                  .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
+        finally:
+            b.unpersist()
+    return write
