@@ -12,14 +12,3 @@ def epoch_of(dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampNTZType):
         return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
     return F.timestamp_seconds(F.lit(0))
-
-
-def floor_time(c: Column, width_us: int, dtype: T.DataType) -> Column:
-    """Start of the ``width_us`` bucket holding ``c`` (buckets aligned to the epoch)."""
-    e = epoch_of(dtype)
-    us = F.timestamp_diff("MICROSECOND", e, c)
-    return F.timestamp_add("MICROSECOND", us - F.pmod(us, F.lit(width_us)), e)
-
-
-def shift(c: Column, us) -> Column:
-    return F.timestamp_add("MICROSECOND", us if isinstance(us, Column) else F.lit(us), c)

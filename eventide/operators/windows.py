@@ -19,7 +19,8 @@ Two plans compute the same result:
   hash-partitioned by ``(key, time bucket)`` (a pane near a bucket end is
   copied into the next bucket too), and each partition generates and sums
   its windows locally. Only pane counts cross the network, and a hot key is
-  spread over its buckets.
+  spread over its buckets. Window arithmetic runs on bigint microseconds,
+  converted from and to timestamps once per pane and once per output row.
 
 Windows are half open ``[start, end)``; an event exactly on a slide boundary
 belongs to the windows starting there. Only windows holding at least one row
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.intervals import interval_str, interval_us, pane_us
-from ..functions.timebucket import floor_time, shift
+from ..functions.timebucket import epoch_of
 
 
 DEFAULT_SPLIT = "1 day"
@@ -75,36 +76,40 @@ def sliding_counts(df: DataFrame, keys, ts: str, size, slide,
                .agg(measure.alias("_pn")))
 
     tdt = panes.schema["_pane"].dataType
+    epoch = epoch_of(tdt)
 
-    def bucket(c):
-        return floor_time(c, bucket_us, tdt)
+    def floor_us(c, width):
+        return c - F.pmod(c, F.lit(width))
 
+    # From here on time is a bigint of microseconds: converted once per pane
+    # and once per output row, never per (pane, window) pair.
+    p_us = panes.select(*keys, "_pn", F.timestamp_diff("MICROSECOND", epoch, F.col("_pane")).alias("_p"))
     # Window ends of a pane lie in (p, p + size]; with buckets at least `size`
     # long that is one bucket or two neighbours.
-    first = bucket(shift(F.col("_pane"), g_us))
-    last = bucket(shift(F.col("_pane"), size_us))
+    first = floor_us(F.col("_p") + F.lit(g_us), bucket_us)
+    last = floor_us(F.col("_p") + F.lit(size_us), bucket_us)
     # An explicit partition count: the pane table is small next to the window
     # rows it fans out to, so letting AQE coalesce it by size would put the
     # whole fan-out into a few tasks.
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = (panes.withColumn("_b", F.explode(F.array_distinct(F.array(first, last))))
-                   .repartition(n_parts, *keys, "_b"))
+    spread = (p_us.withColumn("_b", F.explode(F.array_distinct(F.array(first, last))))
+                  .repartition(n_parts, *keys, "_b"))
     n_windows = -(-size_us // slide_us)
     offsets = F.sequence(F.lit(0).cast("bigint"), F.lit(n_windows - 1).cast("bigint"))
-    ends = (spread.select(*keys, "_b", "_pn", "_pane", F.explode(offsets).alias("_i"),
-                          floor_time(F.col("_pane"), slide_us, tdt).alias("_s0"))
-                  .select(*keys, "_b", "_pn", "_pane",
-                          shift(F.col("_s0"), F.lit(size_us) - F.col("_i") * F.lit(slide_us)).alias("window_end"))
-                  .where((F.col("window_end") > F.col("_pane"))
-                         & (F.col("window_end") >= F.col("_b"))
-                         & (F.col("window_end") < shift(F.col("_b"), bucket_us))))
-    # Grouping by (keys, _b, window_end) reuses the (keys, _b) partitioning:
+    ends = (spread.select(*keys, "_b", "_pn", "_p", F.explode(offsets).alias("_i"))
+                  .select(*keys, "_b", "_pn", "_p",
+                          (floor_us(F.col("_p"), slide_us) + F.lit(size_us)
+                           - F.col("_i") * F.lit(slide_us)).alias("_we"))
+                  .where((F.col("_we") > F.col("_p")) & (F.col("_we") >= F.col("_b"))
+                         & (F.col("_we") < F.col("_b") + F.lit(bucket_us))))
+    # Grouping by (keys, _b, _we) reuses the (keys, _b) partitioning:
     # no second exchange of the fanned-out rows.
-    agg = ends.groupBy(*keys, "_b", "window_end").agg(F.sum("_pn").cast("bigint").alias(count_col))
+    agg = ends.groupBy(*keys, "_b", "_we").agg(F.sum("_pn").cast("bigint").alias(count_col))
     cols = [F.col(k) for k in keys]
     if with_start:
-        cols.append(F.timestamp_add("MICROSECOND", F.lit(-size_us), F.col("window_end")).alias("window_start"))
-    return agg.select(*cols, "window_end", count_col)
+        cols.append(F.timestamp_add("MICROSECOND", F.col("_we") - F.lit(size_us), epoch).alias("window_start"))
+    return agg.select(*cols, F.timestamp_add("MICROSECOND", F.col("_we"), epoch).alias("window_end"),
+                      count_col)
 
 
 def pane_counts(df: DataFrame, keys, ts: str, pane) -> DataFrame:
