@@ -82,3 +82,41 @@ def explode_enrich(msgs: DataFrame, array_col: str, carry: list[str],
     d = dim.select(F.col(dim_key).alias("_key"), F.col(dim_value).alias("_val"))
     joined = exploded.join(bounded_broadcast(d, broadcast_max_rows), "_key", "left")
     return joined.select(*cols, F.col("_val").alias(dim_value))
+
+
+def explode_enrich_open(msgs: DataFrame, value: str, array_path: str, carry: dict[str, str],
+                        dim: DataFrame | None = None, key_path: str | None = None,
+                        dim_key: str | None = None, dim_value: str | None = None,
+                        on_error: str = "drop", out: str = "value",
+                        broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Open-key form of :func:`explode_enrich` over JSON text.
+
+    Elements keep whatever keys they have: each element is read as a VARIANT
+    object (``map<string, variant>``), the ``carry`` fields (name -> JSON
+    path in the message) and the looked-up ``dim_value`` replace keys of the
+    same name, and the element is written back as JSON text in ``out``.
+    NULL values are not added, so an unknown key has no ``dim_value`` key, as
+    in the reference output. Messages that are not JSON, or lack the array,
+    are dropped (``on_error="drop"``) or fail the job (``"fail"``).
+    """
+    v = F.try_parse_json(F.col(value))
+    arr = F.variant_get(v, array_path, "array<variant>")
+    bad = arr.isNull()
+    if on_error == "fail":
+        arr = F.when(bad, F.raise_error(F.concat(F.lit("malformed message: "),
+                                                 F.coalesce(F.col(value), F.lit("NULL"))))).otherwise(arr)
+    elif on_error != "drop":
+        raise ValueError("on_error must be drop or fail")
+    carried = [F.variant_get(v, path, "string").alias(name) for name, path in carry.items()]
+    keyed = [F.variant_get(v, key_path, "string").alias("_key")] if dim is not None else []
+    exploded = explode_rows(msgs.select(*carried, *keyed, arr.alias("_arr")), "_arr", "_el")
+    if dim is not None:
+        d = dim.select(F.col(dim_key).alias("_key"), F.col(dim_value).alias("_val"))
+        exploded = exploded.join(bounded_broadcast(d, broadcast_max_rows), "_key", "left")
+    replaced = list(carry) + ([dim_value] if dim is not None else [])
+    base = F.map_filter(F.col("_el").try_cast("map<string,variant>"), lambda k, _: ~k.isin(*replaced))
+    added = [(name, F.col(name)) for name in carry] + ([(dim_value, F.col("_val"))] if dim is not None else [])
+    empty = F.create_map().cast("map<string,variant>")
+    parts = [base] + [F.when(c.isNotNull(), F.create_map(F.lit(n), c.cast("variant"))).otherwise(empty)
+                      for n, c in added]
+    return exploded.select(F.to_json(F.map_concat(*parts)).alias(out))

@@ -3,7 +3,11 @@
 Messages are built from the order tables in the reference's message shape::
 
     {"dt": "<o_orderdate>", "countryCode": "<customer nation>",
-     "data": [{"type": l_returnflag, "score": l_discount, "level": l_linestatus}, ...]}
+     "data": [{"type": l_returnflag, "score": l_discount, "level": l_linestatus,
+               "line": l_linenumber}, ...]}
+
+The typed form reads the declared element fields (``line`` is ignored); the
+open form forwards every element key.
 
 The area dimension is the reference's ``area -> "c1,c2,..."`` hash, built
 from ``region``/``nation``. It publishes every region except MIDDLE EAST, so
@@ -16,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import parse_json, to_json_text
-from ..operators.enrich import explode_enrich, invert_groups
+from ..operators.enrich import explode_enrich, explode_enrich_open, invert_groups
 from ..sources.tables import read_table
 
 MESSAGE_SCHEMA = ("dt string, countryCode string, "
@@ -50,14 +54,16 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
              .groupBy("l_orderkey")
              .agg(F.collect_list(F.struct(F.col("l_returnflag").alias("type"),
                                           F.col("l_discount").alias("score"),
-                                          F.col("l_linestatus").alias("level"))).alias("data")))
+                                          F.col("l_linestatus").alias("level"),
+                                          F.col("l_linenumber").alias("line"))).alias("data")))
     o = (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
                .join(nation, F.col("c_nationkey") == nation.n_nationkey, "left")
                .join(lines, orders.o_orderkey == lines.l_orderkey, "left"))
     return o.select(to_json_text(
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("dt"),
         F.col("n_name").alias("countryCode"),
-        F.coalesce(F.col("data"), F.array().cast("array<struct<type:string,score:double,level:string>>")).alias("data"),
+        F.coalesce(F.col("data"), F.array().cast(
+            "array<struct<type:string,score:double,level:string,line:int>>")).alias("data"),
     ).alias("value"))
 
 
@@ -73,3 +79,10 @@ def etl_enriched_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The enriched elements as the JSON text the ETL job writes (P5)."""
     e = etl_enriched(spark, sf_dir)
     return e.select(to_json_text(*[F.col(c) for c in e.columns]).alias("value"))
+
+
+def etl_enriched_open_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open-key ETL: every element key is forwarded, ``dt`` and ``area`` added."""
+    return explode_enrich_open(messages(spark, sf_dir), "value", "$.data", {"dt": "$.dt"},
+                               dim=dimension_inverted(spark, sf_dir), key_path="$.countryCode",
+                               dim_key="country", dim_value="area")

@@ -57,7 +57,7 @@ _ETL = """
                  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
                  WHERE r.r_name <> 'MIDDLE EAST' GROUP BY n.n_name)
   SELECT l.l_returnflag AS type, l.l_discount AS score, l.l_linestatus AS level,
-         strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS dt, a.area
+         l.l_linenumber AS line, strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS dt, a.area
   FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
@@ -97,11 +97,18 @@ ORACLE.update({
   SELECT n.n_name AS country, max(r.r_name) AS area
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
   WHERE r.r_name <> 'MIDDLE EAST' GROUP BY n.n_name""",
-    "etl_enriched": _ETL,
+    "etl_enriched": f"SELECT type, score, level, dt, area FROM ({_ETL}) x",
     "etl_enriched_json": f"""
   SELECT '{{"type":"' || type || '","score":' || CAST(score AS VARCHAR)
          || ',"level":"' || level || '","dt":"' || dt || '"'
          || CASE WHEN area IS NULL THEN '' ELSE ',"area":"' || area || '"' END || '}}' AS value
+  FROM ({_ETL}) x""",
+    "etl_enriched_open_json": f"""
+  SELECT '{{"level":"' || level || '","line":' || line || ',"score":'
+         || CASE WHEN score = floor(score) THEN CAST(CAST(score AS BIGINT) AS VARCHAR)
+                 ELSE CAST(score AS VARCHAR) END
+         || ',"type":"' || type || '","dt":"' || dt || '"'
+         || CASE WHEN area IS NULL THEN '' ELSE ',"area":"' || area || '"' END || '}}' AS value
   FROM ({_ETL}) x""",
     "adjacent_change": f"""
   WITH e AS (SELECT user_id, event_id, ts, {_K} AS k FROM events WHERE user_id IS NOT NULL),

@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "dimension_inverted": etl.dimension_inverted,
     "etl_enriched": etl.etl_enriched,
     "etl_enriched_json": etl.etl_enriched_json,
+    "etl_enriched_open_json": etl.etl_enriched_open_json,
     "adjacent_change": patterns.adjacent_change_q,
     "order_status": patterns.order_status,
     "order_paid": patterns.order_paid,

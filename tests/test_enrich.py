@@ -44,3 +44,20 @@ def test_plan_broadcasts_checked_dimension(spark):
     big = explode_enrich(msgs, "data", carry=["dt"], dim=dim, key="countryCode",
                          dim_key="country", dim_value="area", broadcast_max_rows=0)
     assert big.count() == 1
+
+
+def test_open_keys_forwarded(spark):
+    from eventide.operators.enrich import explode_enrich_open
+    df = spark.createDataFrame([
+        ('{"dt":"D1","countryCode":"TW","data":[{"type":"s1","dt":"old","x":{"y":[1,2]}},{"type":"s2"}]}',),
+        ('{"dt":"D2","countryCode":"ZZ","data":[{"type":"s3","area":"stale"}]}',),
+        ('{"dt":"D3","countryCode":"TW","data":[]}',), ("not json",), ('{"dt":"D4"}',)], "value string")
+    dim = spark.createDataFrame([("TW", "AS")], "country string, area string")
+    out = explode_enrich_open(df, "value", "$.data", {"dt": "$.dt"}, dim=dim, key_path="$.countryCode",
+                              dim_key="country", dim_value="area")
+    got = sorted(json.dumps(json.loads(r.value), sort_keys=True) for r in out.collect())
+    want = sorted(json.dumps(x, sort_keys=True) for x in [
+        {"type": "s1", "x": {"y": [1, 2]}, "dt": "D1", "area": "AS"},
+        {"type": "s2", "dt": "D1", "area": "AS"},
+        {"type": "s3", "dt": "D2"}])
+    assert got == want
