@@ -46,25 +46,27 @@ def dimension_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``value``: one JSON message per order (orders without lines carry ``[]``)."""
+    """``value``: one JSON message per order (orders without lines carry ``[]``).
+
+    Orders are joined to their lines on the order key and then grouped by
+    it, so the group reuses the join's partitioning (no third shuffle) and a
+    message gathers only its own order's lines.
+    """
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    lines = (read_table(spark, sf_dir, "lineitem")
-             .groupBy("l_orderkey")
-             .agg(F.collect_list(F.struct(F.col("l_returnflag").alias("type"),
-                                          F.col("l_discount").alias("score"),
-                                          F.col("l_linestatus").alias("level"),
-                                          F.col("l_linenumber").alias("line"))).alias("data")))
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_returnflag", "l_discount", "l_linestatus", "l_linenumber")
     o = (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
                .join(nation, F.col("c_nationkey") == nation.n_nationkey, "left")
                .join(lines, orders.o_orderkey == lines.l_orderkey, "left"))
-    return o.select(to_json_text(
+    element = F.struct(F.col("l_returnflag").alias("type"), F.col("l_discount").alias("score"),
+                       F.col("l_linestatus").alias("level"), F.col("l_linenumber").alias("line"))
+    per_order = (o.groupBy("o_orderkey", "o_orderdate", "n_name")
+                  .agg(F.collect_list(F.when(F.col("l_orderkey").isNotNull(), element)).alias("data")))
+    return per_order.select(to_json_text(
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("dt"),
-        F.col("n_name").alias("countryCode"),
-        F.coalesce(F.col("data"), F.array().cast(
-            "array<struct<type:string,score:double,level:string,line:int>>")).alias("data"),
-    ).alias("value"))
+        F.col("n_name").alias("countryCode"), F.col("data")).alias("value"))
 
 
 def etl_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
