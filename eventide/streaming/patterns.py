@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.intervals import interval_us
+from ..functions.timebucket import instant_to_ntz, ntz_to_instant
 
 
 def stream_followed_by_within(events: DataFrame, key: str, ts: str, seq: str,
@@ -27,7 +28,13 @@ def stream_followed_by_within(events: DataFrame, key: str, ts: str, seq: str,
     """
     cols = list(cols)
     us = interval_us(within)
-    e = events.withColumn("_et", F.col(ts).cast("timestamp")).withWatermark("_et", delay)
+    ntz = isinstance(events.schema[ts].dataType, T.TimestampNTZType)
+    e = (events.withColumn("_et", ntz_to_instant(F.col(ts)) if ntz else F.col(ts))
+               .withWatermark("_et", delay))
+
+    def back(c: Column) -> Column:
+        return instant_to_ntz(c) if ntz else c
+
     starts = e.where(is_start).select(F.col(key).alias("_k"), F.col("_et").alias("_t1"),
                                       F.col(seq).alias("_s1"),
                                       *[F.col(c).alias(f"_c1_{c}") for c in cols])
@@ -45,10 +52,10 @@ def stream_followed_by_within(events: DataFrame, key: str, ts: str, seq: str,
     paid = F.col("_n.t").isNotNull()
     return agg.select(
         F.col("_k").alias(key), F.col("_s1").alias(f"start_{seq}"),
-        F.col("_t1").cast("timestamp_ntz").alias(f"start_{ts}"),
+        back(F.col("_t1")).alias(f"start_{ts}"),
         *[F.col(f"_c1_{c}").alias(f"start_{c}") for c in cols],
         F.when(paid, F.col("_n.s")).alias(f"end_{seq}"),
-        F.when(paid, F.col("_n.t").cast("timestamp_ntz")).alias(f"end_{ts}"),
+        F.when(paid, back(F.col("_n.t"))).alias(f"end_{ts}"),
         *[F.when(paid, F.col(f"_n.{c}")).alias(f"end_{c}") for c in cols],
         F.when(paid, F.lit("paid")).otherwise(F.lit("timeout")).alias("status"))
 

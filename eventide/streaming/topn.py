@@ -16,13 +16,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from ..functions.intervals import interval_str, interval_us
+from ..functions.timebucket import instant_to_ntz, ntz_to_instant
 from ..operators.topn import top_n
 
 
 def event_time(df: DataFrame, ts: str, delay: str = "0 seconds", out: str = "_et") -> DataFrame:
-    """Watermarked event-time column (``timestamp``; ``withWatermark`` rejects ``timestamp_ntz``)."""
-    return df.withColumn(out, F.col(ts).cast("timestamp")).withWatermark(out, delay)
+    """Watermarked event-time column (``timestamp``; ``withWatermark`` rejects ``timestamp_ntz``).
+
+    A ``timestamp_ntz`` input is mapped zone-independently (wall clock read as UTC).
+    """
+    et = ntz_to_instant(F.col(ts)) if isinstance(df.schema[ts].dataType, T.TimestampNTZType) else F.col(ts)
+    return df.withColumn(out, et).withWatermark(out, delay)
 
 
 def window_counts_stream(events: DataFrame, keys, et: str, size, slide,
@@ -37,7 +44,7 @@ def window_counts_stream(events: DataFrame, keys, et: str, size, slide,
     agg = (events.groupBy(*keys, F.window(et, interval_str(interval_us(size)),
                                           interval_str(interval_us(slide))).alias("_w"))
              .agg(F.count(F.lit(1)).alias(count_col)))
-    return agg.select(*keys, F.col("_w.end").cast("timestamp_ntz").alias("window_end"), count_col)
+    return agg.select(*keys, instant_to_ntz(F.col("_w.end")).alias("window_end"), count_col)
 
 
 def top_n_per_batch(sink: str, n: int, ties=None, order: str = "n", group: str = "window_end"):
