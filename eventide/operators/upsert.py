@@ -24,7 +24,8 @@ Every stored row carries the table columns plus ``_op`` (``U`` upsert or
   unchanged.
 * snapshot (merge on read): latest complete base plus every log commit after
   it, one winner per key by ``(ordering, _commit, _seq)``, deleted winners
-  dropped. A row older than the stored one therefore never replaces it, and
+  dropped. When the log since the last compaction is small (checked) the base
+  is read without a shuffle (see :func:`merged`). A row older than the stored one therefore never replaces it, and
   a key that moves to another day appears once, in its new day.
 * changes since: the log rows of later commits, all kinds.
 * compact: write the snapshot as a new base version, then the version marker.
@@ -43,6 +44,9 @@ from pyspark.sql.utils import AnalysisException
 from .changes import precombine
 
 COMMIT_DIR, PART_DIR, VERSION_DIR = "evt_commit", "evt_part", "evt_version"
+# Log winners since the last compaction are broadcast against the base only
+# up to this many rows (checked); beyond it the merge shuffles by key.
+BROADCAST_LOG_ROWS = 2_000_000
 META = ["_op", "_commit", "_seq"]
 
 
@@ -92,23 +96,47 @@ def _log(spark: SparkSession, path: str) -> DataFrame | None:
     return _read(spark, f"{path}/log")
 
 
-def merged(spark: SparkSession, path: str, keys, ordering) -> DataFrame:
-    """Winners per key, deletes included (``_op`` kept)."""
+def merged(spark: SparkSession, path: str, keys, ordering,
+           log_broadcast_rows: int = BROADCAST_LOG_ROWS) -> DataFrame:
+    """Winners per key, deletes included (``_op`` kept).
+
+    With a compacted base (unique keys) and a log since then whose winners
+    number at most ``log_broadcast_rows`` (checked), the base is never
+    shuffled: it streams through a broadcast left join with the log winners,
+    each key keeping the higher-ranked row, and keys that exist only in the
+    log are found by a key-only semi-join against the broadcast keys.
+    Otherwise base and log are merged with one shuffle by key.
+    """
+    keys = _keys(keys)
+    rank_cols = _keys(ordering) + ["_commit", "_seq"]
     base_v = _latest_base(spark, path)
-    parts = []
+    base = None
     if base_v is not None:
-        parts.append(spark.read.parquet(f"{path}/base/{VERSION_DIR}={base_v}").drop(PART_DIR))
+        base = spark.read.parquet(f"{path}/base/{VERSION_DIR}={base_v}").drop(PART_DIR)
     log = _log(spark, path)
     if log is not None:
         if base_v is not None:
             log = log.where(F.col(COMMIT_DIR) > base_v)
-        parts.append(log.drop(COMMIT_DIR))
-    if not parts:
+        log = log.drop(COMMIT_DIR)
+    if base is None and log is None:
         raise FileNotFoundError(f"no upsert table at {path}")
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    return precombine(rows, keys, _keys(ordering) + ["_commit"], seq="_seq")
+    if base is None:
+        return precombine(log, keys, rank_cols[:-1], seq="_seq")
+    if log is None:
+        return base
+    winners = precombine(log, keys, rank_cols[:-1], seq="_seq")
+    if winners.limit(log_broadcast_rows + 1).count() > log_broadcast_rows:
+        return precombine(base.unionByName(winners), keys, rank_cols[:-1], seq="_seq")
+    cols = base.columns
+    lw = F.broadcast(winners.select(*[F.col(c).alias(c if c in keys else f"_l_{c}") for c in cols]))
+    j = base.join(lw, keys, "left")
+    take_log = (F.col("_l__op").isNotNull()
+                & (F.struct(*[F.col(f"_l_{c}") for c in rank_cols]) > F.struct(*[F.col(c) for c in rank_cols])))
+    updated = j.select(*[F.col(c) if c in keys else F.when(take_log, F.col(f"_l_{c}")).otherwise(F.col(c)).alias(c)
+                         for c in cols])
+    matched = base.select(*keys).join(F.broadcast(winners.select(*keys)), keys, "left_semi")
+    inserted = winners.join(matched, keys, "left_anti")
+    return updated.unionByName(inserted.select(*cols))
 
 
 def read_snapshot(spark: SparkSession, path: str, keys, ordering) -> DataFrame:

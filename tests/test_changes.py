@@ -68,3 +68,18 @@ def test_upsert_rules(spark):
     assert _snap(spark, path) == [(1, "new", "d2"), (2, "moved", "d3")]
     import glob
     assert sorted(p.rsplit("=", 1)[1] for p in glob.glob(f"{path}/base/evt_version=3/evt_part=*")) == ["d2", "d3"]
+
+
+def test_snapshot_paths_agree_after_compaction(spark):
+    from eventide.operators.upsert import merged
+    path = scratch_path(spark, "t-paths")
+    up = lambda rows, c: upsert(spark, path, _batch(spark, rows), c, "id", "ts", "day", op_col="op")
+    up([(1, "a", 10, "d1", "U"), (2, "b", 10, "d1", "U"), (3, "c", 10, "d2", "U"), (4, "e", 10, "d2", "U")], 1)
+    compact(spark, path, "id", "ts", "day")
+    up([(1, "stale", 5, "d1", "U"), (2, "newer", 11, "d3", "U"), (3, "x", 12, "d2", "D"),
+        (5, "fresh", 1, "d4", "U"), (4, "tie", 10, "d2", "U")], 2)
+    want = [(1, "a", "d1"), (2, "newer", "d3"), (4, "tie", "d2"), (5, "fresh", "d4")]
+    for limit in (2_000_000, 0):                   # broadcast path, then the shuffle fallback
+        m = merged(spark, path, "id", "ts", log_broadcast_rows=limit)
+        got = sorted((r.id, r.v, r.day) for r in m.where(F.col("_op") != "D").collect())
+        assert got == want, limit
