@@ -22,7 +22,8 @@ from ..session import scratch_path
 from ..sources.tables import read_table
 from ..streaming.enrich import DimensionSnapshot, enrich_per_batch
 from ..streaming.patterns import stream_adjacent_change, stream_followed_by_within
-from ..streaming.runner import append_markers, run_stream, split_outputs_per_batch, stage_by_time
+from ..streaming.runner import (append_markers, run_stream, split_outputs_per_batch, stage_by_time,
+                                state_partitions)
 from ..streaming.topn import event_time, top_n_per_batch, window_counts_stream
 from ..streaming.upsert import stream_changes, upsert_per_batch
 from . import cdc, etl, hot, patterns
@@ -61,7 +62,14 @@ def _staged_events(spark: SparkSession, sf_dir: str, root: str, types: tuple[str
             .parquet(path))
 
 
-def _drain(q) -> None:
+def _replay(spark: SparkSession, start) -> None:
+    with state_partitions(spark):
+        _drain(start)
+
+
+def _drain(start) -> None:
+    """Start a replay (``start()`` returns the query) and wait for it to finish."""
+    q = start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -73,7 +81,7 @@ def stream_hot_items_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = (e.where(F.col("event_type") == "view")
               .select(F.get_json_object("props", "$.k").cast("bigint").alias("item_id"), "_et"))
     counts = window_counts_stream(views, "item_id", "_et", hot.ITEM_SIZE, hot.ITEM_SLIDE)
-    _drain(run_stream(counts, f"{root}/ckpt",
+    _replay(spark, lambda: run_stream(counts, f"{root}/ckpt",
                       foreach_batch=top_n_per_batch(f"{root}/out", hot.TOP, ties=["item_id"])))
     return spark.read.parquet(f"{root}/out").drop("batch")
 
@@ -84,7 +92,7 @@ def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "user_id", "ts", "event_id",
                                   F.col("event_type") == "click", F.col("event_type") == "purchase",
                                   patterns.WITHIN, cols=["value"])
-    _drain(run_stream(s, f"{root}/ckpt", sink=f"{root}/out"))
+    _replay(spark, lambda: run_stream(s, f"{root}/ckpt", sink=f"{root}/out"))
     return spark.read.parquet(f"{root}/out").where(F.col("start_event_id") >= 0)
 
 
@@ -104,7 +112,7 @@ def stream_order_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
                             ["user_id", F.col("start_event_id").alias("event_id"),
                              F.col("start_ts").alias("ts"), F.col("start_value").alias("value")]),
     }
-    _drain(run_stream(s, f"{root}/ckpt", foreach_batch=split_outputs_per_batch(outputs)))
+    _replay(spark, lambda: run_stream(s, f"{root}/ckpt", foreach_batch=split_outputs_per_batch(outputs)))
     return spark.read.parquet(f"{root}/timeout").drop("batch")
 
 
@@ -113,7 +121,7 @@ def stream_adjacent_change_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _staged_events(spark, sf_dir, root).where(F.col("event_id") >= 0).select(
         "user_id", "event_id", "ts", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
     s = stream_adjacent_change(ev, "user_id", ["ts", "event_id"], "k")
-    _drain(run_stream(s, f"{root}/ckpt", sink=f"{root}/out"))
+    _replay(spark, lambda: run_stream(s, f"{root}/ckpt", sink=f"{root}/out"))
     return spark.read.parquet(f"{root}/out")
 
 
@@ -126,7 +134,7 @@ def stream_etl_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
             .parquet(f"{root}/in"))
     parsed = parse_json(msgs, "value", etl.MESSAGE_SCHEMA, required=["data"]).select("msg.*")
     dim = DimensionSnapshot(lambda s: s.read.parquet(f"{root}/dim"))
-    _drain(run_stream(parsed, f"{root}/ckpt",
+    _replay(spark, lambda: run_stream(parsed, f"{root}/ckpt",
                       foreach_batch=enrich_per_batch(dim, f"{root}/out", "data", ["dt"], "countryCode",
                                                      "country", "area")))
     return spark.read.parquet(f"{root}/out").drop("batch")
@@ -139,7 +147,7 @@ def _stream_orders_table(spark: SparkSession, sf_dir: str) -> str:
         cdc._order_batch(spark, sf_dir, c).repartition(per).write.mode("append").parquet(f"{root}/in")
     schema = spark.read.parquet(f"{root}/in").schema
     changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", per).parquet(f"{root}/in")
-    _drain(run_stream(changes, f"{root}/ckpt",
+    _replay(spark, lambda: run_stream(changes, f"{root}/ckpt",
                       foreach_batch=upsert_per_batch(f"{root}/table", cdc.ORDER_KEYS,
                                                      cdc.ORDER_ORDERING, cdc.ORDER_PART)))
     return f"{root}/table"
@@ -155,5 +163,5 @@ def stream_changes_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stream_orders_table(spark, sf_dir)
     root = scratch_path(spark, "stream-changelog")
     log = stream_changes(spark, path).where(F.col("_commit") > 1).drop("_commit_dir", "_seq")
-    _drain(run_stream(log, f"{root}/ckpt", sink=f"{root}/out"))
+    _replay(spark, lambda: run_stream(log, f"{root}/ckpt", sink=f"{root}/out"))
     return spark.read.parquet(f"{root}/out")

@@ -79,3 +79,31 @@ def local_os_path(path: str) -> str:
 
 def exists_local(path: str) -> bool:
     return is_local_path(path) and os.path.exists(local_os_path(path))
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``eventide`` importable in Python workers (``addPyFile`` of a zip).
+
+    Needed by the operators that run pandas code in tasks (keyed streaming
+    state); done once per SparkContext. The zip is built on the driver and
+    distributed by Spark, like ``--py-files``.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="eventide-pkg-"), "eventide.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(out)
+    _SHIPPED.add(id(sc))

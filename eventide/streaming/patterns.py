@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.intervals import interval_us
+from ..session import ship_package
 from ..functions.timebucket import instant_to_ntz, ntz_to_instant
 
 
@@ -85,6 +86,7 @@ def stream_adjacent_change(events: DataFrame, key: str, order: list[str], value:
     the batches. Output columns equal :func:`~eventide.operators.sequence.adjacent_change`.
     """
     order, cols = list(order), list(cols)
+    ship_package(events.sparkSession)
     carried = list(dict.fromkeys(order + [value] + cols))
     base = events.where(F.col(key).isNotNull()).select(key, *carried)
     in_schema = base.schema

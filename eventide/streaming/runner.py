@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -89,3 +91,22 @@ def split_outputs_per_batch(outputs: dict):
         finally:
             b.unpersist()
     return write
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start streaming queries with at most ``n`` shuffle (= state store) partitions.
+
+    A stateful query keeps the partition count it first started with (it is
+    stored in the checkpoint) and touches every state store in every
+    micro-batch. The bounded replays use no more partitions than there are
+    task slots (``defaultParallelism``); the session setting is restored.
+    """
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    n = n or spark.sparkContext.defaultParallelism
+    spark.conf.set(key, str(max(1, min(int(old), n))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
