@@ -70,3 +70,18 @@ def test_upsert_stream_restart(spark):
     assert rows(got) == rows(cdc.upsert_snapshot(spark, SF))
     commits = {r[0] for r in spark.read.parquet(f"{root}/table/log").select("evt_commit").distinct().collect()}
     assert commits == {1, 2, 3}
+
+
+def test_rocksdb_state_store(spark):
+    from eventide.streaming.runner import use_rocksdb_state
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    try:
+        use_rocksdb_state(spark)
+        got = streams.stream_order_status(spark, SF)
+        assert rows(got) == rows(patterns.order_status(spark, SF))
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
