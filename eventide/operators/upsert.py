@@ -28,9 +28,9 @@ Every stored row carries the table columns plus ``_op`` (``U`` upsert or
   is read without a shuffle (see :func:`merged`). A row older than the stored one therefore never replaces it, and
   a key that moves to another day appears once, in its new day.
 * changes since: the log rows of later commits, all kinds.
-* compact: write the snapshot as a new base version, then the version marker.
-  Readers only use bases whose marker exists; nothing is overwritten in
-  place.
+* compact: write the merged state (deletes kept as tombstones) as a new base
+  version, then the version marker. Readers only use bases whose marker
+  exists; nothing is overwritten in place.
 
 One writer per table; readers can run at any time.
 """
@@ -161,15 +161,17 @@ def compact(spark: SparkSession, path: str, keys, ordering, partition: str,
             day_folders: bool = False) -> int | None:
     """Write the merged state as a new base version (U5); returns its number.
 
-    Deleted winners are dropped from the base. The version is the last
-    commit it includes; the marker under ``versions/`` is written only after
-    the base folder is complete.
+    Deleted winners stay in the base as tombstones (``_op = "D"``), so a later
+    row with an older ordering value cannot bring the key back: compaction
+    never changes what a snapshot returns. The version is the last commit it
+    includes; the marker under ``versions/`` is written only after the base
+    folder is complete.
     """
     log = _log(spark, path)
     if log is None:
         return None
     last = log.agg(F.max(COMMIT_DIR)).first()[0]
-    m = merged(spark, path, keys, ordering).where(F.col("_op") != "D")
+    m = merged(spark, path, keys, ordering)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = m.repartitionByRange(n, partition, *_keys(keys)).sortWithinPartitions(partition)
     w = ranged.write.mode("overwrite")
