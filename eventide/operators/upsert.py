@@ -47,6 +47,8 @@ COMMIT_DIR, PART_DIR, VERSION_DIR = "evt_commit", "evt_part", "evt_version"
 # Log winners since the last compaction are broadcast against the base only
 # up to this many rows (checked); beyond it the merge shuffles by key.
 BROADCAST_LOG_ROWS = 2_000_000
+# Compaction aims at about this many rows per base file.
+ROWS_PER_FILE = 4_000_000
 META = ["_op", "_commit", "_seq"]
 
 
@@ -158,21 +160,27 @@ def read_changes_since(spark: SparkSession, path: str, commit: int) -> DataFrame
 
 
 def compact(spark: SparkSession, path: str, keys, ordering, partition: str,
-            day_folders: bool = False) -> int | None:
+            day_folders: bool = False, rows_per_file: int = ROWS_PER_FILE) -> int | None:
     """Write the merged state as a new base version (U5); returns its number.
 
     Deleted winners stay in the base as tombstones (``_op = "D"``), so a later
     row with an older ordering value cannot bring the key back: compaction
     never changes what a snapshot returns. The version is the last commit it
     includes; the marker under ``versions/`` is written only after the base
-    folder is complete.
+    folder is complete. The file count is sized from the data: an upper
+    bound on the merged rows (base plus log row counts, which Parquet answers
+    from file footers) over ``rows_per_file``, and at least one file per task
+    slot.
     """
     log = _log(spark, path)
     if log is None:
         return None
     last = log.agg(F.max(COMMIT_DIR)).first()[0]
     m = merged(spark, path, keys, ordering)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base_v = _latest_base(spark, path)
+    upper = log.count() + (spark.read.parquet(f"{path}/base/{VERSION_DIR}={base_v}").count()
+                           if base_v is not None else 0)
+    n = max(spark.sparkContext.defaultParallelism, -(-upper // rows_per_file))
     ranged = m.repartitionByRange(n, partition, *_keys(keys)).sortWithinPartitions(partition)
     w = ranged.write.mode("overwrite")
     if day_folders:
