@@ -27,9 +27,15 @@ def _quote(sep: str) -> str:
 
 
 def split_fields(value, sep: str = ",") -> Column:
-    """Split like Java's ``String.split``: no quoting, trailing empties dropped."""
+    """Split like Java's ``String.split``: no quoting, trailing empties dropped.
+
+    As in Java, an empty line is one empty field and a line made only of
+    separators has no fields at all.
+    """
     q = _quote(sep)
-    return F.split(F.regexp_replace(_col(value), f"({q})+$", ""), q)
+    v = _col(value)
+    stripped = F.regexp_replace(v, f"({q})+$", "")
+    return F.when((stripped == "") & (v != ""), F.array().cast("array<string>")).otherwise(F.split(stripped, q))
 
 
 def strict_long(text) -> Column:
