@@ -85,3 +85,42 @@ def test_rocksdb_state_store(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, old)
+
+
+def test_out_of_order_within_delay(spark):
+    import datetime as dt
+    from eventide.streaming.patterns import stream_followed_by_within
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "k string, ts timestamp_ntz, seq bigint, status string"
+
+    def at(s):
+        return t0 + dt.timedelta(seconds=s)
+
+    # Both branches of the pattern see event time 20 s in the first batch (the
+    # status filters run below the watermark, and the global watermark is the
+    # minimum over both branches).
+    batches = [[("o", at(10), 1, "1"), ("x", at(30), 2, "1"), ("x", at(30), 8, "2")],
+               [("y", at(31), 9, "1")],                                # state is evicted after a batch
+               [("o", at(12), 3, "2")],                                # end at 12 s arrives later
+               [("z", at(1000), 4, "1"), ("z", at(1000), 5, "2")],     # moves the watermark on
+               [("z", at(1001), 6, "1"), ("z", at(1001), 7, "2")]]     # and emits
+
+    def run(delay):
+        root = scratch_path(spark, "t-late")
+        for b in batches:
+            spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        out = stream_followed_by_within(s, "k", "ts", "seq", F.col("status") == "1", F.col("status") == "2",
+                                        "10 seconds", delay=delay)
+        run_stream(out, f"{root}/ckpt", sink=f"{root}/out").awaitTermination()
+        return {r.start_seq: r.status for r in spark.read.parquet(f"{root}/out").where("k = 'o'").collect()}
+
+    # 25 s delay: watermark 5 s after the first batch, the start is still held and
+    # the end at 12 s pays it (bounded out-of-orderness, E2).
+    # 0 s delay: watermark 30 s, past the start's bound (10 s + 10 s): the start has
+    # timed out and left state (at the end of the next batch) before the late end
+    # arrives (E3). Spark matches a late row while its partner is still in state, so
+    # the bound and the batch boundaries decide, not the row's own lateness.
+
+    assert run("25 seconds") == {1: "paid"}
+    assert run("0 seconds") == {1: "timeout"}
