@@ -125,3 +125,17 @@ def compacted_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def limit20(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``SELECT * FROM table LIMIT 20``, made deterministic by ordering on the key."""
     return upsert_snapshot(spark, sf_dir).orderBy(*ORDER_KEYS).limit(20)
+
+
+def order_table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages upserted by ``orderId`` (precombine ``ts`` text, day partition), read back.
+
+    Written in two commits (created orders, then paid ones); every order id is
+    distinct, so the snapshot holds every derived row.
+    """
+    path = scratch_path(spark, "order-table")
+    derived = order_derived(spark, sf_dir)
+    for commit, status in ((1, 1), (2, 2)):
+        upsert(spark, path, derived.where(F.col("orderStatus") == status), commit,
+               "orderId", "ts", "partition_day")
+    return read_snapshot(spark, path, "orderId", "ts")

@@ -195,3 +195,4 @@ for _name in ("hot_items_top5", "order_status", "order_timeout", "adjacent_chang
               "upsert_snapshot", "changes_since"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 ORACLE["behavior_text_roundtrip"] = ORACLE["parse_behavior"]
+ORACLE["order_table_snapshot"] = ORACLE["order_derived"]

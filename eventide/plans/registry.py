@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {
     "order_paid": patterns.order_paid,
     "order_timeout": patterns.order_timeout,
     "order_derived": cdc.order_derived,
+    "order_table_snapshot": cdc.order_table_snapshot,
     "changes_decoded": cdc.changes_decoded,
     "changes_encoded": cdc.changes_encoded,
     "latest_state": cdc.latest_state,
