@@ -139,3 +139,25 @@ def order_table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         upsert(spark, path, derived.where(F.col("orderStatus") == status), commit,
                "orderId", "ts", "partition_day")
     return read_snapshot(spark, path, "orderId", "ts")
+
+
+def cdc_table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change rows upserted into a table keyed by ``id`` and read back.
+
+    ``+I``/``+U`` rows upsert, ``-D`` rows delete, ``-U`` rows (retractions)
+    are not stored. Precombine field is the derived ``ts`` (``birthday`` as
+    TIMESTAMP(3)), ties to the later event; partition ``partition_day``.
+    Written as three commits in time order (days 1-10, 11-20, 21-31 of the
+    change time), like three checkpoint intervals of the change stream.
+    """
+    path = scratch_path(spark, "cdc-table")
+    d = (changes_decoded(spark, sf_dir).where(F.col("kind").isin("+I", "+U", "-D"))
+         .withColumn("ts", to_timestamp3("birthday"))
+         .withColumn("partition_day", substr0("birthday", 10))
+         .withColumn("op", F.when(F.col("kind") == "-D", "D").otherwise("U"))
+         .withColumn("_c", F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)) + 1)
+         .drop("kind"))
+    for commit in (1, 2, 3):
+        upsert(spark, path, d.where(F.col("_c") == commit).drop("_c"), commit, "id", "ts",
+               "partition_day", op_col="op", seq="seq")
+    return read_snapshot(spark, path, "id", "ts").select(*ROW_COLS, "ts", "partition_day")

@@ -196,3 +196,4 @@ for _name in ("hot_items_top5", "order_status", "order_timeout", "adjacent_chang
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 ORACLE["behavior_text_roundtrip"] = ORACLE["parse_behavior"]
 ORACLE["order_table_snapshot"] = ORACLE["order_derived"]
+ORACLE["cdc_table_snapshot"] = ORACLE["latest_state"]

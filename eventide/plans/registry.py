@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {
     "changes_decoded": cdc.changes_decoded,
     "changes_encoded": cdc.changes_encoded,
     "latest_state": cdc.latest_state,
+    "cdc_table_snapshot": cdc.cdc_table_snapshot,
     "upsert_snapshot": cdc.upsert_snapshot,
     "changes_since": cdc.changes_since,
     "compacted_snapshot": cdc.compacted_snapshot,
