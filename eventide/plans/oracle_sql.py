@@ -191,7 +191,7 @@ ORACLE.update({
 })
 
 # Streaming forms produce exactly the rows of their batch queries.
-for _name in ("hot_items_top5", "order_status", "order_timeout", "adjacent_change", "etl_enriched",
+for _name in ("hot_items_top5", "hot_urls_top5", "order_status", "order_timeout", "adjacent_change", "etl_enriched",
               "upsert_snapshot", "changes_since"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 ORACLE["behavior_text_roundtrip"] = ORACLE["parse_behavior"]

@@ -38,6 +38,7 @@ QUERIES: dict[str, Query] = {
     "compacted_snapshot": cdc.compacted_snapshot,
     "limit20": cdc.limit20,
     "stream_hot_items_top5": streams.stream_hot_items_top5,
+    "stream_hot_urls_top5": streams.stream_hot_urls_top5,
     "stream_order_status": streams.stream_order_status,
     "stream_order_timeout": streams.stream_order_timeout,
     "stream_adjacent_change": streams.stream_adjacent_change_q,

@@ -86,6 +86,21 @@ def stream_hot_items_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").drop("batch")
 
 
+def stream_hot_urls_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 on a stream: clicks joined to the static pages table, 10 min / 5 s windows."""
+    root = scratch_path(spark, "stream-hot-urls")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    n_pages = pages.count()
+    e = event_time(_staged_events(spark, sf_dir, root, ("click",)), "ts")
+    clicks = (e.where(F.col("event_type") == "click")
+               .select((F.col("event_id") % F.lit(n_pages)).alias("page_id"), "_et")
+               .join(pages, "page_id"))
+    counts = window_counts_stream(clicks, "url", "_et", hot.URL_SIZE, hot.URL_SLIDE)
+    _replay(spark, lambda: run_stream(counts, f"{root}/ckpt",
+                                      foreach_batch=top_n_per_batch(f"{root}/out", hot.TOP, ties=["url"])))
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
 def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-orders")
     s = stream_followed_by_within(_staged_events(spark, sf_dir, root, ("click", "purchase")),
