@@ -35,8 +35,6 @@ def build_session(master: str | None = None, app: str = "eventide",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    if master and master.startswith("local"):
-        conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="eventide-ckpt-"))
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
