@@ -7,6 +7,10 @@ With ``split=<interval>`` the work is partitioned by ``(key, time bucket)``
 instead and the few rows that need a neighbour from another bucket get it
 through a small per-bucket table, so results are exactly the unsplit ones.
 
+``split="auto"`` picks the bucket length from the data (see
+:func:`auto_split`): about a million rows per (key, bucket) for the largest
+key, never shorter than the pattern's bound.
+
 Order within a key is ``order`` (e.g. ``["ts", "event_id"]``); it must be a
 total order per key (carry an arrival sequence when timestamps can tie).
 """
@@ -25,6 +29,36 @@ def _names(c) -> list[str]:
     return [c] if isinstance(c, str) else list(c)
 
 
+# split="auto" aims at about this many rows per (key, time bucket) group.
+AUTO_SPLIT_ROWS = 1_000_000
+
+
+def auto_split(df: DataFrame, keys, ts: str, min_us: int = 1_000_000,
+               target_rows: int = AUTO_SPLIT_ROWS) -> int:
+    """Bucket length (microseconds) so the largest key splits into groups of about
+    ``target_rows`` rows, assuming its rows spread over the data's time span.
+
+    One aggregation job (partial, map-side) returns a single row to the driver.
+    Never shorter than ``min_us``; whole seconds.
+    """
+    keys = _names(keys)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                    F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
+    r = per_key.agg(F.max("_n").alias("n"), F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
+    if r is None or r["n"] is None:
+        return min_us
+    span_us = int((r["hi"] - r["lo"]).total_seconds() * 1_000_000) + 1
+    buckets = max(1, -(-int(r["n"]) // target_rows))
+    us = max(min_us, span_us // buckets)
+    return -(-us // 1_000_000) * 1_000_000
+
+
+def _resolve_split(df: DataFrame, keys, ts, split, min_us: int = 1_000_000):
+    if split == "auto":
+        return interval_str(auto_split(df, keys, ts, min_us=min_us))
+    return split
+
+
 def _bucket(ts: str, split) -> Column:
     return F.window(ts, interval_str(interval_us(split))).start
 
@@ -48,6 +82,7 @@ def with_previous(df: DataFrame, keys, order, cols, split=None, ts: str | None =
         return df.withColumn(prev, F.lag(payload).over(w))
     if ts is None:
         raise ValueError("split needs ts")
+    split = _resolve_split(df, keys, ts, split)
     b = df.withColumn("_b", _bucket(ts, split))
     w = Window.partitionBy(*keys, "_b").orderBy(*order)
     inner = b.withColumn(prev, F.lag(payload).over(w))
@@ -112,6 +147,7 @@ def followed_by_within(df: DataFrame, keys, ts: str, seq: str, is_start: Column,
             .select(*keys, ts, seq, *cols, is_start.alias("_s"), is_end.alias("_e")))
     part = list(keys)
     if split is not None:
+        split = _resolve_split(ev, keys, ts, split, min_us=within_us)
         split_us = interval_us(split)
         if split_us < within_us:
             raise ValueError("split must be at least as long as within")

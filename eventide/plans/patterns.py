@@ -17,7 +17,7 @@ from ..operators.sequence import adjacent_change, followed_by_within
 from ..sources.tables import read_table
 
 WITHIN = "1 hour"
-SPLIT = "1 day"
+SPLIT = "auto"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

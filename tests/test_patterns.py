@@ -36,7 +36,7 @@ def test_adjacent_change_split_equals_model(spark):
             for i in range(1500)]
     df = spark.createDataFrame(rows, "u bigint, ts timestamp_ntz, seq bigint, v bigint")
     want = _model_adjacent(rows)
-    for split in (None, "1 day", "3 hours"):
+    for split in (None, "1 day", "3 hours", "auto"):
         got = {(r.u, r.seq, r.v, r.prev_seq, r.prev_v)
                for r in adjacent_change(df, "u", ["ts", "seq"], "v", split=split, ts="ts").collect()}
         assert got == want, split
@@ -82,6 +82,16 @@ def test_c2_random_split_equals_model(spark):
     rows = [(rnd.choice("abc"), sec(rnd.randrange(0, 3 * 86400, 7)), i, rnd.choice("1229"))
             for i in range(1200)]
     want = _model_c2(rows, dt.timedelta(seconds=10))
-    for split in (None, "1 hour", "10 seconds"):
+    for split in (None, "1 hour", "10 seconds", "auto"):
         got = {(r.k, r.start_seq, r.status, r.end_seq) for r in _c2(spark, rows, split=split).collect()}
         assert got == want, split
+
+
+def test_auto_split_sizes_buckets(spark):
+    from eventide.operators.sequence import auto_split
+    rows = [(1 if i % 3 else 2, sec(i * 60), i) for i in range(3000)]   # key 1 holds 2/3 of the rows
+    df = spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, seq bigint")
+    us = auto_split(df, "k", "ts", target_rows=500)
+    span_us = 2999 * 60 * 1_000_000
+    assert us == -(-(span_us // 4) // 1_000_000) * 1_000_000    # 2000 rows / 500 -> 4 buckets
+    assert auto_split(df, "k", "ts", min_us=10**15, target_rows=500) == 10**15
