@@ -69,3 +69,15 @@ def test_report_layout(spark):
                         "No0:  商品ID=12224  浏览量=2413\n"
                         "No1:  商品ID=7  浏览量=10\n"
                         "====================================\n\n")
+
+
+def test_pane_plan_shape(spark):
+    # Pane counts cross one shuffle (partial aggregation before it), the
+    # (key, bucket) repartition is the second; the window fan-out and the final
+    # sum run without another exchange, and no 120-way Expand is planned.
+    rows = [(1, T0 + dt.timedelta(seconds=i)) for i in range(10)]
+    df = sliding_counts(events(spark, rows), "k", "ts", "10 minutes", "5 seconds")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "Expand" not in plan
+    assert "partial_count" in plan
