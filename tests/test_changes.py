@@ -119,3 +119,15 @@ def test_upsert_random_model(spark):
         want = sorted((k, v, day) for k, (_, v, day, op) in state.items() if op != "D")
         got = sorted((r.id, r.v, r.day) for r in read_snapshot(spark, path, "id", "ts").collect())
         assert got == want, commit
+
+
+def test_snapshot_fast_path_plan(spark):
+    from eventide.operators.upsert import merged
+    path = scratch_path(spark, "t-plan")
+    upsert(spark, path, _batch(spark, [(i, "a", 1, "d1", "U") for i in range(50)]), 1, "id", "ts", "day", op_col="op")
+    compact(spark, path, "id", "ts", "day")
+    upsert(spark, path, _batch(spark, [(1, "b", 2, "d1", "U")]), 2, "id", "ts", "day", op_col="op")
+    fast = merged(spark, path, "id", "ts")._jdf.queryExecution().executedPlan().toString()
+    slow = merged(spark, path, "id", "ts", log_broadcast_rows=0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in fast and "LeftOuter" in fast   # base streams past the log winners
+    assert "LeftOuter" not in slow                                # fallback: one merge by key
