@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import parse_json
-from ..operators.upsert import read_changes_since, read_snapshot
+from ..operators.upsert import read_snapshot
 from ..session import scratch_path
 from ..sources.tables import read_table
 from ..streaming.enrich import DimensionSnapshot, enrich_per_batch
