@@ -96,8 +96,9 @@ def explode_enrich_open(msgs: DataFrame, value: str, array_path: str, carry: dic
     path in the message) and the looked-up ``dim_value`` replace keys of the
     same name, and the element is written back as JSON text in ``out``.
     NULL values are not added, so an unknown key has no ``dim_value`` key, as
-    in the reference output. Messages that are not JSON, or lack the array,
-    are dropped (``on_error="drop"``) or fail the job (``"fail"``).
+    in the reference output. Messages that are not JSON or lack the array,
+    and array elements that are not objects, are dropped (``on_error="drop"``)
+    or fail the job (``"fail"``).
     """
     v = F.try_parse_json(F.col(value))
     arr = F.variant_get(v, array_path, "array<variant>")
@@ -114,7 +115,13 @@ def explode_enrich_open(msgs: DataFrame, value: str, array_path: str, carry: dic
         d = dim.select(F.col(dim_key).alias("_key"), F.col(dim_value).alias("_val"))
         exploded = exploded.join(bounded_broadcast(d, broadcast_max_rows), "_key", "left")
     replaced = list(carry) + ([dim_value] if dim is not None else [])
-    base = F.map_filter(F.col("_el").try_cast("map<string,variant>"), lambda k, _: ~k.isin(*replaced))
+    as_map = F.col("_el").try_cast("map<string,variant>")
+    if on_error == "fail":
+        as_map = F.when(as_map.isNull(), F.raise_error(F.lit("array element is not a JSON object"))).otherwise(as_map)
+    else:
+        # A predicate on generator output: it stays above the explode.
+        exploded = exploded.where(F.col("_el").try_cast("map<string,variant>").isNotNull())
+    base = F.map_filter(as_map, lambda k, _: ~k.isin(*replaced))
     added = [(name, F.col(name)) for name in carry] + ([(dim_value, F.col("_val"))] if dim is not None else [])
     empty = F.create_map().cast("map<string,variant>")
     parts = [base] + [F.when(c.isNotNull(), F.create_map(F.lit(n), c.cast("variant"))).otherwise(empty)

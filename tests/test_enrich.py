@@ -51,7 +51,8 @@ def test_open_keys_forwarded(spark):
     df = spark.createDataFrame([
         ('{"dt":"D1","countryCode":"TW","data":[{"type":"s1","dt":"old","x":{"y":[1,2]}},{"type":"s2"}]}',),
         ('{"dt":"D2","countryCode":"ZZ","data":[{"type":"s3","area":"stale"}]}',),
-        ('{"dt":"D3","countryCode":"TW","data":[]}',), ("not json",), ('{"dt":"D4"}',)], "value string")
+        ('{"dt":"D3","countryCode":"TW","data":[]}',), ("not json",), ('{"dt":"D4"}',),
+        ('{"dt":"D5","countryCode":"TW","data":[7,"x",null]}',)], "value string")
     dim = spark.createDataFrame([("TW", "AS")], "country string, area string")
     out = explode_enrich_open(df, "value", "$.data", {"dt": "$.dt"}, dim=dim, key_path="$.countryCode",
                               dim_key="country", dim_value="area")
