@@ -10,7 +10,9 @@
 4. Buckets that then hold more than one component are compared in blocks, but
    only across components: members outside the bucket's largest component
    against all its members. So no link between different components is lost
-   and a bucket of linked copies never expands into pairs.
+   and a bucket of linked copies never expands into pairs. Bitmaps of the sets
+   bound the similarity from above there, so only pairs that can reach the
+   threshold leave the block.
 5. Components by contraction: every vertex points to its smallest neighbour,
    pointers are shortened, and the graph of roots is the next round's graph.
 
@@ -38,6 +40,7 @@ N_HASHES = BANDS * ROWS
 BATCH = 30                     # signature positions compared at a time
 MISS = 1e-6                    # posterior probability below which a pair is dropped
 PROBES, TARGETS = 512, 4096    # rows of a block of a mixed bucket
+BITMAP = 2048                  # bits of a set's bitmap
 _U64 = np.uint64
 
 
@@ -90,6 +93,27 @@ def similar_signatures(x: np.ndarray, y: np.ndarray, threshold: float) -> np.nda
     return alive
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """(len(sets), BITMAP / 64) words; an element sets the bit that its low bits name."""
+    out = np.zeros((len(sets), BITMAP // 8), dtype=np.uint8)
+    for i, s in enumerate(sets):
+        bits = np.zeros(BITMAP, dtype=bool)
+        bits[(s & _U64(BITMAP - 1)).astype(np.int64)] = True
+        out[i] = np.packbits(bits)
+    return out.view(np.uint64)
+
+
+def can_reach(x_bits: np.ndarray, nx: int, y_bits: np.ndarray, ny: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether set x may be similar enough to each row of y; never false for a pair that is.
+
+    A bit of x that y lacks proves an element of x outside y, and vice versa.
+    """
+    lacks = np.bitwise_count(x_bits & ~y_bits).sum(axis=1, dtype=np.int64)
+    extra = np.bitwise_count(y_bits & ~x_bits).sum(axis=1, dtype=np.int64)
+    common = np.minimum(nx - lacks, ny - extra)
+    return den * common >= num * (nx + ny - common)
+
+
 def _set_batches(batches: Iterator[pa.RecordBatch], words: int):
     import xxhash
 
@@ -102,18 +126,18 @@ def _set_batches(batches: Iterator[pa.RecordBatch], words: int):
 
 
 def document_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, rk, n_shingles, vid, sig): set size, 128-bit key of the set, signature."""
+    """(doc_id, rk, n_shingles, vid, sig, bits): set size, 128-bit key of the set, signature, bitmap."""
     def run(batches):
         for batch, sets, keys in _set_batches(batches, words):
             sigs = signatures(sets)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("rk"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(keys, pa.binary()), K.binary_column(list(sigs))],
-                names=["doc_id", "rk", "n_shingles", "vid", "sig"])
+                 pa.array(keys, pa.binary()), K.binary_column(list(sigs)), K.binary_column(list(bitmaps(sets)))],
+                names=["doc_id", "rk", "n_shingles", "vid", "sig", "bits"])
 
     src = texts(docs.select("doc_id", "text"), "doc_id").withColumn("rk", F.xxhash64("text"))
     kind = dict(src.dtypes)["doc_id"]
-    return src.mapInArrow(run, f"doc_id {kind}, rk bigint, n_shingles bigint, vid binary, sig binary")
+    return src.mapInArrow(run, f"doc_id {kind}, rk bigint, n_shingles bigint, vid binary, sig binary, bits binary")
 
 
 def _arrays(column: pa.Array, dtype) -> np.ndarray:
@@ -199,7 +223,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return written(done, "cc-labels")
 
 
-def _cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+def _cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Likely pairs of different components that share a bucket, found block by block."""
     m = members.join(labels, "vid", "left").select("key", "vid", F.coalesce("label", "vid").alias("label"))
     mixed = (m.groupBy("key", "label").count().groupBy("key")
@@ -208,24 +232,28 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, thre
              .where("labels > 1")
              .select("key", "big", F.ceil((F.col("total") - F.col("most")) / PROBES).cast("int").alias("np"),
                      F.ceil(F.col("total") / TARGETS).cast("int").alias("nt")))
-    rows = m.join(mixed, "key").join(classes.select("vid", "sig"), "vid")
+    cols = ["key", "vid", "label", "n_shingles", "sig", "bits"]
+    rows = m.join(mixed, "key").join(classes.select("vid", "n_shingles", "sig", "bits"), "vid")
     spread = lambda n, salt: F.pmod(F.xxhash64("vid", F.lit(salt)), F.col(n)).cast("int")
-    probes = rows.where("label != big").select("key", "vid", "label", "sig", F.lit(True).alias("probe"),
+    probes = rows.where("label != big").select(*cols, F.lit(True).alias("probe"),
                                                spread("np", 1).alias("pb"), F.explode(F.sequence(F.lit(0), F.col("nt") - 1)).alias("tb"))
-    targets = rows.select("key", "vid", "label", "sig", F.lit(False).alias("probe"),
+    targets = rows.select(*cols, F.lit(False).alias("probe"),
                           F.explode(F.sequence(F.lit(0), F.col("np") - 1)).alias("pb"), spread("nt", 2).alias("tb"))
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
         is_probe = block["probe"].to_numpy(bool)
         vid, label = block["vid"].to_numpy(), pd.factorize(block["label"].map(bytes))[0]
         sig = np.frombuffer(b"".join(block["sig"]), dtype=np.uint32).reshape(len(block), -1)
+        bits = np.frombuffer(b"".join(block["bits"]), dtype=np.uint64).reshape(len(block), -1)
+        size = block["n_shingles"].to_numpy()
         p, t = np.flatnonzero(is_probe), np.flatnonzero(~is_probe)
-        least, found = needed_matches(threshold)[0], []
+        least, found = needed_matches(num / den)[0], []
         for i in p:
             near = t[label[t] != label[i]]
             near = near[(sig[near, :BATCH] == sig[i, :BATCH]).sum(axis=1) >= least]
             if len(near):
-                near = near[similar_signatures(np.broadcast_to(sig[i], (len(near), N_HASHES)), sig[near], threshold)]
+                near = near[similar_signatures(np.broadcast_to(sig[i], (len(near), N_HASHES)), sig[near], num / den)]
+                near = near[can_reach(bits[i], size[i], bits[near], size[near], num, den)]
                 found += [(min(vid[i], vid[j]), max(vid[i], vid[j])) for j in near]
         return pd.DataFrame(found, columns=["a", "b"])
 
@@ -245,10 +273,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     ignored by the minimum; rows repeating an id and a text share all results.
     An empty table gives no rows; other columns are not read.
     """
-    threshold = num / den
     sigs = written(document_sets(docs, words), "nd-sigs")
     classes = written(sigs.where("n_shingles > 0").groupBy("vid").agg(
-        F.min("doc_id").alias("min_id"), F.min(F.struct("doc_id", "rk")).alias("rep"), F.first("sig").alias("sig")), "nd-classes")
+        F.min("doc_id").alias("min_id"), F.min(F.struct("doc_id", "rk")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
+        F.first("sig").alias("sig"), F.first("bits").alias("bits")), "nd-classes")
     width = 4 * ROWS
     band = (classes.select("vid", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("j"))
             .select("vid", F.xxhash64("j", F.expr(f"substring(sig, j * {width} + 1, {width})")).alias("key")))
@@ -257,7 +285,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
 
     star = members.where("vid != leader").select(F.col("vid").alias("a"), F.col("leader").alias("b")).distinct()
     edges, labels = _link(star, classes, docs, words, num, den)
-    cross = _cross_pairs(members, labels, classes, threshold)
+    cross = _cross_pairs(members, labels, classes, num, den)
     more, _ = _link(cross, classes, docs, words, num, den, likely=True, cc=False)
     if more.limit(1).count():
         labels = connected_components(edges.union(more))
