@@ -3,27 +3,81 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup
+from . import bpe, exact_dedup, language_id, mixing, near_dedup, sharding
 from .common import documents
 
+OP7_SHARD_BYTES = 1 << 20
+
+
+def tokenizer() -> tuple[str, str]:
+    """(rank file, pre-split pattern) of the public 50k byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def token_digest(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Encode and decode ``docs``; counts and digests of the ids and of the decoded bytes."""
+    rows = bpe.decode(bpe.encode(docs, ranks_path, pattern), ranks_path, pattern)
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.copies(documents(spark, sf_dir, ["doc_id", "source", "text"])).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir, ["doc_id", "text"]), words=4)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, ["doc_id", "text", "lang"])
+    return language_id.identify(docs, ~language_id.fold(4, 2)).select(
+        "doc_id", language_id.fold(4, 2).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(documents(spark, sf_dir, ["doc_id", "text"]), *tokenizer())
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(documents(spark, sf_dir, ["doc_id", "text"]), OP7_SHARD_BYTES)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir, ["doc_id", "text"]))
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_near_dedup": op2_near_dedup,
+    "op4_language_id": op4_language_id,
+    "op6_bpe": op6_bpe,
+    "op7_sharding": op7_sharding,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op7_sharding": f"""
+        WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS bytes,
+                          ('0x' || left(md5(coalesce(doc_id::VARCHAR, 'text:' || coalesce(text, ''))), 15))::BIGINT AS k
+                   FROM documents),
+             p AS (SELECT depth, k >> (60 - depth) AS prefix, sum(bytes)::BIGINT AS shard_bytes
+                   FROM d, (SELECT unnest(range(0, 61))::INT AS depth) GROUP BY ALL),
+             f AS (SELECT * FROM p WHERE shard_bytes <= {OP7_SHARD_BYTES} OR depth = 60),
+             m AS (SELECT d.*, min(f.depth) AS depth FROM d JOIN f ON (d.k >> (60 - f.depth)) = f.prefix
+                   GROUP BY ALL)
+        SELECT doc_id, bytes, CASE WHEN m.depth = 0 THEN '' ELSE lpad(bin(f.prefix), m.depth, '0') END AS shard,
+               m.depth, shard_bytes, shard_bytes > {OP7_SHARD_BYTES} AS oversize
+        FROM m JOIN f ON m.depth = f.depth AND (m.k >> (60 - m.depth)) = f.prefix""",
     "op9_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
