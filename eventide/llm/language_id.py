@@ -30,7 +30,7 @@ FLUSH = 2_000_000              # distinct grams a counting task holds before it
 BLOCK = 4 << 20                # bytes of text handled at a time
 CALIBRATION_SHARE = 8          # one training text in so many is set aside to calibrate the rejection
 CALIBRATION_ROWS = 20_000      # and about so many of these are used
-SIGMAS = 6.0
+SIGMAS = 8.0
 CONFIDENT_CHARS = 50           # a score's evidence is that of at most so many characters
 
 _MASK = [np.uint64((1 << 16 * k) - 1) for k in range(ORDER + 1)]
@@ -154,14 +154,14 @@ def _cells(g: np.ndarray) -> np.ndarray:
 def model_cells(counts: DataFrame) -> DataFrame:
     """(lang, kind, ord, cell, n, types, ones, twos): the model's counts in hash cells.
 
-    Kind 'g' has grams (``ones`` and ``twos`` are how many grams count 1 and 2),
-    kind 'c' contexts (``n`` their mass, ``types`` their distinct successors).
+    Kind 0 has grams (``ones`` and ``twos`` are how many grams count 1 and 2),
+    kind 1 contexts (``n`` their mass, ``types`` their distinct successors).
     """
     tables, table = [], counts
     for k in range(ORDER, 0, -1):
-        tables.append(table.select("lang", F.lit("g").alias("kind"), F.lit(k).alias("ord"), "gram", "n", F.lit(1).cast("long").alias("types")))
+        tables.append(table.select("lang", F.lit(0).alias("kind"), F.lit(k).alias("ord"), "gram", "n", F.lit(1).cast("long").alias("types")))
         context = F.expr("shiftrightunsigned(gram, 16)")
-        tables.append(table.select("lang", F.lit("c").alias("kind"), F.lit(k).alias("ord"), context.alias("gram"), "n", F.lit(1).cast("long").alias("types"))
+        tables.append(table.select("lang", F.lit(1).alias("kind"), F.lit(k).alias("ord"), context.alias("gram"), "n", F.lit(1).cast("long").alias("types"))
                       .groupBy("lang", "kind", "ord", "gram").agg(F.sum("n").alias("n"), F.sum("types").alias("types")))
         table = table.select("lang", F.col("gram").bitwiseAND(F.lit(int(_MASK[k - 1]))).alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n"))
     every = tables[0]
@@ -175,7 +175,7 @@ def model_cells(counts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c) if c != "gram" else cell for c in batch.schema.names],
                                              names=["cell" if c == "gram" else c for c in batch.schema.names])
 
-    hashed = every.mapInArrow(run, "lang string, kind string, ord int, cell int, n bigint, types bigint")
+    hashed = every.mapInArrow(run, "lang string, kind int, ord int, cell int, n bigint, types bigint")
     return hashed.groupBy("lang", "kind", "ord", "cell").agg(
         F.sum("n").alias("n"), F.sum("types").alias("types"),
         F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("ones"), F.sum(F.when(F.col("n") == 2, 1).otherwise(0)).alias("twos"))
@@ -184,18 +184,21 @@ def model_cells(counts: DataFrame) -> DataFrame:
 class Model:
     """Sorted cell arrays per language and order; ``log_probs`` scores packed grams."""
 
-    def __init__(self, cells: pd.DataFrame):
-        self.langs = sorted(cells["lang"].unique(), key=lambda s: s.encode())
+    def __init__(self, langs: list[str]):
+        self.langs = sorted(langs, key=lambda s: s.encode())
         self.arrays: dict[tuple, tuple] = {}
         self.discount: dict[tuple, float] = {}
-        for key, part in cells.groupby(["lang", "kind", "ord"], sort=False):
-            part = part.sort_values("cell")
-            self.arrays[key] = (part["cell"].to_numpy(np.uint32), part["n"].to_numpy(np.float32), part["types"].to_numpy(np.float32))
-            if key[1] == "g":
-                one, two = float(part["ones"].sum()), float(part["twos"].sum())
-                self.discount[key[0], key[2]] = one / (one + 2 * two) if one else 0.5
         self.reject: dict[str, tuple[float, float, float]] = {}
 
+    def add(self, lang: str, kind: int, order: int, cells: pd.DataFrame) -> None:
+        """Store the counts of one language, kind and order (columns of ``model_cells``)."""
+        cells = cells.sort_values("cell")
+        self.arrays[lang, kind, order] = tuple(
+            cells[c].to_numpy(t) for c, t in (("cell", np.uint32), ("n", np.float32), ("types", np.float32)))
+        if kind == 0:
+            one, two = float(cells["ones"].sum()), float(cells["twos"].sum())
+            self.discount[lang, order] = one / (one + 2 * two) if one else 0.5
+
     def _find(self, key: tuple, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cells, n, types = self.arrays[key]
         at = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
@@ -211,8 +214,8 @@ class Model:
             p = np.full(len(packed), 1 / 65536)
             for k in range(1, ORDER + 1):
                 d = self.discount[lang, k]
-                n, _ = self._find((lang, "g", k), grams_[k])
-                total, types = self._find((lang, "c", k), contexts[k])
+                n, _ = self._find((lang, 0, k), grams_[k])
+                total, types = self._find((lang, 1, k), contexts[k])
                 known = total > 0
                 safe = np.where(known, total, 1)
                 p = np.where(known, (np.maximum(n - d, 0) + np.minimum(d * types, total) * p) / safe, p)
@@ -238,10 +241,14 @@ def train_model(train: DataFrame) -> Model | None:
     """The model of rows (text, lang), lang non-null; None if there are none."""
     aside = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(CALIBRATION_SHARE)) == 0
     counts = written(gram_counts(train.where(~aside)), "lid-counts")
-    cells = model_cells(counts).toPandas()       # at most 2^CELL_BITS rows a language, order and kind
-    if not len(cells):
+    cells = written(model_cells(counts).repartitionByRange("lang", "kind", "ord"), "lid-cells")
+    parts = [tuple(r) for r in cells.select("lang", "kind", "ord").distinct().collect()]
+    if not parts:
         return None
-    model = Model(cells)
+    model = Model(list({lang for lang, _, _ in parts}))
+    for lang, kind, order in parts:              # at most 2^CELL_BITS rows each
+        own = (F.col("lang") == lang) & (F.col("kind") == kind) & (F.col("ord") == order)
+        model.add(lang, kind, order, cells.where(own).drop("lang", "kind", "ord").toPandas())
     sent = train.sparkSession.sparkContext.broadcast(model)
     unseen = train.where(aside)
     step = max(1, unseen.count() // CALIBRATION_ROWS)
