@@ -73,28 +73,44 @@ def row_blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[
         a = b
 
 
-def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word of a block, lower-cased in ASCII, with its row.
+def word_spans(offsets: np.ndarray, data: np.ndarray, solid: np.ndarray
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every word of a block: maximal runs of bytes marked in ``solid``.
 
-    Words are maximal runs of bytes that are no ASCII white space; a row's end
-    always ends a word.
+    A row's end always ends a word.
     """
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    solid = ~IS_SPACE[data]
+        return (np.zeros(0, np.int64),) * 3
+    inside = solid[data]
     first = np.zeros(n + 1, dtype=bool)
     first[offsets] = True
-    start, end = solid.copy(), solid.copy()
-    start[1:] &= ~solid[:-1] | first[1:n]
-    end[:-1] &= ~solid[1:] | first[1:n]
+    start, end = inside.copy(), inside.copy()
+    start[1:] &= ~inside[:-1] | first[1:n]
+    end[:-1] &= ~inside[1:] | first[1:n]
     starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
+    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of every span of bytes, lower-cased in ASCII, by prefix sums."""
+    n = len(data)
     power, inverse = _power_tables(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE_VALUE[ASCII_LOWER[data]] * power[:n], out=sums[1:])
-    h = mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-    rows = np.searchsorted(offsets, starts, side="right") - 1
-    return h, rows
+    return mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of every word of a block; words are runs without ASCII white space."""
+    starts, ends, rows = word_spans(offsets, data, ~IS_SPACE)
+    return span_hashes(data, starts, ends), rows
+
+
+def hash_word(word: str) -> int:
+    """The hash that ``span_hashes`` gives a single word."""
+    raw = np.frombuffer(word.encode(), dtype=np.uint8)
+    return int(span_hashes(raw, np.array([0]), np.array([len(raw)]))[0])
 
 
 def shingle_hashes(h: np.ndarray, rows: np.ndarray, n_rows: int, k: int

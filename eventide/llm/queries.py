@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, mixing, near_dedup, sharding
+from . import bpe, exact_dedup, language_id, licenses, mixing, near_dedup, sharding, toxicity
 from .common import documents
 
 OP7_SHARD_BYTES = 1 << 20
@@ -42,6 +42,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.fold(4, 2).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = language_id.fold(5, 0)
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.score(documents(spark, sf_dir, ["doc_id", "text"]), labels, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(documents(spark, sf_dir, ["doc_id", "text"]), *tokenizer())
 
@@ -50,6 +57,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(documents(spark, sf_dir, ["doc_id", "text"]), OP7_SHARD_BYTES)
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir, ["doc_id", "text"])).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir, ["doc_id", "text"]))
 
@@ -58,9 +70,11 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_near_dedup": op2_near_dedup,
     "op4_language_id": op4_language_id,
+    "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_licenses": op10_licenses,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
