@@ -28,8 +28,10 @@ from .common import texts
 TRAIN_ROWS = 50_000     # about so many labelled rows fit the lexicon and the model
 STEMS = (4, 5, 6)       # letters of the stems tried besides whole words
 MIN_TOXIC = 3           # toxic texts that hold a term
-MIN_ODDS = 3.0          # log odds ratio of a term
-MAX_TERMS = 2_000       # strongest terms of the lexicon
+MIN_SHARE = 0.01        # and the share of toxic texts that do
+SPECIFIC = 0.8          # share of a stem's support at which a longer term replaces it
+MIN_ODDS = 4.0          # log odds ratio of a term
+MAX_TERMS = 1_000       # strongest terms of the lexicon
 WINDOW = 6              # words to either side of a hit
 CACHE = 400_000         # words whose match a task remembers
 N_FEATURES = 7
@@ -147,49 +149,99 @@ def _blocks(batches):
             yield batch.slice(a, b - a), offsets[a:b + 1] - offsets[a], data[offsets[a]:offsets[b]]
 
 
-def term_counts(labelled: DataFrame) -> DataFrame:
-    """(term, stem, toxic, clean): texts of either label that hold each word or stem."""
+def word_terms(word: str) -> list[tuple[str, bool]]:
+    """The terms that a text gets from a word: itself and its stems."""
+    return ([(word, False)] if len(word) >= STEMS[0] else []) + [(word[:k], True) for k in STEMS if len(word) > k]
+
+
+def _toxic_terms(toxic: DataFrame, least: float) -> DataFrame:
+    """(term, stem, toxic): toxic texts that hold each term, if at least ``least`` do."""
     def run(batches):
-        counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        counts: Counter = Counter()
 
         def emit():
-            for label, c in counts.items():
-                items = list(c.items())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([t for (t, _), _ in items], pa.string()), pa.array([s for (_, s), _ in items], pa.bool_()),
-                     pa.array([n * label for _, n in items], pa.int64()), pa.array([n * (1 - label) for _, n in items], pa.int64())],
-                    names=["term", "stem", "toxic", "clean"])
-                c.clear()
+            items = list(counts.items())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([t for (t, _), _ in items], pa.string()), pa.array([s for (_, s), _ in items], pa.bool_()),
+                 pa.array([n for _, n in items], pa.int64())], names=["term", "stem", "toxic"])
+            counts.clear()
 
         for rows, offsets, data in _blocks(batches):
             starts, ends, at = K.word_spans(offsets, data, IS_WORD)
             cuts = np.searchsorted(at, np.arange(rows.num_rows + 1))
             raw = data.tobytes()
-            for r, label in enumerate(rows.column("toxic").to_pylist()):
+            for r in range(rows.num_rows):
                 words = {raw[x:y] for x, y in zip(starts[cuts[r]:cuts[r + 1]], ends[cuts[r]:cuts[r + 1]], strict=True)}
-                words = {w.decode(errors="replace").lower() for w in words}
-                own = {(w, False) for w in words if len(w) >= 4}
-                own |= {(w[:k], True) for w in words for k in STEMS if len(w) > k}
-                counts[label].update(own)
-            if sum(map(len, counts.values())) > CACHE:
+                counts.update({t for w in words for t in word_terms(w.decode(errors="replace").lower())})
+            if len(counts) > CACHE:
                 yield from emit()
         yield from emit()
 
-    return (texts(labelled, "toxic").mapInArrow(run, "term string, stem boolean, toxic bigint, clean bigint")
-            .groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+    counted = texts(toxic).mapInArrow(run, "term string, stem boolean, toxic bigint")
+    return counted.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic")).where(F.col("toxic") >= least)
+
+
+def _clean_counts(clean: DataFrame, terms: list[tuple[str, bool]]) -> np.ndarray:
+    """Clean texts that hold each of ``terms``."""
+    sent = clean.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+
+    def run(batches):
+        number, known, total = sent.value, {}, np.zeros(len(sent.value), np.int64)
+        for rows, offsets, data in _blocks(batches):
+            starts, ends, at_row = K.word_spans(offsets, data, IS_WORD)
+            if not len(starts):
+                continue
+            raw = data.tobytes()
+            hashes, first, at = np.unique(K.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+            ids = []
+            for h, i in zip(hashes.tolist(), first.tolist(), strict=True):
+                if h not in known:
+                    own = word_terms(raw[starts[i]:ends[i]].decode(errors="replace").lower())
+                    known[h] = [number[t] for t in own if t in number]
+                ids.append(known[h])
+            sizes = np.array([len(x) for x in ids])
+            flat, begin = np.array([i for x in ids for i in x], dtype=np.int64), np.cumsum(sizes) - sizes
+            pairs = np.unique(at_row * len(hashes) + at)
+            row, word = pairs // len(hashes), pairs % len(hashes)
+            n = sizes[word]
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            held = np.unique(np.repeat(row, n) * len(number) + flat[np.repeat(begin[word], n) + within])
+            total += np.bincount(held % len(number), minlength=len(number))
+            if len(known) > CACHE:
+                known.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], names=["i", "n"])
+
+    out = np.zeros(len(terms))
+    for r in texts(clean).mapInArrow(run, "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        out[r["i"]] = r["n"]
+    return out
 
 
 def learn_lexicon(labelled: DataFrame) -> dict[tuple[str, bool], float]:
-    """The strongest ``MAX_TERMS`` terms with their log odds ratio."""
+    """Terms with their log odds ratio: the strongest ``MAX_TERMS``.
+
+    A term needs ``MIN_TOXIC`` toxic texts and ``MIN_SHARE`` of them, so that what
+    copies of one text share is no term. A stem gives way to a longer term that
+    has nearly its support.
+    """
     n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         return {}
-    odds = (F.log((F.col("toxic") + 0.5) / (n1 - F.col("toxic") + 0.5))
-            - F.log((F.col("clean") + 0.5) / (n0 - F.col("clean") + 0.5)))
-    top = (term_counts(labelled).where(F.col("toxic") >= MIN_TOXIC).withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS)
-           .orderBy(F.desc("odds"), "term", "stem").limit(MAX_TERMS).collect())
-    return {(r["term"], r["stem"]): r["odds"] for r in top}
+    least = max(MIN_TOXIC, MIN_SHARE * n1)
+    found = _toxic_terms(labelled.where("toxic = 1"), least).collect()     # terms of about TRAIN_ROWS texts at most
+    terms = [(r["term"], r["stem"]) for r in found]
+    toxic = np.array([r["toxic"] for r in found], dtype=float)
+    clean = _clean_counts(labelled.where("toxic = 0"), terms) if terms else toxic
+    odds = np.log((toxic + 0.5) / (n1 - toxic + 0.5)) - np.log((clean + 0.5) / (n0 - clean + 0.5))
+    strong = {t: (o, c) for t, o, c in zip(terms, odds.tolist(), toxic.tolist(), strict=True) if o >= MIN_ODDS}
+    longest: dict[str, float] = {}           # best support among the longer terms that begin so
+    for (term, stem), (_, c) in strong.items():
+        for k in STEMS:
+            if k < len(term) or k == len(term) and not stem:
+                longest[term[:k]] = max(longest.get(term[:k], 0.0), c)
+    kept = {t: o for t, (o, c) in strong.items() if not t[1] or longest.get(t[0], 0.0) < SPECIFIC * c}
+    return dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:MAX_TERMS])
 
 
 def features(hits: list[tuple[int, float, int, bool]], n_words: int) -> list[float]:
