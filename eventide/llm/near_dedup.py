@@ -225,17 +225,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 def _cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Likely pairs of different components that share a bucket, found block by block."""
-    m = members.join(labels, "vid", "left").select("key", "vid", F.coalesce("label", "vid").alias("label"))
+    m = members.join(labels, "vid", "left").select("key", "band", "vid", F.coalesce("label", "vid").alias("label"))
     mixed = (m.groupBy("key", "label").count().groupBy("key")
              .agg(F.sum("count").alias("total"), F.max("count").alias("most"),
                   F.max_by("label", F.struct("count", "label")).alias("big"), F.count("*").alias("labels"))
              .where("labels > 1")
              .select("key", "big", F.ceil((F.col("total") - F.col("most")) / PROBES).cast("int").alias("np"),
                      F.ceil(F.col("total") / TARGETS).cast("int").alias("nt")))
-    cols = ["key", "vid", "label", "n_shingles", "sig", "bits"]
-    rows = m.join(mixed, "key").join(classes.select("vid", "n_shingles", "sig", "bits"), "vid")
+    cols = ["key", "band", "vid", "label", "minor", "n_shingles", "sig", "bits"]
+    rows = (m.join(mixed, "key").withColumn("minor", F.col("label") != F.col("big"))
+            .join(classes.select("vid", "n_shingles", "sig", "bits"), "vid"))
     spread = lambda n, salt: F.pmod(F.xxhash64("vid", F.lit(salt)), F.col(n)).cast("int")
-    probes = rows.where("label != big").select(*cols, F.lit(True).alias("probe"),
+    probes = rows.where("minor").select(*cols, F.lit(True).alias("probe"),
                                                spread("np", 1).alias("pb"), F.explode(F.sequence(F.lit(0), F.col("nt") - 1)).alias("tb"))
     targets = rows.select(*cols, F.lit(False).alias("probe"),
                           F.explode(F.sequence(F.lit(0), F.col("np") - 1)).alias("pb"), spread("nt", 2).alias("tb"))
@@ -245,14 +246,17 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, num:
         vid, label = block["vid"].to_numpy(), pd.factorize(block["label"].map(bytes))[0]
         sig = np.frombuffer(b"".join(block["sig"]), dtype=np.uint32).reshape(len(block), -1)
         bits = np.frombuffer(b"".join(block["bits"]), dtype=np.uint64).reshape(len(block), -1)
-        size = block["n_shingles"].to_numpy()
+        size, minor, band = block["n_shingles"].to_numpy(), block["minor"].to_numpy(bool), block["band"].iloc[0]
         p, t = np.flatnonzero(is_probe), np.flatnonzero(~is_probe)
         least, found = needed_matches(num / den)[0], []
         for i in p:
             near = t[label[t] != label[i]]
+            near = near[~minor[near] | (vid[near] > vid[i])]      # two probes meet once
             near = near[(sig[near, :BATCH] == sig[i, :BATCH]).sum(axis=1) >= least]
             if len(near):
                 near = near[similar_signatures(np.broadcast_to(sig[i], (len(near), N_HASHES)), sig[near], num / den)]
+                shared = (sig[near].reshape(-1, BANDS, ROWS) == sig[i].reshape(BANDS, ROWS)).all(axis=2)
+                near = near[shared.argmax(axis=1) == band]        # a pair counts in its first common band
                 near = near[can_reach(bits[i], size[i], bits[near], size[near], num, den)]
                 found += [(min(vid[i], vid[j]), max(vid[i], vid[j])) for j in near]
         return pd.DataFrame(found, columns=["a", "b"])
@@ -279,7 +283,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         F.first("sig").alias("sig"), F.first("bits").alias("bits")), "nd-classes")
     width = 4 * ROWS
     band = (classes.select("vid", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("j"))
-            .select("vid", F.xxhash64("j", F.expr(f"substring(sig, j * {width} + 1, {width})")).alias("key")))
+            .select("vid", F.col("j").alias("band"), F.xxhash64("j", F.expr(f"substring(sig, j * {width} + 1, {width})")).alias("key")))
     shared = band.groupBy("key").agg(F.count("*").alias("n"), F.min("vid").alias("leader")).where("n > 1")
     members = written(band.join(shared.select("key", "leader"), "key"), "nd-members")
 
