@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import texts
+from .common import join_small, texts, written
 
 TRAIN_ROWS = 50_000     # about so many labelled rows fit the lexicon and the model
 STEMS = (4, 5, 6)       # letters of the stems tried besides whole words
@@ -336,18 +336,21 @@ def _with_features(docs: DataFrame, carry: list[str], terms: dict) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame, training: Column) -> DataFrame:
     """Per row of ``docs``: ``doc_id, score, predicted, features``.
 
-    Lexicon and model learn from about ``TRAIN_ROWS`` rows of ``docs`` for which
-    ``training`` holds and ``labels`` (doc_id, toxic) has 0 or 1; a doc_id with
-    several labels counts as toxic if any is 1. Scores use the text alone: a
+    Lexicon and model learn from about ``TRAIN_ROWS`` ids for which ``training``
+    (a condition on doc_id) holds and ``labels`` (doc_id, toxic) has 0 or 1; an id
+    with several labels counts as toxic if any is 1, one with several texts
+    gives its smallest. Scores use the text alone: a
     null or empty text has no hits. With labels of one class or none, the score
     is that class (0 without labels). ``predicted`` is 1 from a score of 0.5.
     Rows stay one to one; repeated rows agree.
     """
-    marks = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", "text").where(training).join(marks, "doc_id").select("doc_id", "text", "toxic")
-    n = docs.select("doc_id").where(training).join(marks, "doc_id").count()
-    step = max(1, math.ceil(n / TRAIN_ROWS))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("text", "toxic")
+    marks = (labels.where("toxic IN (0, 1)").where(training).groupBy("doc_id")
+             .agg(F.max("toxic").cast("int").alias("toxic")))
+    step = max(1, math.ceil(marks.count() / TRAIN_ROWS))
+    ids = written(marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0), "tox-ids")
+    sample = written(join_small(docs.select("doc_id", "text"), ids, "doc_id", max_rows=2 * TRAIN_ROWS)
+                     .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+                     .select("text", "toxic"), "tox-sample")
     terms = learn_lexicon(sample)
     if terms:
         seen: pd.DataFrame = _with_features(sample, ["toxic"], terms).toPandas()   # about TRAIN_ROWS short rows
