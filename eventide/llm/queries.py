@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, licenses, mixing, near_dedup, sharding, toxicity
+from . import bpe, exact_dedup, hnsw, language_id, licenses, mixing, near_dedup, sharding, toxicity
 from .common import documents
 
 OP7_SHARD_BYTES = 1 << 20
@@ -62,6 +62,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet").select("vec_id", "embedding")
+    return hnsw.search(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir, ["doc_id", "text"]))
 
@@ -73,6 +78,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
+    "op8_ann": op8_ann,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_licenses": op10_licenses,
 }
