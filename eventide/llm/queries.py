@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, hnsw, language_id, licenses, mixing, near_dedup, sharding, toxicity
+from . import bpe, exact_dedup, hnsw, language_id, licenses, mixing, near_dedup, pii, sharding, toxicity
 from .common import documents
 
 OP7_SHARD_BYTES = 1 << 20
@@ -36,6 +36,13 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir, ["doc_id", "text"]), words=4)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.find(documents(spark, sf_dir, ["doc_id", "text"]))
+    joined = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    return rows.select("doc_id", *map(count, pii.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, ["doc_id", "text", "lang"])
     return language_id.identify(docs, ~language_id.fold(4, 2)).select(
@@ -74,6 +81,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_near_dedup": op2_near_dedup,
+    "op3_pii": op3_pii,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
