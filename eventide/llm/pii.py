@@ -342,15 +342,16 @@ def train(docs: DataFrame) -> SemiMarkov:
 
     The texts are those with a digit that come first by a hash of the text.
     """
-    sample = (docs.select("text").where(F.col("text").rlike("[0-9]")).withColumn("h", F.xxhash64("text"))
-              .orderBy("h").limit(TRAIN_TEXTS).collect())
+    hashed = docs.select("text", F.xxhash64("text").alias("h")).where(F.col("text").rlike("[0-9]"))
+    first = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(TRAIN_TEXTS).collect()]
+    sample = hashed.where(F.col("h") <= first[-1]).groupBy("h").agg(F.min("text").alias("text")).collect() if first else []
     model = SemiMarkov(_generated_model(GENERATED).w.copy())
-    cut = [(t[max(0, a - 24):b], a - max(0, a - 24), t, a, b) for t in (r["text"] for r in sample) for a, b in regions(t)[:50]]
     examples = []
-    for piece, lead, text, a, b in cut:
-        spans = base_spans(piece)
-        if spans:
-            examples.append((piece, spans))
+    for text in sorted(r["text"] for r in sample):
+        for a, b in regions(text):
+            piece = text[max(0, a - 24):b]
+            if spans := base_spans(piece):
+                examples.append((piece, spans))
     return model.fit(examples[:TRAIN_TEXTS], epochs=1, rate=0.05) if examples else model
 
 
