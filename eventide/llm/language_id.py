@@ -27,7 +27,7 @@ from .common import texts, written
 ORDER = 4
 CELL_BITS = 20
 FLUSH = 2_000_000              # distinct grams a counting task holds before it emits them
-BLOCK = 4 << 20                # bytes of text handled at a time
+BLOCK = 1 << 20                # bytes of text handled at a time
 CALIBRATION_SHARE = 8          # one training text in so many is set aside to calibrate the rejection
 CALIBRATION_ROWS = 20_000      # and about so many of these are used
 SIGMAS = 8.0
