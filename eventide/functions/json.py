@@ -35,7 +35,8 @@ def parse_json(df: DataFrame, value: str, schema, on_error: str = "fail",
     if on_error == "fail":
         boom = F.raise_error(F.concat(F.lit("malformed JSON: "),
                                       F.coalesce(F.col("_raw"), F.lit("NULL"))))
-        return tmp.select(*keep_cols, F.when(bad, boom).otherwise(body).alias(out))
+        # In a generator the check cannot be pruned with the column, so even count() fails.
+        return tmp.select(*keep_cols, F.inline(F.when(bad, boom).otherwise(F.array(F.struct(body.alias(out))))))
     if on_error == "drop":
         t2 = tmp.select(*keep_cols, F.struct(body.alias(out)).alias("_row"), bad.alias("_bad"))
         return t2.select(*keep_cols, F.inline(F.when(~F.col("_bad"), F.array(F.col("_row")))))

@@ -86,7 +86,9 @@ def parse_delimited(df: DataFrame, value: str, schema, sep: str = ",",
     if on_error == "fail":
         boom = F.raise_error(F.concat(F.lit("malformed line: "),
                                       F.coalesce(F.col(value), F.lit("NULL"))))
-        return df.select(*keep_cols, *[F.when(bad, boom).otherwise(c).alias(n) for n, c in fields])
+        # In a generator the check cannot be pruned with the columns, so even count() fails.
+        row = F.array(F.struct(*[c.alias(n) for n, c in fields]))
+        return df.select(*keep_cols, F.inline(F.when(bad, boom).otherwise(row)))
     if on_error == "drop":
         return drop_bad(df.select(*keep_cols, F.struct(*[c.alias(n) for n, c in fields]).alias("_row"),
                                   bad.alias("_bad")), keep or [])

@@ -7,22 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import split_fields
 
-# A dimension is broadcast only when it has at most this many rows; beyond
-# that the same join runs as a shuffle join (AQE may still turn it into a
-# broadcast at run time from measured sizes).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only after checking it has <= ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows and returns a single number
-    to the driver.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def invert_groups(df: DataFrame, group: str, members: str, sep: str = ",",
                   member: str = "member") -> DataFrame:
     """``(group, "m1,m2,...")`` -> one row ``(member, group)`` per member.
@@ -54,8 +38,7 @@ def explode_rows(df: DataFrame, array_col: str, out: str) -> DataFrame:
 def explode_enrich(msgs: DataFrame, array_col: str, carry: list[str],
                    dim: DataFrame | None = None, key: str | None = None,
                    dim_key: str | None = None, dim_value: str | None = None,
-                   element_fields: list[str] | None = None,
-                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   element_fields: list[str] | None = None) -> DataFrame:
     """One row per element of ``array_col`` with message-level fields added.
 
     * an empty or NULL array gives no rows;
@@ -63,8 +46,8 @@ def explode_enrich(msgs: DataFrame, array_col: str, carry: list[str],
       replaces an element field of the same name;
     * with ``dim``, ``dim_value`` is looked up by ``msgs[key] = dim[dim_key]``
       (left outer: unknown keys give NULL, the row is kept). The dimension must
-      have unique keys (see :func:`invert_groups`); it is broadcast only when
-      its checked size allows.
+      have unique keys (see :func:`invert_groups`). Spark picks the join from
+      sizes in bytes; there is no hint.
 
     Output columns: the element fields (minus replaced ones), ``carry``, then
     ``dim_value``. The message stream is never shuffled when the dimension is
@@ -80,15 +63,14 @@ def explode_enrich(msgs: DataFrame, array_col: str, carry: list[str],
     if dim is None:
         return exploded.select(*cols)
     d = dim.select(F.col(dim_key).alias("_key"), F.col(dim_value).alias("_val"))
-    joined = exploded.join(bounded_broadcast(d, broadcast_max_rows), "_key", "left")
+    joined = exploded.join(d, "_key", "left")
     return joined.select(*cols, F.col("_val").alias(dim_value))
 
 
 def explode_enrich_open(msgs: DataFrame, value: str, array_path: str, carry: dict[str, str],
                         dim: DataFrame | None = None, key_path: str | None = None,
                         dim_key: str | None = None, dim_value: str | None = None,
-                        on_error: str = "drop", out: str = "value",
-                        broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        on_error: str = "drop", out: str = "value") -> DataFrame:
     """Open-key form of :func:`explode_enrich` over JSON text.
 
     Elements keep whatever keys they have: each element is read as a VARIANT
@@ -101,19 +83,19 @@ def explode_enrich_open(msgs: DataFrame, value: str, array_path: str, carry: dic
     or fail the job (``"fail"``).
     """
     v = F.try_parse_json(F.col(value))
-    arr = F.variant_get(v, array_path, "array<variant>")
+    arr = F.try_variant_get(v, array_path, "array<variant>")
     bad = arr.isNull()
     if on_error == "fail":
         arr = F.when(bad, F.raise_error(F.concat(F.lit("malformed message: "),
                                                  F.coalesce(F.col(value), F.lit("NULL"))))).otherwise(arr)
     elif on_error != "drop":
         raise ValueError("on_error must be drop or fail")
-    carried = [F.variant_get(v, path, "string").alias(name) for name, path in carry.items()]
-    keyed = [F.variant_get(v, key_path, "string").alias("_key")] if dim is not None else []
+    carried = [F.try_variant_get(v, path, "string").alias(name) for name, path in carry.items()]
+    keyed = [F.try_variant_get(v, key_path, "string").alias("_key")] if dim is not None else []
     exploded = explode_rows(msgs.select(*carried, *keyed, arr.alias("_arr")), "_arr", "_el")
     if dim is not None:
         d = dim.select(F.col(dim_key).alias("_key"), F.col(dim_value).alias("_val"))
-        exploded = exploded.join(bounded_broadcast(d, broadcast_max_rows), "_key", "left")
+        exploded = exploded.join(d, "_key", "left")
     replaced = list(carry) + ([dim_value] if dim is not None else [])
     as_map = F.col("_el").try_cast("map<string,variant>")
     if on_error == "fail":

@@ -8,8 +8,9 @@ instead and the few rows that need a neighbour from another bucket get it
 through a small per-bucket table, so results are exactly the unsplit ones.
 
 ``split="auto"`` picks the bucket length from the data (see
-:func:`auto_split`): about a million rows per (key, bucket) for the largest
-key, never shorter than the pattern's bound.
+:func:`auto_split`): no split while no key is hot, else about a million rows
+per (key, bucket), never shorter than the pattern's bound. Rows without a time
+have a bucket of their own, so no split loses them.
 
 Order within a key is ``order`` (e.g. ``["ts", "event_id"]``); it must be a
 total order per key (carry an arrival sequence when timestamps can tie).
@@ -22,7 +23,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.intervals import interval_str, interval_us
+from pyspark.sql import types as T
+
+from ..functions.intervals import interval_us
+from ..functions.timebucket import epoch_of
 
 
 def _names(c) -> list[str]:
@@ -31,44 +35,66 @@ def _names(c) -> list[str]:
 
 # split="auto" aims at about this many rows per (key, time bucket) group.
 AUTO_SPLIT_ROWS = 1_000_000
+# Bucket of rows without a position: before all others, as NULLs sort first.
+NULL_BUCKET = -(1 << 62)
 
 
-def auto_split(df: DataFrame, keys, ts: str, min_us: int = 1_000_000,
-               target_rows: int = AUTO_SPLIT_ROWS) -> int:
-    """Bucket length (microseconds) so the largest key splits into groups of about
-    ``target_rows`` rows, assuming its rows spread over the data's time span.
+def _position(df: DataFrame, col: str) -> Column | None:
+    """``col`` as a bigint to cut into buckets: microseconds or the number itself; else None."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_diff("MICROSECOND", epoch_of(kind), F.col(col))
+    if isinstance(kind, T.IntegralType):
+        return F.col(col).cast("bigint")
+    return None
 
-    One aggregation job (partial, map-side) returns a single row to the driver.
-    Never shorter than ``min_us``; whole seconds.
-    """
-    keys = _names(keys)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                    F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    r = per_key.agg(F.max("_n").alias("n"), F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
-    if r is None or r["n"] is None:
-        return min_us
-    span_us = int((r["hi"] - r["lo"]).total_seconds() * 1_000_000) + 1
-    buckets = max(1, -(-int(r["n"]) // target_rows))
-    us = max(min_us, span_us // buckets)
-    return -(-us // 1_000_000) * 1_000_000
 
+def _bucket(position: Column, length: int) -> Column:
+    """Bucket number of a position; NULL positions share the first bucket."""
+    whole = F.floor((position - F.pmod(position, F.lit(length))) / F.lit(length)).cast("bigint")
+    return F.coalesce(whole, F.lit(NULL_BUCKET))
 
-def _resolve_split(df: DataFrame, keys, ts, split, min_us: int = 1_000_000):
-    if split == "auto":
-        return interval_str(auto_split(df, keys, ts, min_us=min_us))
-    return split
 
+def auto_split(df: DataFrame, keys, position: Column, min_length: int = 1,
+               target_rows: int = AUTO_SPLIT_ROWS) -> int | None:
+    """Bucket length that cuts every hot key into groups of about ``target_rows`` rows.
 
-def _bucket(ts: str, split) -> Column:
-    return F.window(ts, interval_str(interval_us(split))).start
+    None when no key has more rows than that: one aggregation, no split. Else
+    the length shrinks until the largest (key, bucket) group fits, so a burst is
+    cut as well, but never below ``min_length``; these aggregations read the hot
+    keys only.
+    """
+    keys = _names(keys)
+    p = df.select(*keys, position.alias("_p"))
+    per_key = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
+    hot = per_key.where(F.col("_n") > target_rows)
+    r = hot.agg(F.max("_n").alias("n"), F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
+    if r["n"] is None or r["lo"] is None:
+        return None
+    length = max(min_length, (r["hi"] - r["lo"] + 1) // -(-r["n"] // target_rows))
+    rows = p.join(hot.select(*keys), keys, "left_semi").where("_p IS NOT NULL")
+    while length > min_length:
+        worst = rows.groupBy(*keys, _bucket(F.col("_p"), length).alias("_b")).count().agg(F.max("count")).first()[0] or 0
+        if worst <= target_rows:
+            break
+        length = max(min_length, length // max(2, 2 * worst // target_rows))
+    return length
+
+
+def _resolve_split(df: DataFrame, keys, position: Column, split, min_length: int = 1) -> int | None:
+    if split is None:
+        return None
+    return auto_split(df, keys, position, min_length) if split == "auto" else interval_us(split)
 
 
 def with_previous(df: DataFrame, keys, order, cols, split=None, ts: str | None = None,
                   prev: str = "prev") -> DataFrame:
     """Add struct column ``prev`` = (``order`` + ``cols``) of the previous row of the key.
 
-    ``split`` (with ``ts``) cuts each key's sequence into time buckets; the
-    first row of a bucket takes the last row of the nearest earlier non-empty
+    ``split`` cuts each key's sequence into buckets of the first ``order`` column
+    (a timestamp or an integer; any other is not split). ``ts`` names the column
+    that a time length is meant for: if that is not the first order column, the
+    length comes from the data as with ``"auto"``. The first row of a bucket takes the last row of the nearest earlier non-empty
     bucket of its key. The per-bucket last rows come from a second, narrow
     read of the input aggregated map-side with ``max_by`` (one row per key and
     bucket per task crosses the shuffle). Taking them from the window output
@@ -77,13 +103,14 @@ def with_previous(df: DataFrame, keys, order, cols, split=None, ts: str | None =
     """
     keys, order, cols = _names(keys), _names(order), _names(cols)
     payload = F.struct(*[F.col(c) for c in dict.fromkeys(order + cols)])
-    if split is None:
+    position = _position(df, order[0])
+    if position is not None and split not in (None, "auto") and ts not in (None, order[0]):
+        split = "auto"                    # a time length says nothing about another order
+    length = None if position is None else _resolve_split(df, keys, position, split)
+    if length is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(prev, F.lag(payload).over(w))
-    if ts is None:
-        raise ValueError("split needs ts")
-    split = _resolve_split(df, keys, ts, split)
-    b = df.withColumn("_b", _bucket(ts, split))
+    b = df.withColumn("_b", _bucket(position, length))
     w = Window.partitionBy(*keys, "_b").orderBy(*order)
     inner = b.withColumn(prev, F.lag(payload).over(w))
     # Last row of every (key, bucket), then the previous non-empty bucket's last
@@ -128,7 +155,8 @@ def followed_by_within(df: DataFrame, keys, ts: str, seq: str, is_start: Column,
     or ``pending`` when ``as_of`` is given and ``start.ts + within > as_of``
     (the bound has not passed yet). Two starts before one end both match it;
     one start before two ends matches the first only; an end with no start
-    gives nothing.
+    gives nothing. Rows with a NULL key are ignored; a start without ``ts`` is a
+    ``timeout`` and an end without it matches nothing.
 
     Output: ``keys``, ``start_<seq>``, ``start_<ts>``, ``start_<c>`` for
     ``cols``, ``end_<seq>``, ``end_<ts>``, ``end_<c>`` (NULL unless paid) and
@@ -143,17 +171,17 @@ def followed_by_within(df: DataFrame, keys, ts: str, seq: str, is_start: Column,
     """
     keys, cols = _names(keys), _names(cols)
     within_us = interval_us(within)
-    ev = (df.where(is_start | is_end)
+    ev = (df.where((is_start | is_end) & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
             .select(*keys, ts, seq, *cols, is_start.alias("_s"), is_end.alias("_e")))
     part = list(keys)
-    if split is not None:
-        split = _resolve_split(ev, keys, ts, split, min_us=within_us)
-        split_us = interval_us(split)
+    position = _position(ev, ts)
+    split_us = _resolve_split(ev, keys, position, split, min_length=within_us)
+    if split_us is not None:
         if split_us < within_us:
             raise ValueError("split must be at least as long as within")
-        b = _bucket(ts, split)
-        prev_b = F.expr(f"timestampadd(MICROSECOND, -{split_us}, _b)")
-        near_start = F.expr(f"timestampadd(MICROSECOND, {within_us}, _b) > `{ts}`")
+        b = _bucket(position, split_us)
+        prev_b = F.col("_b") - 1
+        near_start = position - F.col("_b") * F.lit(split_us) < F.lit(within_us)
         ev = (ev.withColumn("_b", b)
                 .withColumn("_own", F.lit(True))
                 .withColumn("_bs", F.when(F.col("_e") & near_start, F.array(F.col("_b"), prev_b))

@@ -19,20 +19,19 @@ folders instead, for external readers of the base.
 Every stored row carries the table columns plus ``_op`` (``U`` upsert or
 ``D`` delete), ``_commit`` and ``_seq`` (arrival order within the commit).
 
-* upsert: precombine the batch per key, write it as commit ``n``; the commit
-  folder is overwritten as a whole, so replaying a batch id leaves the table
+* upsert: precombine the batch per key, write it as commit ``n``; a finished
+  commit is not written again, so replaying a batch id leaves the table
   unchanged.
-* snapshot (merge on read): latest complete base plus every log commit after
-  it, one winner per key by ``(ordering, _commit, _seq)``, deleted winners
-  dropped. When the log since the last compaction is small (checked) the base
-  is read without a shuffle (see :func:`merged`). A row older than the stored one therefore never replaces it, and
-  a key that moves to another day appears once, in its new day.
+* snapshot (merge on read): latest complete base plus every finished commit
+  after it, one winner per key by ``(ordering, _commit, _seq)``, deleted
+  winners dropped. A row older than the stored one therefore never replaces
+  it, and a key that moves to another day appears once, in its new day.
 * changes since: the log rows of later commits, all kinds.
 * compact: write the merged state (deletes kept as tombstones) as a new base
   version, then the version marker. Readers only use bases whose marker
   exists; nothing is overwritten in place.
 
-One writer per table; readers can run at any time.
+One writer per table; readers use finished commits only, so they can run at any time.
 """
 
 from __future__ import annotations
@@ -44,9 +43,6 @@ from pyspark.sql.utils import AnalysisException
 from .changes import precombine
 
 COMMIT_DIR, PART_DIR, VERSION_DIR = "evt_commit", "evt_part", "evt_version"
-# Log winners since the last compaction are broadcast against the base only
-# up to this many rows (checked); beyond it the merge shuffles by key.
-BROADCAST_LOG_ROWS = 2_000_000
 # Compaction aims at about this many rows per base file.
 ROWS_PER_FILE = 4_000_000
 META = ["_op", "_commit", "_seq"]
@@ -70,13 +66,21 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, commit: int, keys,
            files: int | None = None) -> None:
     """Write ``batch`` as commit ``commit`` (U2). Idempotent per commit id.
 
+    A finished commit is never written again, so a replay changes nothing that
+    readers use; what a crash left of an unfinished one is replaced. A NULL key
+    fails the write.
+
     ``op_col`` (optional) holds ``"D"`` for deletes, anything else upserts.
     ``seq`` orders rows that tie on ``ordering`` within the batch (later
     wins). ``files`` fixes the number of files of the commit (default: one
     per shuffle partition left after AQE coalescing).
     """
+    if int(commit) in finished_commits(spark, path):
+        return
     cols = [c for c in batch.columns if c not in ([op_col] if op_col else [])]
-    b = batch.select(*cols,
+    no_key = F.raise_error(F.lit("upsert: NULL key"))
+    values = [F.when(F.col(c).isNull(), no_key).otherwise(F.col(c)).alias(c) if c in _keys(keys) else F.col(c) for c in cols]
+    b = batch.select(*values,
                      (F.when(F.col(op_col) == "D", "D").otherwise("U") if op_col else F.lit("U")).alias("_op"),
                      F.lit(int(commit)).cast("bigint").alias("_commit"),
                      (F.col(seq).cast("bigint") if seq else F.lit(0).cast("bigint")).alias("_seq"))
@@ -94,51 +98,40 @@ def _latest_base(spark: SparkSession, path: str) -> int | None:
     return v.agg(F.max(VERSION_DIR)).first()[0]
 
 
+def finished_commits(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the commits whose write has ended (Spark's success file is there)."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/log/{COMMIT_DIR}=*/_SUCCESS")
+    files = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files)
+
+
 def _log(spark: SparkSession, path: str) -> DataFrame | None:
-    return _read(spark, f"{path}/log")
+    """Rows of finished commits, with the commit id as a column."""
+    ids = finished_commits(spark, path)
+    if not ids:
+        return None
+    return spark.read.option("basePath", f"{path}/log").parquet(*[f"{path}/log/{COMMIT_DIR}={i}" for i in ids])
 
 
-def merged(spark: SparkSession, path: str, keys, ordering,
-           log_broadcast_rows: int = BROADCAST_LOG_ROWS) -> DataFrame:
-    """Winners per key, deletes included (``_op`` kept).
+def merged(spark: SparkSession, path: str, keys, ordering) -> DataFrame:
+    """Winners per key, deletes included (``_op`` kept): base and log in one aggregation.
 
-    With a compacted base (unique keys) and a log since then whose winners
-    number at most ``log_broadcast_rows`` (checked), the base is never
-    shuffled: it streams through a broadcast left join with the log winners,
-    each key keeping the higher-ranked row, and keys that exist only in the
-    log are found by a key-only semi-join against the broadcast keys.
-    Otherwise base and log are merged with one shuffle by key.
+    Reads finished commits only. The log since the base joins its rows before
+    one ``precombine``, so the result does not depend on sizes.
     """
     keys = _keys(keys)
-    rank_cols = _keys(ordering) + ["_commit", "_seq"]
+    ranks = _keys(ordering) + ["_commit"]
     base_v = _latest_base(spark, path)
-    base = None
-    if base_v is not None:
-        base = spark.read.parquet(f"{path}/base/{VERSION_DIR}={base_v}").drop(PART_DIR)
     log = _log(spark, path)
-    if log is not None:
-        if base_v is not None:
-            log = log.where(F.col(COMMIT_DIR) > base_v)
-        log = log.drop(COMMIT_DIR)
-    if base is None and log is None:
+    if base_v is None and log is None:
         raise FileNotFoundError(f"no upsert table at {path}")
-    if base is None:
-        return precombine(log, keys, rank_cols[:-1], seq="_seq")
+    if base_v is None:
+        return precombine(log.drop(COMMIT_DIR), keys, ranks, seq="_seq")
+    base = spark.read.parquet(f"{path}/base/{VERSION_DIR}={base_v}").drop(PART_DIR)
     if log is None:
         return base
-    winners = precombine(log, keys, rank_cols[:-1], seq="_seq")
-    if winners.limit(log_broadcast_rows + 1).count() > log_broadcast_rows:
-        return precombine(base.unionByName(winners), keys, rank_cols[:-1], seq="_seq")
-    cols = base.columns
-    lw = F.broadcast(winners.select(*[F.col(c).alias(c if c in keys else f"_l_{c}") for c in cols]))
-    j = base.join(lw, keys, "left")
-    take_log = (F.col("_l__op").isNotNull()
-                & (F.struct(*[F.col(f"_l_{c}") for c in rank_cols]) > F.struct(*[F.col(c) for c in rank_cols])))
-    updated = j.select(*[F.col(c) if c in keys else F.when(take_log, F.col(f"_l_{c}")).otherwise(F.col(c)).alias(c)
-                         for c in cols])
-    matched = base.select(*keys).join(F.broadcast(winners.select(*keys)), keys, "left_semi")
-    inserted = winners.join(matched, keys, "left_anti")
-    return updated.unionByName(inserted.select(*cols))
+    newer = log.where(F.col(COMMIT_DIR) > base_v).drop(COMMIT_DIR)
+    return precombine(base.unionByName(newer), keys, ranks, seq="_seq")
 
 
 def read_snapshot(spark: SparkSession, path: str, keys, ordering) -> DataFrame:
@@ -168,7 +161,7 @@ def compact(spark: SparkSession, path: str, keys, ordering, partition: str,
     never changes what a snapshot returns. The version is the last commit it
     includes; the marker under ``versions/`` is written only after the base
     folder is complete. The file count is sized from the data: an upper
-    bound on the merged rows (base plus log row counts, which Parquet answers
+    bound on the merged rows (base plus newer commits, which Parquet answers
     from file footers) over ``rows_per_file``, and at least one file per task
     slot.
     """
@@ -178,7 +171,8 @@ def compact(spark: SparkSession, path: str, keys, ordering, partition: str,
     last = log.agg(F.max(COMMIT_DIR)).first()[0]
     m = merged(spark, path, keys, ordering)
     base_v = _latest_base(spark, path)
-    upper = log.count() + (spark.read.parquet(f"{path}/base/{VERSION_DIR}={base_v}").count()
+    newer = log if base_v is None else log.where(F.col(COMMIT_DIR) > base_v)
+    upper = newer.count() + (spark.read.parquet(f"{path}/base/{VERSION_DIR}={base_v}").count()
                            if base_v is not None else 0)
     n = max(spark.sparkContext.defaultParallelism, -(-upper // rows_per_file))
     ranged = m.repartitionByRange(n, partition, *_keys(keys)).sortWithinPartitions(partition)

@@ -88,15 +88,9 @@ def sliding_counts(df: DataFrame, keys, ts: str, size, slide,
     # long that is one bucket or two neighbours.
     first = floor_us(F.col("_p") + F.lit(g_us), bucket_us)
     last = floor_us(F.col("_p") + F.lit(size_us), bucket_us)
-    # An explicit partition count: the pane table is small next to the window
-    # rows it fans out to, so letting AQE coalesce it by size would put the
-    # whole fan-out into a few tasks. Three tasks per slot at most, so small
-    # inputs do not pay for hundreds of near-empty tasks.
-    spark = df.sparkSession
-    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                         3 * spark.sparkContext.defaultParallelism))
+    # No partition count: adaptive execution sizes the tasks and splits skew.
     spread = (p_us.withColumn("_b", F.explode(F.array_distinct(F.array(first, last))))
-                  .repartition(n_parts, *keys, "_b"))
+                  .repartition(*keys, "_b"))
     n_windows = -(-size_us // slide_us)
     offsets = F.sequence(F.lit(0).cast("bigint"), F.lit(n_windows - 1).cast("bigint"))
     ends = (spread.select(*keys, "_b", "_pn", "_p", F.explode(offsets).alias("_i"))

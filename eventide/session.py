@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="eventide-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

@@ -11,7 +11,7 @@ from .lines import read_lines
 def read_json_table(spark: SparkSession, schema, path: str | None = None, topic: str | None = None,
                     bootstrap: str | None = None, stream: bool = False,
                     starting: str = "earliest") -> DataFrame:
-    """JSON lines as a typed table (columns of ``schema``)."""
+    """JSON lines as a typed table: columns of ``schema`` and the arrival ``seq``."""
     lines = read_lines(spark, path=path, topic=topic, bootstrap=bootstrap, stream=stream,
                        starting=starting)
-    return parse_json(lines, "value", schema, on_error="drop").select("msg.*")
+    return parse_json(lines, "value", schema, on_error="drop", keep=["seq"]).select("msg.*", "seq")

@@ -23,14 +23,14 @@ def stream_followed_by_within(events: DataFrame, key: str, ts: str, seq: str,
     Starts are left-outer joined to ends of the same key with
     ``start <= end.ts < start.ts + within`` (ties on ``ts`` broken by
     ``seq``); the earliest joined end pays the start, no end means timeout.
-    Both sides are watermarked, so join state is dropped once the bound has
+    Rows with a NULL key are ignored. Both sides are watermarked, so join state is dropped once the bound has
     passed; a start is emitted when the watermark passes ``start + within``.
     JVM only: the join and the aggregation are built-in stateful operators.
     """
     cols = list(cols)
     us = interval_us(within)
     ntz = isinstance(events.schema[ts].dataType, T.TimestampNTZType)
-    e = (events.withColumn("_et", ntz_to_instant(F.col(ts)) if ntz else F.col(ts))
+    e = (events.where(F.col(key).isNotNull()).withColumn("_et", ntz_to_instant(F.col(ts)) if ntz else F.col(ts))
                .withWatermark("_et", delay))
 
     def back(c: Column) -> Column:
@@ -88,7 +88,11 @@ def stream_adjacent_change(events: DataFrame, key: str, order: list[str], value:
     order, cols = list(order), list(cols)
     ship_package(events.sparkSession)
     carried = list(dict.fromkeys(order + [value] + cols))
-    base = events.where(F.col(key).isNotNull()).select(key, *carried)
+    # Integers cross pandas as exact decimals: a NULL or a shift would make them floats.
+    kinds = events.schema
+    exact = lambda c: F.col(c).cast("decimal(20,0)") if isinstance(kinds[c].dataType, T.IntegralType) else F.col(c)
+    base = events.where(F.col(key).isNotNull()).select(key, *[exact(c).alias(c) for c in carried if c != key])
+    carried = [c for c in carried if c != key]
     in_schema = base.schema
     fields = [in_schema[c] for c in carried]
     out_schema = T.StructType([in_schema[key]] + [T.StructField(c, in_schema[c].dataType) for c in carried]
@@ -98,7 +102,7 @@ def stream_adjacent_change(events: DataFrame, key: str, order: list[str], value:
     def step(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="mergesort")
         pdf = pdf.reset_index(drop=True)
-        prev = pdf[carried].shift(1)
+        prev = pdf[carried].astype(object).shift(1)
         if state.exists:
             last = state.get
             for i, c in enumerate(carried):
@@ -116,5 +120,7 @@ def stream_adjacent_change(events: DataFrame, key: str, order: list[str], value:
         state.update(tuple(_plain(tail[c]) for c in carried))
         yield out[[f.name for f in out_schema.fields]]
 
-    return base.groupBy(key).applyInPandasWithState(
+    out = base.groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    back = lambda c, name: F.col(name).cast(kinds[c].dataType).alias(name)
+    return out.select(key, *[back(c, c) for c in carried], *[back(c, f"prev_{c}") for c in carried])

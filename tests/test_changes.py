@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def test_upsert_rules(spark):
     assert sorted(p.rsplit("=", 1)[1] for p in glob.glob(f"{path}/base/evt_version=3/evt_part=*")) == ["d2", "d3"]
 
 
-def test_snapshot_paths_agree_after_compaction(spark):
+def test_snapshot_after_compaction(spark):
     from eventide.operators.upsert import merged
     path = scratch_path(spark, "t-paths")
     up = lambda rows, c: upsert(spark, path, _batch(spark, rows), c, "id", "ts", "day", op_col="op")
@@ -79,22 +80,39 @@ def test_snapshot_paths_agree_after_compaction(spark):
     up([(1, "stale", 5, "d1", "U"), (2, "newer", 11, "d3", "U"), (3, "x", 12, "d2", "D"),
         (5, "fresh", 1, "d4", "U"), (4, "tie", 10, "d2", "U")], 2)
     want = [(1, "a", "d1"), (2, "newer", "d3"), (4, "tie", "d2"), (5, "fresh", "d4")]
-    for limit in (2_000_000, 0):                   # broadcast path, then the shuffle fallback
-        m = merged(spark, path, "id", "ts", log_broadcast_rows=limit)
-        got = sorted((r.id, r.v, r.day) for r in m.where(F.col("_op") != "D").collect())
-        assert got == want, limit
+    m = merged(spark, path, "id", "ts")
+    assert sorted((r.id, r.v, r.day) for r in m.where(F.col("_op") != "D").collect()) == want
 
 
-def test_insert_values_demo_table(spark):
-    # Fixture rows from FIXTURES.md §2: two INSERT ... VALUES into a keyed table.
+def test_insert_values_table(spark):
+    # Two INSERT ... VALUES into a keyed table.
     path = scratch_path(spark, "t-values")
     schema = "uuid string, name string, age int, ts string, partition string"
-    upsert(spark, path, spark.createDataFrame([("id1", "Danny", 23, "1688271146", "par1")], schema),
-           1, "uuid", "ts", "partition")
-    upsert(spark, path, spark.createDataFrame([("id2", "Stephen", 33, "20230516131853008", "par1")], schema),
-           2, "uuid", "ts", "partition")
-    got = sorted(tuple(r) for r in read_snapshot(spark, path, "uuid", "ts").orderBy("uuid").collect())
-    assert got == [("id1", "Danny", 23, "1688271146", "par1"), ("id2", "Stephen", 33, "20230516131853008", "par1")]
+    rows = [("k-7", "Mira", 41, "1700000001", "north"), ("k-8", "Oskar", 19, "1700000002", "north")]
+    for n, row in enumerate(rows, 1):
+        upsert(spark, path, spark.createDataFrame([row], schema), n, "uuid", "ts", "partition")
+    assert sorted(tuple(r) for r in read_snapshot(spark, path, "uuid", "ts").collect()) == rows
+
+
+def test_unfinished_commit_is_not_read_and_replaced_by_its_replay(spark):
+    import glob
+    import os
+    path = scratch_path(spark, "t-crash")
+    up = lambda rows, c: upsert(spark, path, _batch(spark, rows), c, "id", "ts", "day", op_col="op")
+    up([(1, "a", 1, "d1", "U")], 1)
+    up([(2, "b", 1, "d1", "U")], 2)
+    folder = f"{path}/log/evt_commit=2".removeprefix("file:")
+    for f in glob.glob(f"{folder}/*_SUCCESS") + glob.glob(f"{folder}/.*_SUCCESS*"):
+        os.remove(f)                               # a crash imitated: part files without the success file
+    assert _snap(spark, path) == [(1, "a", "d1")]
+    assert compact(spark, path, "id", "ts", "day") == 1
+    up([(2, "b", 1, "d1", "U"), (3, "c", 1, "d1", "U")], 2)
+    assert _snap(spark, path) == [(1, "a", "d1"), (2, "b", "d1"), (3, "c", "d1")]
+    before = sorted(glob.glob(f"{folder}/part-*"))
+    up([(2, "b", 1, "d1", "U"), (3, "c", 1, "d1", "U")], 2)          # a finished commit is not written again
+    assert sorted(glob.glob(f"{folder}/part-*")) == before
+    with pytest.raises(Exception, match="NULL key"):
+        up([(None, "x", 1, "d1", "U")], 3)
 
 
 def test_upsert_random_model(spark):
@@ -119,15 +137,3 @@ def test_upsert_random_model(spark):
         want = sorted((k, v, day) for k, (_, v, day, op) in state.items() if op != "D")
         got = sorted((r.id, r.v, r.day) for r in read_snapshot(spark, path, "id", "ts").collect())
         assert got == want, commit
-
-
-def test_snapshot_fast_path_plan(spark):
-    from eventide.operators.upsert import merged
-    path = scratch_path(spark, "t-plan")
-    upsert(spark, path, _batch(spark, [(i, "a", 1, "d1", "U") for i in range(50)]), 1, "id", "ts", "day", op_col="op")
-    compact(spark, path, "id", "ts", "day")
-    upsert(spark, path, _batch(spark, [(1, "b", 2, "d1", "U")]), 2, "id", "ts", "day", op_col="op")
-    fast = merged(spark, path, "id", "ts")._jdf.queryExecution().executedPlan().toString()
-    slow = merged(spark, path, "id", "ts", log_broadcast_rows=0)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in fast and "LeftOuter" in fast   # base streams past the log winners
-    assert "LeftOuter" not in slow                                # fallback: one merge by key

@@ -88,10 +88,40 @@ def test_c2_random_split_equals_model(spark):
 
 
 def test_auto_split_sizes_buckets(spark):
-    from eventide.operators.sequence import auto_split
+    from eventide.operators.sequence import _position, auto_split
     rows = [(1 if i % 3 else 2, sec(i * 60), i) for i in range(3000)]   # key 1 holds 2/3 of the rows
     df = spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, seq bigint")
-    us = auto_split(df, "k", "ts", target_rows=500)
-    span_us = 2999 * 60 * 1_000_000
-    assert us == -(-(span_us // 4) // 1_000_000) * 1_000_000    # 2000 rows / 500 -> 4 buckets
-    assert auto_split(df, "k", "ts", min_us=10**15, target_rows=500) == 10**15
+    p = _position(df, "ts")
+    assert auto_split(df, "k", p, target_rows=5000) is None             # no hot key, no split
+    assert 2900 * 60 * 1_000_000 // 16 <= auto_split(df, "k", p, target_rows=500) <= 3000 * 60 * 1_000_000 // 4
+    assert auto_split(df, "k", p, min_length=10**15, target_rows=500) == 10**15
+    burst = spark.createDataFrame([(1, sec(0), -1), (1, sec(30 * 86400), -2)] + [(1, sec(9 * 86400 + i // 50), i) for i in range(3000)],
+                                  "k bigint, ts timestamp_ntz, seq bigint")
+    assert auto_split(burst, "k", _position(burst, "ts"), target_rows=500) <= 10_000_000
+
+
+def _null_rows():
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), None if rnd.random() < 0.1 else sec(rnd.randrange(0, 5000, 7)), i, rnd.choice("1229"))
+            for i in range(600)]
+    return rows + [("hot", sec(60 + i % 60), 1000 + i, rnd.choice("12")) for i in range(400)]      # one busy minute
+
+
+def test_splits_agree_with_null_times_keys_and_a_burst(spark, monkeypatch):
+    from eventide.operators import sequence
+    monkeypatch.setattr(sequence, "AUTO_SPLIT_ROWS", 50)
+    monkeypatch.setattr(sequence.auto_split, "__defaults__", (1, 50))
+    df = spark.createDataFrame(_null_rows(), "k string, ts timestamp_ntz, seq bigint, v string").cache()
+    for order in (["ts", "seq"], ["seq"]):
+        results = []
+        for split in (None, "1 minute", "auto"):
+            out = sequence.adjacent_change(df, "k", order, "v", split=split, ts="ts")
+            results.append(sorted(map(repr, out.collect())))
+        assert results[0] == results[1] == results[2] and results[0]
+    results = []
+    for split in (None, "1 minute", "auto"):
+        out = sequence.followed_by_within(df, "k", "ts", "seq", F.col("v") == "1", F.col("v") == "2", "10 seconds", split=split)
+        results.append(sorted(map(repr, out.collect())))
+    assert results[0] == results[1] == results[2]
+    starts = sum(k is not None and v == "1" for k, _, _, v in _null_rows())
+    assert len(results[0]) == starts                 # no start is lost, whatever its time

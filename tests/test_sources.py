@@ -42,3 +42,26 @@ def test_tables_and_views(spark):
     register_views(spark, SF, ["region", "nation"])
     assert spark.sql("SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey").first()[0] == 25
     assert read_table(spark, SF, "events").count() == 1000
+
+
+def test_line_stream_from_files_keeps_arrival_order(spark, tmp_path):
+    from eventide.operators.sequence import adjacent_change
+    from eventide.sources.lines import read_lines, with_arrival
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    (src / "a.txt").write_text("u1,1\nu1,2\nu2,1\n")
+    lines = read_lines(spark, path=str(src), stream=True)
+
+    def keep(batch, batch_id):
+        with_arrival(batch, batch_id).write.parquet(f"{out}/batch={batch_id}")
+
+    for extra in (None, "u1,2\nu1,1\n"):
+        if extra:
+            (src / "b.txt").write_text(extra)
+        q = (lines.writeStream.foreachBatch(keep).option("checkpointLocation", str(tmp_path / "cp"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    rows = spark.read.parquet(str(out)).orderBy("seq")
+    assert [r.value for r in rows.collect()] == ["u1,1", "u1,2", "u2,1", "u1,2", "u1,1"]
+    events = rows.selectExpr("split(value, ',')[0] AS k", "split(value, ',')[1] AS v", "seq")
+    assert [(r.prev_v, r.v) for r in adjacent_change(events, "k", ["seq"], "v").orderBy("seq").collect()] == [("1", "2"), ("2", "1")]

@@ -61,12 +61,12 @@ def test_top_n_plans_group_limit(spark):
 
 def test_report_layout(spark):
     end = dt.datetime(2017, 11, 26, 9, 5)
-    df = spark.createDataFrame([(end, 12224, 2413, 0), (end, 7, 10, 1)],
+    df = spark.createDataFrame([(end, 30577, 918, 0), (end, 7, 10, 1)],
                                "window_end timestamp_ntz, item_id bigint, n bigint, rank int")
     r = render_ranking(df, "window_end", "item_id", "n").first()
     assert r.report == ("====================================\n"
                         "时间: 2017-11-26 09:05:00.0\n"
-                        "No0:  商品ID=12224  浏览量=2413\n"
+                        "No0:  商品ID=30577  浏览量=918\n"
                         "No1:  商品ID=7  浏览量=10\n"
                         "====================================\n\n")
 
