@@ -33,7 +33,7 @@ END_OF_INPUT = dt.datetime(2999, 1, 1)
 
 
 def _files_per_slice(spark: SparkSession) -> int:
-    return max(1, min(4, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return spark.sparkContext.defaultParallelism
 
 
 def _staged_events(spark: SparkSession, sf_dir: str, root: str, types: tuple[str, ...] = ()):

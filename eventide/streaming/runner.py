@@ -52,10 +52,15 @@ def stage_by_time(df: DataFrame, ts: str, path: str, slices: int, files_per_slic
     ``maxFilesPerTrigger`` value to use.
     """
     lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    if lo is None:                                  # no row has a time: one slice
+        df.repartition(files_per_slice).write.mode("append").parquet(path)
+        return files_per_slice
     step = (hi - lo) / slices
     bounds = [lo + step * i for i in range(slices)] + [hi]
     for i in range(slices):
         cond = (F.col(ts) >= bounds[i]) & ((F.col(ts) < bounds[i + 1]) if i < slices - 1 else F.lit(True))
+        if i == 0:
+            cond = cond | F.col(ts).isNull()         # rows without a time come first, as they sort
         df.where(cond).repartition(files_per_slice).write.mode("append").parquet(path)
     return files_per_slice
 

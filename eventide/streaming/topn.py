@@ -13,6 +13,8 @@ replayed batch id replaces its own output instead of duplicating it.
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +38,22 @@ def window_counts_stream(events: DataFrame, keys, et: str, size, slide,
                          count_col: str = "n") -> DataFrame:
     """Append-mode counts per key and sliding window; ``window_end`` as ``timestamp_ntz``.
 
+    Two chained aggregations: events are counted per pane (the greatest common
+    divisor of size and slide), closed panes are summed per window. So the
+    fan-out to windows is per pane and key and not per event.
+
     ``et`` is a watermarked event-time column (see :func:`event_time`). Put the
     watermark before any filter, so that every row -- including rows the
     filter drops -- moves event time forward.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    agg = (events.groupBy(*keys, F.window(et, interval_str(interval_us(size)),
-                                          interval_str(interval_us(slide))).alias("_w"))
-             .agg(F.count(F.lit(1)).alias(count_col)))
+    size_us, slide_us = interval_us(size), interval_us(slide)
+    pane_us = gcd(size_us, slide_us)
+    panes = (events.groupBy(*keys, F.window(et, interval_str(pane_us)).alias("_p"))
+             .agg(F.count(F.lit(1)).alias("_n")))
+    agg = (panes.select(*keys, F.window_time("_p").alias("_pt"), "_n")
+           .groupBy(*keys, F.window("_pt", interval_str(size_us), interval_str(slide_us)).alias("_w"))
+           .agg(F.sum("_n").alias(count_col)))
     return agg.select(*keys, instant_to_ntz(F.col("_w.end")).alias("window_end"), count_col)
 
 
