@@ -53,15 +53,14 @@ ORACLE: dict[str, str] = {
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
 _ETL = """
-  WITH areas AS (SELECT n.n_name AS country, max(r.r_name) AS area
-                 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-                 WHERE r.r_name <> 'MIDDLE EAST' GROUP BY n.n_name)
+  WITH areas AS (SELECT n.n_name AS country, CASE WHEN n.n_nationkey % 5 = 0 THEN 'WORLD' ELSE r.r_name END AS area
+                 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)
   SELECT l.l_returnflag AS type, l.l_discount AS score, l.l_linestatus AS level,
          l.l_linenumber AS line, strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS dt, a.area
   FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
-  LEFT JOIN areas a ON a.country = n.n_name"""
+  LEFT JOIN areas a ON a.country = CASE WHEN o.o_custkey % 10 = 0 THEN '?' || n.n_name ELSE n.n_name END"""
 
 _ORDER_STATUS = """
   WITH s AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type = 'click'),
@@ -94,9 +93,8 @@ ORACLE.update({
   FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
   WHERE e.event_type = 'click'""",
     "dimension_inverted": """
-  SELECT n.n_name AS country, max(r.r_name) AS area
-  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE r.r_name <> 'MIDDLE EAST' GROUP BY n.n_name""",
+  SELECT n.n_name AS country, CASE WHEN n.n_nationkey % 5 = 0 THEN 'WORLD' ELSE r.r_name END AS area
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "etl_enriched": f"SELECT type, score, level, dt, area FROM ({_ETL}) x",
     "etl_enriched_json": f"""
   SELECT '{{"type":"' || type || '","score":' || CAST(score AS VARCHAR)

@@ -34,20 +34,22 @@ def parse_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ip,userId,epochMillis,method,url`` per click (a GET of its page)."""
-    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "click")
+    """``ip,userId,epochMillis,method,url`` per event: a click is a GET of its page, the rest are POSTs."""
+    ev = read_table(spark, sf_dir, "events")
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     n_pages = pages.select(F.count(F.lit(1))).scalar()
-    clicks = ev.select((F.col("event_id") % n_pages).alias("page_id"), "user_id", "ts")
+    clicks = ev.select((F.col("event_id") % n_pages).alias("page_id"), "user_id", "ts",
+                       F.when(F.col("event_type") == "click", "GET").otherwise("POST").alias("method"))
     j = clicks.join(pages, "page_id")
     return j.select(F.concat_ws(",",
                                 F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"),
                                          F.lit("."), F.col("page_id") % 256),
-                                "user_id", ts_to_epoch_millis("ts"), F.lit("GET"), "url").alias("value"))
+                                "user_id", ts_to_epoch_millis("ts"), "method", "url").alias("value"))
 
 
 def parse_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = parse_delimited(access_lines(spark, sf_dir), "value", ACCESS_SCHEMA)
+    """All lines parsed, then the job's filter on GET."""
+    p = parse_delimited(access_lines(spark, sf_dir), "value", ACCESS_SCHEMA).where(F.col("method") == "GET")
     return p.withColumn("event_time", epoch_millis_to_ts("event_ms"))
 
 

@@ -145,7 +145,8 @@ def stream_etl_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-etl")
     etl.messages(spark, sf_dir).repartition(_files_per_slice(spark)).write.parquet(f"{root}/in")
     etl.dimension_inverted(spark, sf_dir).write.parquet(f"{root}/dim")
-    msgs = (spark.readStream.schema("value string").option("maxFilesPerTrigger", 1)
+    per = max(1, _files_per_slice(spark) // 4)
+    msgs = (spark.readStream.schema("value string").option("maxFilesPerTrigger", per)
             .parquet(f"{root}/in"))
     parsed = parse_json(msgs, "value", etl.MESSAGE_SCHEMA, required=["data"]).select("msg.*")
     dim = DimensionSnapshot(lambda s: s.read.parquet(f"{root}/dim"))

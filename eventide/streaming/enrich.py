@@ -13,21 +13,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.enrich import explode_enrich
 
 
 class DimensionSnapshot:
-    """Last non-empty dimension snapshot, refreshed on demand."""
+    """Last non-empty dimension snapshot, refreshed on demand.
+
+    A refresh reads the source once and checkpoints it only if its rows (count
+    and sum of row hashes) differ from the kept ones.
+    """
 
     def __init__(self, load: Callable[[SparkSession], DataFrame]):
         self.load = load
         self.current: DataFrame | None = None
+        self.state: tuple | None = None
 
     def refresh(self, spark: SparkSession) -> DataFrame | None:
-        new = self.load(spark)
-        if new.limit(1).count() > 0:
-            self.current = new.checkpoint(eager=True)
+        new = self.load(spark).persist()
+        try:
+            row = F.xxhash64(*[F.col(f"`{c}`") for c in new.columns]) if new.columns else F.lit(0)
+            state = tuple(new.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(20,0)"))).first())
+            if state[0] > 0 and state != self.state:
+                self.current, self.state = new.checkpoint(eager=True), state
+        finally:
+            new.unpersist()
         return self.current
 
 
