@@ -78,8 +78,9 @@ def precombine(df: DataFrame, keys, ordering, seq: str | None = None) -> DataFra
 
     ``ordering`` is one column or a list compared left to right; equal
     ordering values go to the greater ``seq`` (later arrival). Written as a
-    ``max_by`` aggregation, so it combines map-side before the shuffle and a
-    hot key costs one row per task, not a sort of all its rows.
+    ``max_by`` aggregation, so it combines map-side and a hot key sends one row
+    per task over the shuffle. (Spark plans it as a sort aggregation: every task
+    sorts its own rows by key before and after the shuffle.)
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     ordering = [ordering] if isinstance(ordering, str) else list(ordering)

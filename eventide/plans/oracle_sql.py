@@ -189,6 +189,25 @@ ORACLE.update({
 })
 
 # Streaming forms produce exactly the rows of their batch queries.
+ORACLE["login_changes_from_text"] = f"""
+  WITH e AS (SELECT user_id, event_id, {_K} AS k FROM events WHERE user_id IS NOT NULL),
+       l AS (SELECT *, lag(event_id) OVER w AS prev_event_id, lag(k) OVER w AS prev_k, row_number() OVER w AS rn
+             FROM e WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+  SELECT user_id, event_id, k, prev_event_id, prev_k FROM l WHERE rn > 1 AND k IS DISTINCT FROM prev_k"""
+ORACLE["order_status_from_text"] = """
+  WITH ev AS (SELECT user_id, event_id, event_type,
+                     CASE WHEN event_id % 97 <> 0 THEN date_trunc('second', ts) END AS ts FROM events),
+       m AS (SELECT s.user_id, s.event_id AS start_event_id, s.ts AS start_ts, n.event_id AS n_event_id, n.ts AS n_ts,
+                    coalesce(n.ts < s.ts + INTERVAL 1 HOUR, false) AS paid
+             FROM ev s LEFT JOIN LATERAL (
+                 SELECT e.event_id, e.ts FROM ev e
+                 WHERE e.event_type = 'purchase' AND e.user_id = s.user_id
+                   AND (e.ts > s.ts OR (e.ts = s.ts AND e.event_id > s.event_id))
+                 ORDER BY e.ts, e.event_id LIMIT 1) n ON TRUE
+             WHERE s.event_type = 'click')
+  SELECT user_id, start_event_id, start_ts, CASE WHEN paid THEN n_event_id END AS end_event_id,
+         CASE WHEN paid THEN n_ts END AS end_ts, CASE WHEN paid THEN 'paid' ELSE 'timeout' END AS status
+  FROM m"""
 for _name in ("hot_items_top5", "hot_urls_top5", "order_status", "order_timeout", "adjacent_change", "etl_enriched",
               "upsert_snapshot", "changes_since"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]

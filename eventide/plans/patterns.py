@@ -13,7 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.parse import parse_datetime, parse_delimited
 from ..operators.sequence import adjacent_change, followed_by_within
+from ..session import scratch_path
+from ..sources.lines import read_lines, write_lines
 from ..sources.tables import read_table
 
 WITHIN = "1 hour"
@@ -51,3 +54,24 @@ def order_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.where(F.col("status") == "timeout").select(
         "user_id", F.col("start_event_id").alias("event_id"), F.col("start_ts").alias("ts"),
         F.col("start_value").alias("value"))
+
+
+def login_changes_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``arrival,user,k`` lines: consecutive lines of a user, by arrival, whose ``k`` differs."""
+    path = scratch_path(spark, "login-lines")
+    k = F.get_json_object("props", "$.k")
+    write_lines(_events(spark, sf_dir).select(F.concat_ws(",", "event_id", "user_id", k).alias("value")), path)
+    lines = parse_delimited(read_lines(spark, path), "value", "event_id bigint, user_id bigint, k bigint")
+    return adjacent_change(lines, "user_id", ["event_id"], "k", split=SPLIT)
+
+
+def order_status_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id,status,user,date`` lines: status 1 starts an order, 2 pays it."""
+    path = scratch_path(spark, "order-lines")
+    kind = F.col("event_type")
+    status = F.when(kind == "click", "1").when(kind == "purchase", "2").otherwise("9")
+    date = F.when(F.col("event_id") % 97 == 0, "n/a").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    write_lines(_events(spark, sf_dir).select(F.concat_ws(",", "event_id", status, "user_id", date).alias("value")), path)
+    lines = parse_delimited(read_lines(spark, path), "value", "event_id bigint, status string, user_id bigint, date string")
+    return followed_by_within(lines.withColumn("ts", parse_datetime("date")), "user_id", "ts", "event_id",
+                              F.col("status") == "1", F.col("status") == "2", WITHIN, split=SPLIT)

@@ -27,6 +27,8 @@ QUERIES: dict[str, Query] = {
     "order_status": patterns.order_status,
     "order_paid": patterns.order_paid,
     "order_timeout": patterns.order_timeout,
+    "login_changes_from_text": patterns.login_changes_from_text,
+    "order_status_from_text": patterns.order_status_from_text,
     "order_derived": cdc.order_derived,
     "order_table_snapshot": cdc.order_table_snapshot,
     "changes_decoded": cdc.changes_decoded,
