@@ -12,7 +12,7 @@ _UNITS_US = {
 }
 
 
-def interval_us(value: str | int | float | _dt.timedelta) -> int:
+def interval_us(value: str | int | float | _dt.timedelta, zero: bool = False) -> int:
     """Length of an interval in microseconds.
 
     Accepts a ``timedelta``, a number of seconds, or the ``"<n> <unit>"``
@@ -32,7 +32,7 @@ def interval_us(value: str | int | float | _dt.timedelta) -> int:
         if unit not in _UNITS_US:
             raise ValueError(f"unknown interval unit in {value!r}")
         total += int(float(num) * _UNITS_US[unit])
-    if total <= 0:
+    if total < 0 or total == 0 and not zero:
         raise ValueError(f"interval must be positive: {value!r}")
     return total
 

@@ -1,35 +1,22 @@
-"""Keyed, day-partitioned upsert table on plain Parquet.
-
-Layout under ``path``::
-
-    log/evt_commit=<n>/*.parquet      one folder per commit, rows sorted by day
-    base/evt_version=<n>/*.parquet    compacted snapshots, range-partitioned by (day, key)
-    versions/evt_version=<n>/*.parquet  written after a base is complete
-
-Rows are never laid out one folder per day by default: a snapshot has to
-merge every day anyway (a key can move between days), so day folders would
-not prune a snapshot read, and small days would cost one file each. Commits
-are written as a few files sorted by day; compaction range-partitions the
-merged rows by ``(day, key)`` -- equal row counts per task, a large day split
-over several files, runs of small days sharing one -- so every file covers a
-contiguous day range and Parquet statistics skip the other days.
-``compact(..., day_folders=True)`` writes Hive-style ``<partition>=<day>``
-folders instead, for external readers of the base.
-
-Every stored row carries the table columns plus ``_op`` (``U`` upsert or
-``D`` delete), ``_commit`` and ``_seq`` (arrival order within the commit).
-
-* upsert: precombine the batch per key, write it as commit ``n``; a finished
-  commit is not written again, so replaying a batch id leaves the table
-  unchanged.
-* snapshot (merge on read): latest complete base plus every finished commit
-  after it, one winner per key by ``(ordering, _commit, _seq)``, deleted
-  winners dropped. A row older than the stored one therefore never replaces
-  it, and a key that moves to another day appears once, in its new day.
+"""Keyed upsert table as a log of changes on plain Parquet.
+
+Layout under ``path``: ``log/evt_commit=<n>/*.parquet``, one folder per commit.
+Every stored row carries the table columns plus ``_op``, ``_commit`` and
+``_seq`` (arrival order within the commit). ``_op`` is ``D`` or ``-D`` for a
+delete and ``-U`` for a retraction, which is logged but never a table row; any
+other value upserts.
+
+* upsert: write all change rows of a batch as commit ``n``, none left out; a
+  finished commit is not written again, so replaying a batch id leaves the
+  table unchanged.
+* snapshot (merge on read): one winner per key by ``(ordering, _commit, _seq)``
+  over the finished commits, deleted winners dropped. A row older than the
+  stored one therefore never replaces it, and a key that moves to another day
+  appears once, in its new day.
 * changes since: the log rows of later commits, all kinds.
-* compact: write the merged state (deletes kept as tombstones) as a new base
-  version, then the version marker. Readers only use bases whose marker
-  exists; nothing is overwritten in place.
+* a reader that has merged the log up to some commit can keep the result
+  (:func:`merge_changes`, written wherever it likes) and merge later commits
+  onto it; deletes stay in it as tombstones, so the snapshot is the same.
 
 One writer per table; readers use finished commits only, so they can run at any time.
 """
@@ -38,13 +25,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from .changes import precombine
+from ..session import finished_ids
+from .changes import DELETE, UPDATE_BEFORE, precombine
 
-COMMIT_DIR, PART_DIR, VERSION_DIR = "evt_commit", "evt_part", "evt_version"
-# Compaction aims at about this many rows per base file.
-ROWS_PER_FILE = 4_000_000
+COMMIT_DIR = "evt_commit"
 META = ["_op", "_commit", "_seq"]
 
 
@@ -52,134 +37,72 @@ def _keys(k) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
-def upsert(spark: SparkSession, path: str, batch: DataFrame, commit: int, keys, ordering,
-           partition: str, op_col: str | None = None, seq: str | None = None,
-           files: int | None = None) -> None:
-    """Write ``batch`` as commit ``commit`` (U2). Idempotent per commit id.
+def upsert(spark: SparkSession, path: str, batch: DataFrame, commit: int, keys,
+           partition: str, op_col: str | None = None, seq: str | None = None) -> None:
+    """Write the change rows of ``batch`` as commit ``commit`` (U2). Idempotent per commit id.
 
     A finished commit is never written again, so a replay changes nothing that
     readers use; what a crash left of an unfinished one is replaced. A NULL key
-    fails the write.
+    fails the write. Rows are not shuffled; every file is sorted by ``partition``.
 
-    ``op_col`` (optional) holds ``"D"`` for deletes, anything else upserts.
-    ``seq`` orders rows that tie on ``ordering`` within the batch (later
-    wins). ``files`` fixes the number of files of the commit (default: one
-    per shuffle partition left after AQE coalescing).
+    ``op_col`` (optional) holds the kind of change (see the module text).
+    ``seq`` orders rows that tie on the ordering within the batch (later wins).
     """
     if int(commit) in finished_commits(spark, path):
         return
-    cols = [c for c in batch.columns if c not in ([op_col] if op_col else [])]
+    cols = [c for c in batch.columns if c != op_col]
     no_key = F.raise_error(F.lit("upsert: NULL key"))
     values = [F.when(F.col(c).isNull(), no_key).otherwise(F.col(c)).alias(c) if c in _keys(keys) else F.col(c) for c in cols]
     b = batch.select(*values,
-                     (F.when(F.col(op_col) == "D", "D").otherwise("U") if op_col else F.lit("U")).alias("_op"),
+                     (F.coalesce(F.col(op_col).cast("string"), F.lit("U")) if op_col else F.lit("U")).alias("_op"),
                      F.lit(int(commit)).cast("bigint").alias("_commit"),
                      (F.col(seq).cast("bigint") if seq else F.lit(0).cast("bigint")).alias("_seq"))
-    b = precombine(b, keys, ordering, seq="_seq")
-    if files:
-        b = b.repartition(files)
     (b.sortWithinPartitions(partition)
       .write.mode("overwrite").parquet(f"{path}/log/{COMMIT_DIR}={int(commit)}"))
 
 
-def _latest_base(spark: SparkSession, path: str) -> int | None:
-    v = _read(spark, f"{path}/versions")
-    if v is None:
-        return None
-    return v.agg(F.max(VERSION_DIR)).first()[0]
-
-
 def finished_commits(spark: SparkSession, path: str) -> list[int]:
-    """Ids of the commits whose write has ended (Spark's success file is there)."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/log/{COMMIT_DIR}=*/_SUCCESS")
-    files = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found) or []
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files)
+    """Ids of the commits whose write has ended."""
+    return finished_ids(spark, f"{path}/log", COMMIT_DIR)
 
 
-def _log(spark: SparkSession, path: str) -> DataFrame | None:
-    """Rows of finished commits, with the commit id as a column."""
-    ids = finished_commits(spark, path)
-    if not ids:
-        return None
-    return spark.read.option("basePath", f"{path}/log").parquet(*[f"{path}/log/{COMMIT_DIR}={i}" for i in ids])
+def read_log(spark: SparkSession, path: str, after: int = 0, upto: int | None = None) -> DataFrame:
+    """Change rows of the finished commits ``after < n <= upto``; other folders are not read."""
+    done = finished_commits(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no upsert table at {path}")
+    ids = [i for i in done if i > after and (upto is None or i <= upto)]
+    folders = [f"{path}/log/{COMMIT_DIR}={i}" for i in ids or done[:1]]
+    log = spark.read.option("basePath", f"{path}/log").parquet(*folders).drop(COMMIT_DIR)
+    return log if ids else log.limit(0)
 
 
-def merged(spark: SparkSession, path: str, keys, ordering) -> DataFrame:
-    """Winners per key, deletes included (``_op`` kept): base and log in one aggregation.
+def merge_changes(changes: DataFrame, keys, ordering, base: DataFrame | None = None) -> DataFrame:
+    """Winning row per key of ``changes`` (log rows) and ``base`` (an earlier result), deletes included.
 
-    Reads finished commits only. The log since the base joins its rows before
-    one ``precombine``, so the result does not depend on sizes.
+    One ``max_by`` aggregation, so the result depends on no size and a hot key
+    combines map-side.
     """
-    keys = _keys(keys)
-    ranks = _keys(ordering) + ["_commit"]
-    base_v = _latest_base(spark, path)
-    log = _log(spark, path)
-    if base_v is None and log is None:
-        raise FileNotFoundError(f"no upsert table at {path}")
-    if base_v is None:
-        return precombine(log.drop(COMMIT_DIR), keys, ranks, seq="_seq")
-    base = spark.read.parquet(f"{path}/base/{VERSION_DIR}={base_v}").drop(PART_DIR)
-    if log is None:
-        return base
-    newer = log.where(F.col(COMMIT_DIR) > base_v).drop(COMMIT_DIR)
-    return precombine(base.unionByName(newer), keys, ranks, seq="_seq")
+    rows = changes.where(F.col("_op") != UPDATE_BEFORE)
+    if base is not None:
+        rows = base.unionByName(rows)
+    return precombine(rows, keys, _keys(ordering) + ["_commit"], seq="_seq")
 
 
-def read_snapshot(spark: SparkSession, path: str, keys, ordering) -> DataFrame:
-    """Current table content (U3 / S6): table columns only."""
-    m = merged(spark, path, keys, ordering)
-    return m.where(F.col("_op") != "D").drop(*META)
+def read_snapshot(spark: SparkSession, path: str, keys, ordering, base: DataFrame | None = None,
+                  after: int = 0) -> DataFrame:
+    """Current table content (U3 / S6): table columns only.
 
-
-def read_changes_since(spark: SparkSession, path: str, commit: int) -> DataFrame:
-    """Log rows written by commits after ``commit`` (U4 / S7), all kinds.
-
-    Columns: the table columns plus ``_op`` and ``_commit``. The commit filter
-    prunes log folders.
+    With ``base``, the merged rows of the commits up to ``after``, only later
+    commits are read.
     """
-    log = _log(spark, path)
-    if log is None:
-        raise FileNotFoundError(f"no upsert table at {path}")
-    return log.where(F.col(COMMIT_DIR) > int(commit)).drop(COMMIT_DIR, "_seq")
+    m = merge_changes(read_log(spark, path, after), keys, ordering, base)
+    return m.where(~F.col("_op").isin("D", DELETE)).drop(*META)
 
 
-def compact(spark: SparkSession, path: str, keys, ordering, partition: str,
-            day_folders: bool = False, rows_per_file: int = ROWS_PER_FILE) -> int | None:
-    """Write the merged state as a new base version (U5); returns its number.
+def read_changes_since(spark: SparkSession, path: str, commit: int) -> DataFrame:
+    """Change rows written by commits after ``commit`` (U4 / S7), all kinds.
 
-    Deleted winners stay in the base as tombstones (``_op = "D"``), so a later
-    row with an older ordering value cannot bring the key back: compaction
-    never changes what a snapshot returns. The version is the last commit it
-    includes; the marker under ``versions/`` is written only after the base
-    folder is complete. The file count is sized from the data: an upper
-    bound on the merged rows (base plus newer commits, which Parquet answers
-    from file footers) over ``rows_per_file``, and at least one file per task
-    slot.
+    Columns: the table columns plus ``_op`` and ``_commit``.
     """
-    log = _log(spark, path)
-    if log is None:
-        return None
-    last = log.agg(F.max(COMMIT_DIR)).first()[0]
-    m = merged(spark, path, keys, ordering)
-    base_v = _latest_base(spark, path)
-    newer = log if base_v is None else log.where(F.col(COMMIT_DIR) > base_v)
-    upper = newer.count() + (spark.read.parquet(f"{path}/base/{VERSION_DIR}={base_v}").count()
-                           if base_v is not None else 0)
-    n = max(spark.sparkContext.defaultParallelism, -(-upper // rows_per_file))
-    ranged = m.repartitionByRange(n, partition, *_keys(keys)).sortWithinPartitions(partition)
-    w = ranged.write.mode("overwrite")
-    if day_folders:
-        w = ranged.withColumn(PART_DIR, F.col(partition)).write.mode("overwrite").partitionBy(PART_DIR)
-    w.parquet(f"{path}/base/{VERSION_DIR}={last}")
-    (spark.range(1).select(F.lit(int(last)).cast("bigint").alias("_marker"))
-          .write.mode("overwrite").parquet(f"{path}/versions/{VERSION_DIR}={last}"))
-    return last
+    return read_log(spark, path, commit).drop("_seq")

@@ -21,7 +21,7 @@ from ..functions.json import parse_json
 from ..functions.parse import substr0, to_timestamp3
 from ..operators.changes import decode_changes, encode_changes, precombine
 from ..operators.sequence import with_previous
-from ..operators.upsert import compact, read_changes_since, read_snapshot, upsert
+from ..operators.upsert import merge_changes, read_changes_since, read_log, read_snapshot, upsert
 from ..session import scratch_path
 from ..sources.tables import read_table
 
@@ -100,12 +100,10 @@ def _order_batch(spark: SparkSession, sf_dir: str, commit: int) -> DataFrame:
              .withColumn(ORDER_PART, F.date_format("o_orderdate", "yyyy-MM-dd")))
 
 
-def write_orders_table(spark: SparkSession, sf_dir: str, compact_after: int | None = None) -> str:
+def write_orders_table(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "orders-upsert")
     for c in sorted(COMMITS):
-        upsert(spark, path, _order_batch(spark, sf_dir, c), c, ORDER_KEYS, ORDER_ORDERING, ORDER_PART)
-        if compact_after == c:
-            compact(spark, path, ORDER_KEYS, ORDER_ORDERING, ORDER_PART)
+        upsert(spark, path, _order_batch(spark, sf_dir, c), c, ORDER_KEYS, ORDER_PART)
     return path
 
 
@@ -118,8 +116,10 @@ def changes_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compacted_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_orders_table(spark, sf_dir, compact_after=2)
-    return read_snapshot(spark, path, ORDER_KEYS, ORDER_ORDERING)
+    """The first two commits merged and written once, the third merged onto the result."""
+    path, base = write_orders_table(spark, sf_dir), scratch_path(spark, "orders-merged")
+    merge_changes(read_log(spark, path, upto=2), ORDER_KEYS, ORDER_ORDERING).write.parquet(base)
+    return read_snapshot(spark, path, ORDER_KEYS, ORDER_ORDERING, base=spark.read.parquet(base), after=2)
 
 
 def limit20(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,37 +127,53 @@ def limit20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_snapshot(spark, sf_dir).orderBy(*ORDER_KEYS).limit(20)
 
 
+def _order_table(spark: SparkSession, sf_dir: str, key: str) -> str:
+    """Order messages written in two commits: created orders, then paid ones."""
+    path = scratch_path(spark, "order-table")
+    derived = order_derived(spark, sf_dir)
+    for commit, status in ((1, 1), (2, 2)):
+        upsert(spark, path, derived.where(F.col("orderStatus") == status), commit, key, "partition_day")
+    return path
+
+
 def order_table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order messages upserted by ``orderId`` (precombine ``ts`` text, day partition), read back.
 
-    Written in two commits (created orders, then paid ones); every order id is
-    distinct, so the snapshot holds every derived row.
+    Every order id is distinct, so the snapshot holds every derived row.
     """
-    path = scratch_path(spark, "order-table")
-    derived = order_derived(spark, sf_dir)
-    for commit, status in ((1, 1), (2, 2)):
-        upsert(spark, path, derived.where(F.col("orderStatus") == status), commit,
-               "orderId", "ts", "partition_day")
-    return read_snapshot(spark, path, "orderId", "ts")
+    return read_snapshot(spark, _order_table(spark, sf_dir, "orderId"), "orderId", "ts")
+
+
+def order_user_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages upserted by ``userId``: the user's latest order, whichever commit brought it."""
+    return read_snapshot(spark, _order_table(spark, sf_dir, "userId"), "userId", ["ts", "orderId"])
+
+
+def _change_table(spark: SparkSession, sf_dir: str) -> str:
+    """All decoded change rows as three commits (days 1-10, 11-20, 21-31 of the change time).
+
+    The decoded rows are written once, so that the commits do not decode again.
+    """
+    path, decoded = scratch_path(spark, "cdc-table"), scratch_path(spark, "cdc-changes")
+    (changes_decoded(spark, sf_dir)
+     .withColumn("ts", to_timestamp3("birthday")).withColumn("partition_day", substr0("birthday", 10))
+     .withColumn("_c", F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)) + 1).write.parquet(decoded))
+    d = spark.read.parquet(decoded)
+    for commit in (1, 2, 3):
+        upsert(spark, path, d.where(F.col("_c") == commit).drop("_c"), commit, "id", "partition_day", op_col="kind", seq="seq")
+    return path
 
 
 def cdc_table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change rows upserted into a table keyed by ``id`` and read back.
+    """Change rows logged in a table keyed by ``id`` and read back.
 
-    ``+I``/``+U`` rows upsert, ``-D`` rows delete, ``-U`` rows (retractions)
-    are not stored. Precombine field is the derived ``ts`` (``birthday`` as
+    ``+I``/``+U`` rows upsert, ``-D`` rows delete, ``-U`` rows (retractions) stay
+    in the log only. Precombine field is the derived ``ts`` (``birthday`` as
     TIMESTAMP(3)), ties to the later event; partition ``partition_day``.
-    Written as three commits in time order (days 1-10, 11-20, 21-31 of the
-    change time), like three checkpoint intervals of the change stream.
     """
-    path = scratch_path(spark, "cdc-table")
-    d = (changes_decoded(spark, sf_dir).where(F.col("kind").isin("+I", "+U", "-D"))
-         .withColumn("ts", to_timestamp3("birthday"))
-         .withColumn("partition_day", substr0("birthday", 10))
-         .withColumn("op", F.when(F.col("kind") == "-D", "D").otherwise("U"))
-         .withColumn("_c", F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)) + 1)
-         .drop("kind"))
-    for commit in (1, 2, 3):
-        upsert(spark, path, d.where(F.col("_c") == commit).drop("_c"), commit, "id", "ts",
-               "partition_day", op_col="op", seq="seq")
-    return read_snapshot(spark, path, "id", "ts").select(*ROW_COLS, "ts", "partition_day")
+    return read_snapshot(spark, _change_table(spark, sf_dir), "id", "ts").select(*ROW_COLS, "ts", "partition_day")
+
+
+def cdc_changes_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log after the first commit: every change row, all four kinds (U4)."""
+    return read_changes_since(spark, _change_table(spark, sf_dir), 1).drop("seq")

@@ -181,10 +181,18 @@ ORACLE.update({
     "changes_since": f"""
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
          partition_day, 'U' AS _op, CAST(c AS BIGINT) AS _commit
-  FROM (SELECT *, row_number() OVER (PARTITION BY c, o_custkey
-                                     ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-        FROM ({_ORDERS_T}) t) r
-  WHERE rn = 1 AND c > 1""",
+  FROM ({_ORDERS_T}) t WHERE c > 1""",
+    "cdc_changes_since": f"""
+  SELECT id, name, age, birthday, ts, partition_day, kind AS _op,
+         CAST(least((day(ts) - 1) // 10, 2) + 1 AS BIGINT) AS _commit
+  FROM (SELECT *, make_timestamp((epoch_us(CAST(birthday AS TIMESTAMP)) // 1000) * 1000) AS ts,
+               substring(birthday, 1, 10) AS partition_day FROM ({_DECODED}) d) x
+  WHERE least((day(ts) - 1) // 10, 2) + 1 > 1""",
+    "stream_change_capture": f"""
+  SELECT id, name, age, birthday, substring(birthday, 1, 10) AS partition_day
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY birthday DESC, seq DESC) AS rn
+        FROM ({_DECODED}) d WHERE kind IN ('+I', '+U', '-D')) r
+  WHERE rn = 1 AND kind <> '-D'""",
     "limit20": f"SELECT * FROM ({_SNAPSHOT}) s ORDER BY o_custkey LIMIT 20",
 })
 
@@ -213,4 +221,12 @@ for _name in ("hot_items_top5", "hot_urls_top5", "order_status", "order_timeout"
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 ORACLE["behavior_text_roundtrip"] = ORACLE["parse_behavior"]
 ORACLE["order_table_snapshot"] = ORACLE["order_derived"]
+ORACLE["order_user_snapshot"] = f"""
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY ts DESC, orderId DESC) AS rn
+                              FROM ({ORACLE["order_derived"]}) o) r WHERE rn = 1"""
+ORACLE["order_status_as_of"] = f"""
+  SELECT * REPLACE (CASE WHEN status = 'timeout' AND start_ts + INTERVAL 1 HOUR > (SELECT max(ts) - INTERVAL 1 DAY FROM events)
+                         THEN 'pending' ELSE status END AS status)
+  FROM ({ORACLE["order_status"]}) o"""
+ORACLE["stream_etl_lines"] = ORACLE["etl_enriched_json"]
 ORACLE["cdc_table_snapshot"] = ORACLE["latest_state"]

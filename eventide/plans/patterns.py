@@ -40,6 +40,15 @@ def order_status(spark: SparkSession, sf_dir: str, split=SPLIT) -> DataFrame:
                               WITHIN, cols=["value"], split=split)
 
 
+def order_status_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order status as known a day before the last event: unpaid orders still in time are ``pending``."""
+    ev = _events(spark, sf_dir)
+    as_of = ev.agg((F.max("ts") - F.expr("INTERVAL 1 DAY")).alias("t")).first()["t"]
+    return followed_by_within(ev, "user_id", "ts", "event_id",
+                              F.col("event_type") == "click", F.col("event_type") == "purchase",
+                              WITHIN, cols=["value"], as_of=as_of, split=SPLIT)
+
+
 def order_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main output: the paying event of each matched order."""
     s = order_status(spark, sf_dir)

@@ -25,16 +25,19 @@ QUERIES: dict[str, Query] = {
     "etl_enriched_open_json": etl.etl_enriched_open_json,
     "adjacent_change": patterns.adjacent_change_q,
     "order_status": patterns.order_status,
+    "order_status_as_of": patterns.order_status_as_of,
     "order_paid": patterns.order_paid,
     "order_timeout": patterns.order_timeout,
     "login_changes_from_text": patterns.login_changes_from_text,
     "order_status_from_text": patterns.order_status_from_text,
     "order_derived": cdc.order_derived,
     "order_table_snapshot": cdc.order_table_snapshot,
+    "order_user_snapshot": cdc.order_user_snapshot,
     "changes_decoded": cdc.changes_decoded,
     "changes_encoded": cdc.changes_encoded,
     "latest_state": cdc.latest_state,
     "cdc_table_snapshot": cdc.cdc_table_snapshot,
+    "cdc_changes_since": cdc.cdc_changes_since,
     "upsert_snapshot": cdc.upsert_snapshot,
     "changes_since": cdc.changes_since,
     "compacted_snapshot": cdc.compacted_snapshot,
@@ -45,6 +48,8 @@ QUERIES: dict[str, Query] = {
     "stream_order_timeout": streams.stream_order_timeout,
     "stream_adjacent_change": streams.stream_adjacent_change_q,
     "stream_etl_enriched": streams.stream_etl_enriched,
+    "stream_etl_lines": streams.stream_etl_lines,
+    "stream_change_capture": streams.stream_change_capture,
     "stream_upsert_snapshot": streams.stream_upsert_snapshot,
     "stream_changes_since": streams.stream_changes_since,
 }

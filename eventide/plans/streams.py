@@ -17,11 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import parse_json
+from ..functions.parse import substr0
+from ..operators.changes import decode_changes
 from ..operators.upsert import read_snapshot
 from ..session import scratch_path
+from ..sources.dimension import read_dimension
+from ..sources.lines import read_lines, with_arrival, write_lines
 from ..sources.tables import read_table
 from ..streaming.enrich import DimensionSnapshot, enrich_per_batch
-from ..streaming.patterns import stream_adjacent_change, stream_followed_by_within
+from ..streaming.patterns import followed_by_per_batch, stream_adjacent_change
 from ..streaming.runner import (append_markers, run_stream, split_outputs_per_batch, stage_by_time,
                                 state_partitions)
 from ..streaming.topn import event_time, top_n_per_batch, window_counts_stream
@@ -36,8 +40,8 @@ def _files_per_slice(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def _staged_events(spark: SparkSession, sf_dir: str, root: str, types: tuple[str, ...] = ()):
-    """Events replayed as a stream, followed by end-of-input markers.
+def _staged_events(spark: SparkSession, sf_dir: str, root: str, types: tuple[str, ...] = (), jitter: int = 0):
+    """Events replayed as a stream, up to ``jitter`` seconds out of order, then end-of-input markers.
 
     Filters on ``event_type`` are pushed below the watermark (and into the
     Parquet scan), so each filtered branch only sees its own types: the
@@ -45,7 +49,8 @@ def _staged_events(spark: SparkSession, sf_dir: str, root: str, types: tuple[str
     """
     ev = read_table(spark, sf_dir, "events")
     path = f"{root}/in"
-    per_trigger = stage_by_time(ev, "ts", path, SLICES, _files_per_slice(spark))
+    late = F.expr(f"timestampadd(SECOND, event_id % {jitter + 1}, ts)")        # when the event arrives
+    per_trigger = stage_by_time(ev.withColumn("_arrives", late), "_arrives", path, SLICES, _files_per_slice(spark))
     kinds = list(types) or ["end-of-input"]
 
     def markers(k: int) -> DataFrame:
@@ -101,33 +106,33 @@ def stream_hot_urls_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").drop("batch")
 
 
+def _replay_orders(spark: SparkSession, sf_dir: str, root: str, emit=None) -> None:
+    """C2 over events up to 4 s out of order, with 5 s allowed."""
+    ev = _staged_events(spark, sf_dir, root, jitter=4)
+    find = followed_by_per_batch(root, "user_id", "ts", "event_id", F.col("event_type") == "click",
+                                 F.col("event_type") == "purchase", patterns.WITHIN, cols=["value"],
+                                 delay="5 seconds", emit=emit)
+    _drain(lambda: run_stream(ev, f"{root}/ckpt", foreach_batch=find))
+
+
 def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-orders")
-    s = stream_followed_by_within(_staged_events(spark, sf_dir, root, ("click", "purchase")),
-                                  "user_id", "ts", "event_id",
-                                  F.col("event_type") == "click", F.col("event_type") == "purchase",
-                                  patterns.WITHIN, cols=["value"])
-    _replay(spark, lambda: run_stream(s, f"{root}/ckpt", sink=f"{root}/out"))
-    return spark.read.parquet(f"{root}/out").where(F.col("start_event_id") >= 0)
+    _replay_orders(spark, sf_dir, root)
+    return spark.read.parquet(f"{root}/out").drop("batch")
 
 
 def stream_order_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main and side output from one stream: paid events and timed-out starts, two sinks."""
     root = scratch_path(spark, "stream-order-outputs")
-    s = stream_followed_by_within(_staged_events(spark, sf_dir, root, ("click", "purchase")),
-                                  "user_id", "ts", "event_id",
-                                  F.col("event_type") == "click", F.col("event_type") == "purchase",
-                                  patterns.WITHIN, cols=["value"])
-    real = F.col("start_event_id") >= 0
     outputs = {
-        f"{root}/paid": (real & (F.col("status") == "paid"),
+        f"{root}/paid": (F.col("status") == "paid",
                          ["user_id", F.col("end_event_id").alias("event_id"),
                           F.col("end_ts").alias("ts"), F.col("end_value").alias("value")]),
-        f"{root}/timeout": (real & (F.col("status") == "timeout"),
+        f"{root}/timeout": (F.col("status") == "timeout",
                             ["user_id", F.col("start_event_id").alias("event_id"),
                              F.col("start_ts").alias("ts"), F.col("start_value").alias("value")]),
     }
-    _replay(spark, lambda: run_stream(s, f"{root}/ckpt", foreach_batch=split_outputs_per_batch(outputs)))
+    _replay_orders(spark, sf_dir, root, split_outputs_per_batch(outputs))
     return spark.read.parquet(f"{root}/timeout").drop("batch")
 
 
@@ -156,6 +161,33 @@ def stream_etl_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").drop("batch")
 
 
+def stream_etl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ETL job end to end: message lines in, published areas looked up, JSON lines out."""
+    root = scratch_path(spark, "stream-etl-lines")
+    write_lines(etl.messages(spark, sf_dir), f"{root}/in")
+    etl.area_hash(spark, sf_dir).write.parquet(f"{root}/dim")
+    lines = read_lines(spark, f"{root}/in", stream=True)
+    parsed = parse_json(lines, "value", etl.MESSAGE_SCHEMA, required=["data"]).select("msg.*")
+    dim = DimensionSnapshot(lambda s: read_dimension(s, f"{root}/dim"))
+    _drain(lambda: run_stream(parsed, f"{root}/ckpt", foreach_batch=enrich_per_batch(
+        dim, f"{root}/out", "data", ["dt"], "countryCode", "country", "area", lines=True)))
+    return spark.read.text(f"{root}/out").select("value")
+
+
+def stream_change_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change envelopes as text lines, decoded in arrival order, logged by ``id`` and read back."""
+    root = scratch_path(spark, "stream-change-capture")
+    write_lines(cdc.envelopes(spark, sf_dir).repartitionByRange("seq").sortWithinPartitions("seq"), f"{root}/in")
+    lines = read_lines(spark, f"{root}/in", stream=True)
+
+    def decoded(batch: DataFrame, batch_id: int) -> DataFrame:
+        rows = decode_changes(with_arrival(batch, batch_id), "value", cdc.ROW_SCHEMA, keep=["seq"])
+        return rows.withColumn("partition_day", substr0("birthday", 10))
+    _drain(lambda: run_stream(lines, f"{root}/ckpt", foreach_batch=upsert_per_batch(
+        f"{root}/table", "id", "partition_day", op_col="kind", seq="seq", prepare=decoded)))
+    return read_snapshot(spark, f"{root}/table", "id", "birthday").select(*cdc.ROW_COLS, "partition_day")
+
+
 def _stream_orders_table(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "stream-upsert")
     per = _files_per_slice(spark)
@@ -164,8 +196,7 @@ def _stream_orders_table(spark: SparkSession, sf_dir: str) -> str:
     schema = spark.read.parquet(f"{root}/in").schema
     changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", per).parquet(f"{root}/in")
     _replay(spark, lambda: run_stream(changes, f"{root}/ckpt",
-                      foreach_batch=upsert_per_batch(f"{root}/table", cdc.ORDER_KEYS,
-                                                     cdc.ORDER_ORDERING, cdc.ORDER_PART)))
+                      foreach_batch=upsert_per_batch(f"{root}/table", cdc.ORDER_KEYS, cdc.ORDER_PART)))
     return f"{root}/table"
 
 

@@ -69,6 +69,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def finished_ids(spark: SparkSession, base: str, name: str) -> list[int]:
+    """Ids ``n`` of the folders ``<base>/<name>=<n>`` whose write has ended (Spark's success file is there)."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}=*/_SUCCESS")
+    files = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that an operator wrote and no reader needs any more."""
+    old = spark._jvm.org.apache.hadoop.fs.Path(path)
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 _SHIPPED: set[int] = set()
 
 

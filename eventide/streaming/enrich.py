@@ -15,7 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.json import to_json_text
 from ..operators.enrich import explode_enrich
+from ..sources.lines import write_lines
 
 
 class DimensionSnapshot:
@@ -44,8 +46,11 @@ class DimensionSnapshot:
 
 def enrich_per_batch(dimension: DimensionSnapshot, sink: str, array_col: str, carry: list[str],
                      key: str, dim_key: str, dim_value: str,
-                     transform: Callable[[DataFrame], DataFrame] | None = None):
-    """``foreachBatch`` function: refresh the dimension, explode and look up, write the batch."""
+                     transform: Callable[[DataFrame], DataFrame] | None = None, lines: bool = False):
+    """``foreachBatch`` function: refresh the dimension, explode and look up, write the batch.
+
+    Batches are Parquet folders, or JSON lines with ``lines`` (K1).
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         dim = dimension.refresh(batch.sparkSession)
         if dim is None:
@@ -54,5 +59,9 @@ def enrich_per_batch(dimension: DimensionSnapshot, sink: str, array_col: str, ca
                              dim_value=dim_value)
         if transform is not None:
             out = transform(out)
-        out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        if lines:
+            write_lines(out.select(to_json_text(*[F.col(c) for c in out.columns]).alias("value")),
+                        f"{sink}/batch={batch_id}", mode="overwrite")
+        else:
+            out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
     return write

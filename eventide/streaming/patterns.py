@@ -1,4 +1,4 @@
-"""Streaming sequence patterns: C1 with keyed state, C2 with a time-bounded join."""
+"""Streaming sequence patterns: C1 with keyed state, C2 with the batch pattern per micro-batch."""
 
 from __future__ import annotations
 
@@ -11,59 +11,64 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.intervals import interval_us
-from ..session import ship_package
-from ..functions.timebucket import instant_to_ntz, ntz_to_instant
+from ..functions.timebucket import epoch_of
+from ..operators.sequence import followed_by_within
+from ..session import drop_folder, finished_ids, ship_package
 
+NO_TIME = -(1 << 62)     # event time before any row, in microseconds
 
-def stream_followed_by_within(events: DataFrame, key: str, ts: str, seq: str,
-                              is_start: Column, is_end: Column, within, cols=(),
-                              delay: str = "0 seconds") -> DataFrame:
-    """C2 on a stream; same rows as the batch form once the watermark has passed.
 
-    Starts are left-outer joined to ends of the same key with
-    ``start <= end.ts < start.ts + within`` (ties on ``ts`` broken by
-    ``seq``); the earliest joined end pays the start, no end means timeout.
-    Rows with a NULL key are ignored. Both sides are watermarked, so join state is dropped once the bound has
-    passed; a start is emitted when the watermark passes ``start + within``.
-    JVM only: the join and the aggregation are built-in stateful operators.
+def followed_by_per_batch(root: str, key: str, ts: str, seq: str, is_start: Column, is_end: Column, within,
+                          cols=(), delay: str = "0 seconds", split="auto", emit=None):
+    """``foreachBatch`` function of C2: the batch pattern over carried rows and the micro-batch.
+
+    Event time is the newest ``ts`` of any row so far less ``delay``. A start is
+    emitted once, when event time has reached ``start + within``; a start without
+    ``ts`` at once, as ``timeout``. Rows behind the event time of earlier batches
+    are late and dropped; rows with a NULL key are ignored. Only starts and ends
+    younger than ``within`` are carried, so no start meets more than its nearest
+    end: linear, and a hot key is cut into time buckets by ``split``.
+
+    Folders under ``root``, named by batch id: ``out`` (unless ``emit(rows,
+    batch_id)`` writes the results), ``open`` (carried rows) and ``mark`` (event
+    time, written last). A replayed batch starts again from the batch before it
+    and overwrites its own folders.
     """
-    cols = list(cols)
-    us = interval_us(within)
-    ntz = isinstance(events.schema[ts].dataType, T.TimestampNTZType)
-    e = (events.where(F.col(key).isNotNull()).withColumn("_et", ntz_to_instant(F.col(ts)) if ntz else F.col(ts))
-               .withWatermark("_et", delay))
-
-    def back(c: Column) -> Column:
-        return instant_to_ntz(c) if ntz else c
-
-    starts = e.where(is_start).select(F.col(key).alias("_k"), F.col("_et").alias("_t1"),
-                                      F.col(seq).alias("_s1"),
-                                      *[F.col(c).alias(f"_c1_{c}") for c in cols])
-    ends = e.where(is_end).select(F.col(key).alias("_k2"), F.col("_et").alias("_t2"),
-                                  F.col(seq).alias("_s2"),
-                                  *[F.col(c).alias(f"_c2_{c}") for c in cols])
-    cond = ((F.col("_k") == F.col("_k2")) & (F.col("_t2") >= F.col("_t1"))
-            & (F.col("_t2") < F.col("_t1") + _interval(us))
-            & ((F.col("_t2") > F.col("_t1")) | (F.col("_s2") > F.col("_s1"))))
-    j = starts.join(ends, cond, "leftOuter")
-    end = F.struct(F.col("_t2").alias("t"), F.col("_s2").alias("s"),
-                   *[F.col(f"_c2_{c}").alias(c) for c in cols])
-    agg = (j.groupBy("_k", "_t1", "_s1", *[f"_c1_{c}" for c in cols])
-             .agg(F.min_by(end, F.struct("_t2", "_s2")).alias("_n")))
-    paid = F.col("_n.t").isNotNull()
-    return agg.select(
-        F.col("_k").alias(key), F.col("_s1").alias(f"start_{seq}"),
-        back(F.col("_t1")).alias(f"start_{ts}"),
-        *[F.col(f"_c1_{c}").alias(f"start_{c}") for c in cols],
-        F.when(paid, F.col("_n.s")).alias(f"end_{seq}"),
-        F.when(paid, back(F.col("_n.t"))).alias(f"end_{ts}"),
-        *[F.when(paid, F.col(f"_n.{c}")).alias(f"end_{c}") for c in cols],
-        F.when(paid, F.lit("paid")).otherwise(F.lit("timeout")).alias("status"))
-
-
-def _interval(us: int) -> Column:
-    """Interval literal; the watermark range check recognises ``t + INTERVAL``."""
-    return F.expr(f"INTERVAL '{us // 1_000_000}.{us % 1_000_000:06d}' SECOND")
+    within_us, delay_us, cols = interval_us(within), interval_us(delay, zero=True), list(cols)
+
+    def save(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        position = lambda c: F.timestamp_diff("MICROSECOND", epoch_of(batch.schema[ts].dataType), F.col(c))
+        flag = lambda c: F.coalesce(c, F.lit(False))
+        rows = batch.select(key, ts, seq, *cols, flag(is_start).alias("_start"), flag(is_end).alias("_end"),
+                            position(ts).alias("_at")).persist()
+        try:
+            before = [i for i in finished_ids(spark, f"{root}/mark", "batch") if i < batch_id]
+            carried, mark = None, NO_TIME
+            if before:
+                carried = spark.read.schema(rows.schema).parquet(f"{root}/open/batch={before[-1]}")
+                mark = spark.read.parquet(f"{root}/mark/batch={before[-1]}").first()["mark"]
+            newest = rows.agg(F.max("_at")).first()[0]
+            now = mark if newest is None else max(mark, newest - delay_us)
+            fresh = rows.where(F.col(key).isNotNull() & (F.col("_start") | F.col("_end"))
+                               & (F.col("_at").isNull() | (F.col("_at") >= mark)))
+            known = fresh if carried is None else carried.unionByName(fresh)
+            found = followed_by_within(known, key, ts, seq, F.col("_start"), F.col("_end"), within, cols=cols, split=split)
+            start = position(f"start_{ts}")
+            (emit or save)(found.where(start.isNull() | (start + within_us <= now)), batch_id)
+            (known.where(F.col("_at") + within_us > now)
+             .write.mode("overwrite").parquet(f"{root}/open/batch={batch_id}"))
+            spark.range(1).select(F.lit(now).cast("bigint").alias("mark")).write.mode("overwrite").parquet(
+                f"{root}/mark/batch={batch_id}")
+        finally:
+            rows.unpersist()
+        for old in before[:-1]:                    # a replay needs the batch before it, no older one
+            drop_folder(spark, f"{root}/open/batch={old}")
+            drop_folder(spark, f"{root}/mark/batch={old}")
+    return write
 
 
 def _plain(v):

@@ -1,30 +1,34 @@
 """Streaming upserts (U2 via ``foreachBatch``) and the streaming change-log read.
 
 Micro-batch ``b`` becomes commit ``b + 1`` of the table. A replayed batch id
-rewrites the same commit folder, so recovery after a failure leaves the
-table as if the batch had run once.
+whose commit was finished is not written again; an unfinished one is replaced,
+so recovery after a failure leaves the table as if the batch had run once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.upsert import COMMIT_DIR, upsert
 
 
-def upsert_per_batch(path: str, keys, ordering, partition: str, op_col: str | None = None,
-                     seq: str | None = None):
-    """``foreachBatch`` function writing each micro-batch as one commit."""
+def upsert_per_batch(path: str, keys, partition: str, op_col: str | None = None, seq: str | None = None,
+                     prepare: Callable[[DataFrame, int], DataFrame] | None = None):
+    """``foreachBatch`` function writing each micro-batch, after ``prepare``, as one commit."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.sparkSession, path, batch, batch_id + 1, keys, ordering, partition,
-               op_col=op_col, seq=seq)
+        rows = batch if prepare is None else prepare(batch, batch_id)
+        upsert(batch.sparkSession, path, rows, batch_id + 1, keys, partition, op_col=op_col, seq=seq)
     return write
 
 
 def stream_changes(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The table's change log as a stream (new commits as they land).
 
-    Schema is taken from the commits present when the stream is defined. Use
+    A finished commit is never rewritten, so its rows come once. (The files of a
+    commit whose write broke off while Spark was moving them into place may be
+    seen before its replay replaces them; batch readers never see those.) Schema is taken from the commits present when the stream is defined. Use
     ``trigger(processingTime="3 seconds")`` for the reference's check
     interval.
     """

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from eventide.operators.upsert import read_snapshot
 from eventide.plans import cdc, etl, hot, patterns, streams
 from eventide.session import scratch_path
+from eventide.streaming.patterns import followed_by_per_batch
 from eventide.streaming.enrich import DimensionSnapshot, enrich_per_batch
 from eventide.streaming.runner import run_stream
 from eventide.streaming.upsert import upsert_per_batch
@@ -20,7 +21,9 @@ def rows(df):
     (streams.stream_hot_items_top5, hot.hot_items_top5),
     (streams.stream_order_status, patterns.order_status),
     (streams.stream_adjacent_change_q, patterns.adjacent_change_q),
+    (streams.stream_order_timeout, patterns.order_timeout),
     (streams.stream_etl_enriched, etl.etl_enriched),
+    (streams.stream_etl_lines, etl.etl_enriched_json),
     (streams.stream_upsert_snapshot, cdc.upsert_snapshot),
 ])
 def test_stream_equals_batch(spark, stream_fn, batch_fn):
@@ -60,7 +63,7 @@ def test_upsert_stream_restart(spark):
     def run():
         s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
         q = run_stream(s, f"{root}/ckpt", foreach_batch=upsert_per_batch(
-            f"{root}/table", cdc.ORDER_KEYS, cdc.ORDER_ORDERING, cdc.ORDER_PART))
+            f"{root}/table", cdc.ORDER_KEYS, cdc.ORDER_PART))
         q.awaitTermination()
 
     run()
@@ -78,8 +81,8 @@ def test_rocksdb_state_store(spark):
     old = spark.conf.get(key, None)
     try:
         use_rocksdb_state(spark)
-        got = streams.stream_order_status(spark, SF)
-        assert rows(got) == rows(patterns.order_status(spark, SF))
+        got = streams.stream_adjacent_change_q(spark, SF)
+        assert rows(got) == rows(patterns.adjacent_change_q(spark, SF))
     finally:
         if old is None:
             spark.conf.unset(key)
@@ -87,40 +90,52 @@ def test_rocksdb_state_store(spark):
             spark.conf.set(key, old)
 
 
-def test_out_of_order_within_delay(spark):
+def _at(seconds):
     import datetime as dt
-    from eventide.streaming.patterns import stream_followed_by_within
-    t0 = dt.datetime(2024, 1, 1)
-    schema = "k string, ts timestamp_ntz, seq bigint, status string"
-
-    def at(s):
-        return t0 + dt.timedelta(seconds=s)
-
-    # Both branches of the pattern see event time 20 s in the first batch (the
-    # status filters run below the watermark, and the global watermark is the
-    # minimum over both branches).
-    batches = [[("o", at(10), 1, "1"), ("x", at(30), 2, "1"), ("x", at(30), 8, "2")],
-               [("y", at(31), 9, "1")],                                # state is evicted after a batch
-               [("o", at(12), 3, "2")],                                # end at 12 s arrives later
-               [("z", at(1000), 4, "1"), ("z", at(1000), 5, "2")],     # moves the watermark on
-               [("z", at(1001), 6, "1"), ("z", at(1001), 7, "2")]]     # and emits
+    return None if seconds is None else dt.datetime(2024, 1, 1) + dt.timedelta(seconds=seconds)
+
+
+ORDER = "k string, ts timestamp_ntz, seq bigint, status string"
+
+
+def _order_pattern(root, **kw):
+    return followed_by_per_batch(root, "k", "ts", "seq", F.col("status") == "1", F.col("status") == "2", "10 seconds", **kw)
+
+
+def test_out_of_order_within_delay(spark):
+    batches = [[("o", _at(10), 1, "1"), ("x", _at(30), 2, "1")],
+               [("o", _at(12), 3, "2")],                                # the end at 12 s arrives later
+               [("z", _at(1000), 4, "9")]]                              # moves event time on
 
     def run(delay):
         root = scratch_path(spark, "t-late")
-        for b in batches:
-            spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
-        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-        out = stream_followed_by_within(s, "k", "ts", "seq", F.col("status") == "1", F.col("status") == "2",
-                                        "10 seconds", delay=delay)
-        run_stream(out, f"{root}/ckpt", sink=f"{root}/out").awaitTermination()
+        find = _order_pattern(root, delay=delay)
+        for i, b in enumerate(batches):
+            find(spark.createDataFrame(b, ORDER), i)
         return {r.start_seq: r.status for r in spark.read.parquet(f"{root}/out").where("k = 'o'").collect()}
 
-    # 25 s delay: watermark 5 s after the first batch, the start is still held and
-    # the end at 12 s pays it (bounded out-of-orderness, E2).
-    # 0 s delay: watermark 30 s, past the start's bound (10 s + 10 s): the start has
-    # timed out and left state (at the end of the next batch) before the late end
-    # arrives (E3). Spark matches a late row while its partner is still in state, so
-    # the bound and the batch boundaries decide, not the row's own lateness.
-
+    # 25 s allowed: event time is 5 s after the first batch, the start is still open.
+    # Nothing allowed: event time is 30 s, the start has timed out and the end is late.
     assert run("25 seconds") == {1: "paid"}
     assert run("0 seconds") == {1: "timeout"}
+
+
+def test_pattern_batches_equal_the_batch_form(spark):
+    import random
+    from eventide.operators.sequence import followed_by_within
+    rnd = random.Random(9)
+    events = sorted(((rnd.choice(["a", "a", "b", None]), rnd.choice([None, *range(0, 300, 3)]), i, rnd.choice("1129"))
+                     for i in range(300)), key=lambda e: (e[1] or 0, e[2]))
+    events = [(k, _at(t), i, s) for k, t, i, s in events]
+    root = scratch_path(spark, "t-pattern")
+    find = _order_pattern(root)
+    cuts = [0, 40, 41, 150, 150, 299, 300]
+    for n, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        find(spark.createDataFrame(events[a:b], ORDER), n)
+        if n in (1, 3):
+            find(spark.createDataFrame(events[a:b], ORDER), n)           # a replayed batch changes nothing
+    find(spark.createDataFrame([("end", _at(9999), -1, "9")], ORDER), len(cuts))
+    want = followed_by_within(spark.createDataFrame(events, ORDER), "k", "ts", "seq", F.col("status") == "1",
+                              F.col("status") == "2", "10 seconds")
+    got = spark.read.parquet(f"{root}/out").drop("batch")
+    assert rows(got) == rows(want)
