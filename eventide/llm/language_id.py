@@ -2,11 +2,12 @@
 
 Training counts the character ``ORDER``-grams of every training text in Spark;
 lower orders count distinct left neighbours (Kneser-Ney continuation counts),
-contexts their mass and their distinct successors. All counts are added up in
-``2^CELL_BITS`` hash cells per language, order and kind, so the model that goes
-to the tasks has a size bound whatever the corpus: sorted cell arrays, looked
-up by binary search. A text gets the language of the lowest cross-entropy per
-character. Rejection is calibrated on training texts set aside from the counts:
+contexts their mass and their distinct successors. Every gram keeps its own
+count: the packed grams are their own keys, sorted and looked up by binary
+search. The model grows with the distinct grams and goes to the tasks in
+broadcast pieces of bounded size; a large one is read piece by piece for each
+block of texts, so no task and not the driver holds it whole. A text gets the
+language of the lowest cross-entropy per character. Rejection is calibrated on training texts set aside from the counts:
 the expected cross-entropy and its spread, which falls with a text's length.
 """
 
@@ -25,9 +26,11 @@ from . import kernels as K
 from .common import texts, written
 
 ORDER = 4
-CELL_BITS = 20
+PIECE = 1 << 21                # grams a piece of the model holds (up to twice as many)
+RESIDENT = 1 << 23             # a model of more grams stays on disk, one piece in memory at a time
 FLUSH = 2_000_000              # distinct grams a counting task holds before it emits them
 BLOCK = 1 << 20                # bytes of text handled at a time
+WIDE_BLOCK = 1 << 23           # the same where the model is read again for each block
 CALIBRATION_SHARE = 8          # one training text in so many is set aside to calibrate the rejection
 CALIBRATION_ROWS = 20_000      # and about so many of these are used
 SIGMAS = 8.0
@@ -107,10 +110,10 @@ def grams(c: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return packed, at, starts - np.arange(len(starts))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]):
+def _blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK):
     for batch in batches:
         offsets, _ = K.string_buffers(batch.column("text"))
-        for a, b in K.row_blocks(offsets, BLOCK):
+        for a, b in K.row_blocks(offsets, size):
             yield batch.slice(a, b - a), batch.column("text").slice(a, b - a).to_pylist()
 
 
@@ -147,15 +150,11 @@ def gram_counts(train: DataFrame) -> DataFrame:
     return src.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _cells(g: np.ndarray) -> np.ndarray:
-    return (K.mix64(g + np.uint64(0x51ED)) >> np.uint64(64 - CELL_BITS)).astype(np.uint32)
-
-
 def model_cells(counts: DataFrame) -> DataFrame:
-    """(lang, kind, ord, cell, n, types, ones, twos): the model's counts in hash cells.
+    """(lang, kind, ord, gram, n, types): the model's counts, a row for each gram.
 
-    Kind 0 has grams (``ones`` and ``twos`` are how many grams count 1 and 2),
-    kind 1 contexts (``n`` their mass, ``types`` their distinct successors).
+    Kind 0 has grams, kind 1 contexts (``n`` their mass, ``types`` their
+    distinct successors).
     """
     tables, table = [], counts
     for k in range(ORDER, 0, -1):
@@ -167,62 +166,107 @@ def model_cells(counts: DataFrame) -> DataFrame:
     every = tables[0]
     for t in tables[1:]:
         every = every.unionByName(t)
-
-    def run(batches):
-        for batch in batches:
-            g = batch.column("gram").to_numpy(zero_copy_only=False).view(np.uint64)
-            cell = pa.array(_cells(g).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(c) if c != "gram" else cell for c in batch.schema.names],
-                                             names=["cell" if c == "gram" else c for c in batch.schema.names])
-
-    hashed = every.mapInArrow(run, "lang string, kind int, ord int, cell int, n bigint, types bigint")
-    return hashed.groupBy("lang", "kind", "ord", "cell").agg(
-        F.sum("n").alias("n"), F.sum("types").alias("types"),
-        F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("ones"), F.sum(F.when(F.col("n") == 2, 1).otherwise(0)).alias("twos"))
+    return every
 
 
 class Model:
-    """Sorted cell arrays per language and order; ``log_probs`` scores packed grams."""
+    """Sorted grams per language and order, in pieces; ``log_probs`` scores packed grams.
+
+    A piece is a list of (key, grams, counts, successors); ``add`` fills the last
+    one and ``send`` makes it a broadcast.
+    """
 
     def __init__(self, langs: list[str]):
         self.langs = sorted(langs, key=lambda s: s.encode())
-        self.arrays: dict[tuple, tuple] = {}
-        self.discount: dict[tuple, float] = {}
+        self.open: list[tuple] = []
+        self.sent: list = []
+        self.where: dict[tuple, list[int]] = {}          # numbers of the pieces that have a key's grams
+        self.rare: dict[tuple, tuple[int, int]] = {}     # how many grams count 1 and 2
+        self.grams = self.filled = 0
+        self.at: int | None = None
+        self.resident = True
         self.reject: dict[str, tuple[float, float, float]] = {}
 
     def add(self, lang: str, kind: int, order: int, cells: pd.DataFrame) -> None:
-        """Store the counts of one language, kind and order (columns of ``model_cells``)."""
-        cells = cells.sort_values("cell")
-        self.arrays[lang, kind, order] = tuple(
-            cells[c].to_numpy(t) for c, t in (("cell", np.uint32), ("n", np.float32), ("types", np.float32)))
+        """Store counts of one language, kind and order (columns of ``model_cells``), all of them or a share."""
+        key, gram = (lang, kind, order), cells["gram"].to_numpy(np.int64).view(np.uint64)
+        by, n = np.argsort(gram), cells["n"].to_numpy(np.int64)
+        self.open.append((key, gram[by], n[by].astype(np.float32), cells["types"].to_numpy(np.float32)[by] if kind else None))
+        if len(self.sent) not in self.where.setdefault(key, []):
+            self.where[key].append(len(self.sent))
         if kind == 0:
-            one, two = float(cells["ones"].sum()), float(cells["twos"].sum())
-            self.discount[lang, order] = one / (one + 2 * two) if one else 0.5
-
-    def _find(self, key: tuple, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        cells, n, types = self.arrays[key]
-        at = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
-        hit = cells[at] == cell
-        return np.where(hit, n[at], 0), np.where(hit, types[at], 0)
+            one, two = self.rare.get((lang, order), (0, 0))
+            self.rare[lang, order] = one + int((n == 1).sum()), two + int((n == 2).sum())
+        self.grams += len(gram)
+        self.filled += len(gram)
+
+    def send(self, sc) -> None:
+        """Hand the last piece to the tasks."""
+        if self.open:
+            self.sent.append(sc.broadcast(self.open))
+        self.open, self.filled, self.resident = [], 0, self.grams <= RESIDENT
+
+    def block_bytes(self) -> int:
+        return BLOCK if self.resident else WIDE_BLOCK
+
+    def _piece(self, i: int) -> list[tuple]:
+        if i == len(self.sent):
+            return self.open
+        if self.at not in (None, i) and not self.resident:
+            vars(self.sent[self.at]).pop("_value", None)  # the broadcast's file stays
+        self.at = i
+        return self.sent[i].value
+
+    def _find(self, key: tuple, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(counts, successors) of packed grams, 0 where the key has no such gram."""
+        n, types = np.zeros(len(packed), np.float32), np.zeros(len(packed), np.float32)
+        for i in self.where.get(key, ()):
+            for own, gram, count, after in self._piece(i):
+                if own == key and len(gram):
+                    at = np.minimum(np.searchsorted(gram, packed), len(gram) - 1)
+                    hit = gram[at] == packed
+                    n[hit] = count[at[hit]]
+                    if after is not None:
+                        types[hit] = after[at[hit]]
+        return n, types
 
     def log_probs(self, packed: np.ndarray) -> np.ndarray:
         """(languages, grams) natural logarithms of p(last symbol | the ones before it)."""
         out = np.empty((len(self.langs), len(packed)), dtype=np.float32)
-        grams_ = [_cells(packed & _MASK[k]) for k in range(ORDER + 1)]
-        contexts = [_cells((packed & _MASK[k]) >> np.uint64(16)) for k in range(ORDER + 1)]
+        grams_ = [packed & _MASK[k] for k in range(ORDER + 1)]
         for i, lang in enumerate(self.langs):
             p = np.full(len(packed), 1 / 65536)
             for k in range(1, ORDER + 1):
-                d = self.discount[lang, k]
+                one, two = self.rare.get((lang, k), (0, 0))
+                d = one / (one + 2 * two) if one else 0.5
                 n, _ = self._find((lang, 0, k), grams_[k])
-                total, types = self._find((lang, 1, k), contexts[k])
+                total, types = self._find((lang, 1, k), grams_[k] >> np.uint64(16))
                 known = total > 0
                 safe = np.where(known, total, 1)
-                p = np.where(known, (np.maximum(n - d, 0) + np.minimum(d * types, total) * p) / safe, p)
+                p = np.where(known, (np.maximum(n - d, 0) + d * types * p) / safe, p)
             out[i] = np.log(p)
         return out
 
 
+def load_model(cells: DataFrame) -> Model | None:
+    """The model of a written ``model_cells`` table, sent to the tasks in pieces; None of an empty one."""
+    parts = cells.groupBy("lang", "ord", "kind").count().collect()       # eight rows a language
+    if not parts:
+        return None
+    model = Model(list({r["lang"] for r in parts}))
+    sc = cells.sparkSession.sparkContext
+    for r in sorted(parts, key=lambda r: (model.langs.index(r["lang"]), r["ord"], r["kind"])):
+        own = cells.where((F.col("lang") == r["lang"]) & (F.col("kind") == r["kind"]) & (F.col("ord") == r["ord"]))
+        shares = -(-r["count"] // PIECE)
+        for i in range(shares):
+            share = own.where(F.pmod(F.xxhash64("gram"), F.lit(shares)) == i) if shares > 1 else own
+            model.add(r["lang"], r["kind"], r["ord"], share.select("gram", "n", "types").toPandas())
+            if model.filled >= PIECE:
+                model.send(sc)
+    model.send(sc)
+    return model
+
+
 def _scores(model: Model, values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(cross-entropies (rows, languages), their per-symbol variances, symbols, whether a letter is there)."""
     c, starts = symbols(values)
@@ -241,22 +285,16 @@ def train_model(train: DataFrame) -> Model | None:
     """The model of rows (text, lang), lang non-null; None if there are none."""
     aside = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(CALIBRATION_SHARE)) == 0
     counts = written(gram_counts(train.where(~aside)), "lid-counts")
-    cells = written(model_cells(counts).repartitionByRange("lang", "kind", "ord"), "lid-cells")
-    parts = [tuple(r) for r in cells.select("lang", "kind", "ord").distinct().collect()]
-    if not parts:
+    model = load_model(written(model_cells(counts).repartitionByRange("lang", "kind", "ord", "gram"), "lid-cells"))
+    if model is None:
         return None
-    model = Model(list({lang for lang, _, _ in parts}))
-    for lang, kind, order in parts:              # at most 2^CELL_BITS rows each
-        own = (F.col("lang") == lang) & (F.col("kind") == kind) & (F.col("ord") == order)
-        model.add(lang, kind, order, cells.where(own).drop("lang", "kind", "ord").toPandas())
-    sent = train.sparkSession.sparkContext.broadcast(model)
     unseen = train.where(aside)
     step = max(1, unseen.count() // CALIBRATION_ROWS)
     sample = unseen.where(F.pmod(F.hash("text"), F.lit(step)) == 0)
 
     def run(batches):
-        m = sent.value
-        for rows, values in _blocks(batches):
+        m = model
+        for rows, values in _blocks(batches, m.block_bytes()):
             ce, var, lengths, letters = _scores(m, values)
             own = np.array([m.langs.index(x) if x in m.langs else -1 for x in rows.column("lang").to_pylist()])
             letters &= own >= 0
@@ -278,13 +316,12 @@ def train_model(train: DataFrame) -> Model | None:
 def _marked(docs: DataFrame, training: Column, carry: list[str]) -> DataFrame:
     """Columns ``carry`` of every row, with ``_pred, _score, _entropy, _rejected``."""
     model = train_model(docs.where(training & F.col("lang").isNotNull()).select("text", "lang"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
     src = texts(docs, *[c for c in carry if c != "text"])
     own = src.select(*[F.col(c) for c in carry]).schema
 
     def run(batches):
-        m = sent.value
-        for rows, values in _blocks(batches):
+        m = model
+        for rows, values in _blocks(batches, m.block_bytes() if m else BLOCK):
             n = len(values)
             pred, score = np.full(n, "und", dtype=object), np.zeros(n)
             entropy, rejected = np.full(n, np.nan), np.zeros(n, dtype=bool)

@@ -310,6 +310,30 @@ def test_kneser_ney_equals_plain_version(spark):
         assert got == pytest.approx([p(context + s) for s in "abc "], rel=1e-4) and got.sum() <= 1 + 1e-6
 
 
+def test_grams_never_share_a_count(spark):
+    rng = np.random.default_rng(4)
+    grams = np.unique(rng.integers(0x4E00, 0x4E40, (150_000, 4)) @ (1 << 16 * np.arange(3, -1, -1)))
+    counts = spark.createDataFrame([("x", int(g), 1) for g in grams], "lang string, gram bigint, n bigint")
+    cells = language_id.model_cells(counts).toPandas()
+    sizes = cells.groupby(["kind", "ord"]).size()
+    for k in (4, 3, 2):
+        own = {int(g) % (1 << 16 * k) for g in grams}
+        assert sizes[0, k] == len(own) and sizes[1, k] == len({g >> 16 for g in own})
+    model = language_id.Model(["x"])
+    for (kind, order), part in cells.groupby(["kind", "ord"]):
+        model.add("x", kind, order, part)
+    every = (grams[7] >> 16 << 16) + np.arange(0x4E00, 0x4E40)
+    assert np.exp(model.log_probs(every.astype(np.uint64))[0].astype(float)).sum() <= 1 + 1e-4
+
+
+def test_language_model_in_pieces(spark, monkeypatch):
+    docs = docs_of(spark)
+    whole = sorted(map(key, language_id.identify(docs, ~language_id.fold(4, 2)).collect()))
+    monkeypatch.setattr(language_id, "PIECE", 400)
+    monkeypatch.setattr(language_id, "RESIDENT", 1000)
+    assert sorted(map(key, language_id.identify(docs, ~language_id.fold(4, 2)).collect())) == whole
+
+
 # 5 ------------------------------------------------------------------------------------------
 
 def edit_distance(a, b):
