@@ -2,8 +2,9 @@
 
 The automaton holds every token run of all templates. A file's words stream
 through it and give matching statistics: the longest run ending at each word
-that occurs in some template. Long matches are chained, in order in both the
-file and the template, into the template's covered span.
+that occurs in some template; its suffix links lead to the templates that match
+fewer words there. A template's matches that do not grow on within that template
+are chained, in order in both the file and the template, into its covered span.
 """
 
 from __future__ import annotations
@@ -87,6 +88,17 @@ class SuffixAutomaton:
                 self.ends[last].add((doc, pos))
         for state in sorted(range(1, len(self.length)), key=lambda s: -self.length[s]):
             self.ends[self.link[state]] |= self.ends[state]
+        self.rests: dict[int, list[tuple[int, int, int]]] = {}
+
+    def shorter(self, state: int, least: int) -> list[tuple[int, int, int]]:
+        """(doc, pos, length) of the places where only a shorter suffix of the state's runs ends, ``least`` tokens or more."""
+        if state not in self.rests:
+            out, seen, s = [], self.ends[state], self.link[state]
+            while s > 0 and self.length[s] >= least:
+                out += [(doc, pos, self.length[s]) for doc, pos in self.ends[s] - seen]
+                seen, s = self.ends[s], self.link[s]
+            self.rests[state] = out
+        return self.rests[state]
 
     def _state(self, length: int, link: int, edges: dict[int, int]) -> int:
         self.length.append(length)
@@ -146,7 +158,8 @@ class Scanner:
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], order.astype(np.int32)
         self.sizes = [len(p) for p in parts]
-        self.automaton = SuffixAutomaton([[number[w] for w in p] for p in parts])
+        self.sequences = [[number[w] for w in p] for p in parts]
+        self.automaton = SuffixAutomaton(self.sequences)
         self.phrases = [([number[w] for w in p.split()], label) for p, label in phrases.items()]
 
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
@@ -171,10 +184,14 @@ class Scanner:
         matches: dict[int, list[tuple[int, int, int]]] = {}
         stats = self.automaton.statistics(ids)
         for i, (state, length) in enumerate(stats):
-            grows = i + 1 < len(stats) and stats[i + 1][1] == length + 1
-            if length >= MIN_MATCH and not grows:
-                for doc, pos in self.automaton.ends[state]:
-                    matches.setdefault(doc, []).append((i + 1, pos + 1, length))
+            if length < MIN_MATCH:
+                continue
+            after = ids[i + 1] if i + 1 < len(ids) else None
+            places = [(doc, pos, length) for doc, pos in self.automaton.ends[state]]
+            for doc, pos, size in places + self.automaton.shorter(state, MIN_MATCH):
+                own = self.sequences[doc]
+                if after is None or pos + 1 == len(own) or own[pos + 1] != after:
+                    matches.setdefault(doc, []).append((i + 1, pos + 1, size))
         out = []
         for doc, found in matches.items():
             covered, first, end = chain(found)

@@ -486,6 +486,42 @@ def test_matching_statistics_equal_brute_force():
             assert sam.ends[state] == ends
 
 
+def test_template_inside_a_longer_run():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.PHRASES)
+
+    def found(text):
+        words = [kernels.hash_word(w) for w in licenses.tokens(text)]
+        return scanner.findings(scanner.word_ids(np.array(words, dtype=np.uint64)).tolist())
+    notice = ("apache-2.0-notice", 0, 8, 1.0)
+    assert notice in found("Licensed under the Apache License, Version 2.0. The library comes as it is.")
+    assert notice in found('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+                           "compliance with the License.")
+    both = found(licenses.TEMPLATES["apache-2.0"])
+    assert notice in both and ("apache-2.0", 0, scanner.sizes[scanner.names.index("apache-2.0")], 1.0) in both
+
+
+def test_matches_of_each_template_equal_brute_force(monkeypatch):
+    rng = np.random.default_rng(10)
+    letters = "abc"
+    templates = {str(n): " ".join(rng.choice(list(letters), int(m))) for n, m in enumerate(rng.integers(4, 30, 8))}
+    scanner, got = licenses.Scanner(templates, {}), {}
+    monkeypatch.setattr(licenses, "chain", lambda found: got.setdefault(len(got), sorted(found)) and (0, 0, 0))
+    text = rng.choice(list(letters + "z"), 300, p=[0.32, 0.32, 0.32, 0.04]).tolist()
+    scanner.findings(scanner.word_ids(np.array([kernels.hash_word(w) for w in text], dtype=np.uint64)).tolist())
+    want = []
+    for t in templates.values():
+        own, found = t.split(), []
+        for i in range(len(text)):
+            for j in range(len(own)):
+                n = 0
+                while n <= min(i, j) and text[i - n] == own[j - n]:
+                    n += 1
+                if n >= licenses.MIN_MATCH and (i + 1 == len(text) or j + 1 == len(own) or text[i + 1] != own[j + 1]):
+                    found.append((i + 1, j + 1, n))
+        want.append(sorted(found))
+    assert sorted(got.values()) == sorted(w for w in want if w)
+
+
 # pipeline -----------------------------------------------------------------------------------
 
 def test_pipeline(spark, edge):
