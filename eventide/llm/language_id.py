@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
@@ -32,7 +32,7 @@ FLUSH = 2_000_000              # distinct grams a counting task holds before it
 BLOCK = 1 << 20                # bytes of text handled at a time
 WIDE_BLOCK = 1 << 23           # the same where the model is read again for each block
 CALIBRATION_SHARE = 8          # one training text in so many is set aside to calibrate the rejection
-CALIBRATION_ROWS = 20_000      # and about so many of these are used
+SPARE = 4                      # distinct texts a language must have on either side, else it learns from all
 SIGMAS = 8.0
 CONFIDENT_CHARS = 50           # a score's evidence is that of at most so many characters
 
@@ -230,11 +230,12 @@ class Model:
                         types[hit] = after[at[hit]]
         return n, types
 
-    def log_probs(self, packed: np.ndarray) -> np.ndarray:
+    def log_probs(self, packed: np.ndarray, langs: list[str] | None = None) -> np.ndarray:
         """(languages, grams) natural logarithms of p(last symbol | the ones before it)."""
-        out = np.empty((len(self.langs), len(packed)), dtype=np.float32)
+        langs = self.langs if langs is None else langs
+        out = np.empty((len(langs), len(packed)), dtype=np.float32)
         grams_ = [packed & _MASK[k] for k in range(ORDER + 1)]
-        for i, lang in enumerate(self.langs):
+        for i, lang in enumerate(langs):
             p = np.full(len(packed), 1 / 65536)
             for k in range(1, ORDER + 1):
                 one, two = self.rare.get((lang, k), (0, 0))
@@ -254,25 +255,43 @@ def load_model(cells: DataFrame) -> Model | None:
     if not parts:
         return None
     model = Model(list({r["lang"] for r in parts}))
-    sc = cells.sparkSession.sparkContext
-    for r in sorted(parts, key=lambda r: (model.langs.index(r["lang"]), r["ord"], r["kind"])):
-        own = cells.where((F.col("lang") == r["lang"]) & (F.col("kind") == r["kind"]) & (F.col("ord") == r["ord"]))
-        shares = -(-r["count"] // PIECE)
-        for i in range(shares):
-            share = own.where(F.pmod(F.xxhash64("gram"), F.lit(shares)) == i) if shares > 1 else own
-            model.add(r["lang"], r["kind"], r["ord"], share.select("gram", "n", "types").toPandas())
-            if model.filled >= PIECE:
-                model.send(sc)
+    sizes = {lang: {} for lang in model.langs}
+    for r in parts:
+        sizes[r["lang"]][r["ord"], r["kind"]] = r["count"]
+    sc, small = cells.sparkSession.sparkContext, []
+
+    def fetch():
+        if small:                                 # languages of at most PIECE grams together, read at once
+            rows = cells.where(F.col("lang").isin(small)).toPandas()
+            for (lang, order, kind), own in rows.groupby(["lang", "ord", "kind"]):
+                model.add(lang, kind, order, own)
+            small.clear()
+        if model.filled >= PIECE:
+            model.send(sc)
+
+    for lang, own in sizes.items():
+        if sum(map(sum, (own.values(), *(sizes[x].values() for x in small)))) > PIECE:
+            fetch()
+        if sum(own.values()) <= PIECE:
+            small.append(lang)
+            continue
+        for (order, kind), count in sorted(own.items()):
+            rows, shares = cells.where((F.col("lang") == lang) & (F.col("ord") == order) & (F.col("kind") == kind)), -(-count // PIECE)
+            for i in range(shares):
+                share = rows.where(F.pmod(F.xxhash64("gram"), F.lit(shares)) == i) if shares > 1 else rows
+                model.add(lang, kind, order, share.select("gram", "n", "types").toPandas())
+                fetch()
+    fetch()
     model.send(sc)
     return model
 
 
-def _scores(model: Model, values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _scores(model: Model, values: list[str], langs: list[str] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(cross-entropies (rows, languages), their per-symbol variances, symbols, whether a letter is there)."""
     c, starts = symbols(values)
     packed, at, first = grams(c, starts)
     lengths = np.diff(np.append(first, len(at)))
-    log_p = model.log_probs(packed)
+    log_p = model.log_probs(packed, langs)
     sums = [np.add.reduceat(lp[at].astype(np.float64), first) for lp in log_p]
     squares = [np.add.reduceat((lp * lp)[at].astype(np.float64), first) for lp in log_p]
     ce = -np.stack(sums, axis=1) / lengths[:, None]
@@ -281,35 +300,60 @@ def _scores(model: Model, values: list[str]) -> tuple[np.ndarray, np.ndarray, np
     return ce, var, lengths, letters
 
 
+def _learn(rows: DataFrame) -> Model | None:
+    counts = written(gram_counts(rows), "lid-counts")
+    return load_model(written(model_cells(counts).repartitionByRange("lang", "kind", "ord", "gram"), "lid-cells"))
+
+
+def _fit(model: Model, unseen: DataFrame) -> DataFrame:
+    """(lang, w, ce, sq, var) of rows (text, lang, by): sums over each language's texts under the model ``by``."""
+    def run(batches):
+        for rows, values in _blocks(batches, model.block_bytes()):
+            keys = pd.DataFrame({c: rows.column(c).to_pylist() for c in ("lang", "by")})
+            for (lang, by), own in keys.groupby(["lang", "by"]).groups.items():
+                if by in model.langs:
+                    ce, var, lengths, letters = _scores(model, [values[i] for i in own], [by])
+                    yield pa.RecordBatch.from_pandas(pd.DataFrame({
+                        "lang": lang, "ce": ce[:, 0], "var": var[:, 0], "len": lengths.astype(float)})[letters], preserve_index=False)
+
+    seen = texts(unseen, "lang", "by").mapInArrow(run, "lang string, ce double, var double, len double")
+    return seen.groupBy("lang").agg(F.sum("len").alias("w"), F.sum(F.col("ce") * F.col("len")).alias("ce"),
+                                    F.sum(F.col("ce") * F.col("ce") * F.col("len")).alias("sq"),
+                                    F.sum(F.col("var") * F.col("len")).alias("var"))
+
+
 def train_model(train: DataFrame) -> Model | None:
-    """The model of rows (text, lang), lang non-null; None if there are none."""
-    aside = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(CALIBRATION_SHARE)) == 0
-    counts = written(gram_counts(train.where(~aside)), "lid-counts")
-    model = load_model(written(model_cells(counts).repartitionByRange("lang", "kind", "ord", "gram"), "lid-cells"))
+    """The model of rows (text, lang), lang non-null; None if there are none.
+
+    One distinct text in ``CALIBRATION_SHARE`` is set aside, and all of these
+    calibrate the rejection. A language with fewer than ``SPARE`` of them, or
+    fewer left to learn from, learns from all its texts; two models of half its
+    distinct texts each are calibrated on the other half instead. A language of
+    one distinct text takes the loosest limits of the others.
+    """
+    rows = train.where(F.col("text").rlike(r"\p{L}")).withColumn("_h", F.xxhash64("text"))
+    aside = F.pmod(F.col("_h"), F.lit(CALIBRATION_SHARE)) == 0
+    distinct = written(rows.select("lang", "_h").distinct(), "lid-texts")
+    sides = distinct.groupBy("lang").agg(F.count_if(aside).alias("aside"), F.count_if(~aside).alias("left")).collect()   # one row a language
+    few = [r["lang"] for r in sides if min(r["aside"], r["left"]) < SPARE]
+    model = _learn(rows.where(~aside | F.col("lang").isin(few)))
     if model is None:
         return None
-    unseen = train.where(aside)
-    step = max(1, unseen.count() // CALIBRATION_ROWS)
-    sample = unseen.where(F.pmod(F.hash("text"), F.lit(step)) == 0)
-
-    def run(batches):
-        m = model
-        for rows, values in _blocks(batches, m.block_bytes()):
-            ce, var, lengths, letters = _scores(m, values)
-            own = np.array([m.langs.index(x) if x in m.langs else -1 for x in rows.column("lang").to_pylist()])
-            letters &= own >= 0
-            at = np.arange(len(own))
-            yield pa.RecordBatch.from_pandas(pd.DataFrame({
-                "lang": [m.langs[i] for i in own], "ce": ce[at, own], "var": var[at, own], "len": lengths.astype(float)})[letters],
-                preserve_index=False)
-
-    seen = texts(sample, "lang").mapInArrow(run, "lang string, ce double, var double, len double")
-    w = F.sum("len")
-    stats = seen.groupBy("lang").agg((F.sum(F.col("ce") * F.col("len")) / w).alias("mu"),
-                                     (F.sum(F.col("ce") * F.col("ce") * F.col("len")) / w).alias("sq"),
-                                     (F.sum(F.col("var") * F.col("len")) / w).alias("var"))
-    for r in stats.collect():                    # one row a language
-        model.reject[r["lang"]] = (r["mu"], max(r["sq"] - r["mu"] ** 2, 0.0) ** 0.5, r["var"] ** 0.5)
+    stats = _fit(model, rows.where(aside & ~F.col("lang").isin(few)).withColumn("by", F.col("lang"))).collect()
+    if few:
+        place = F.row_number().over(Window.partitionBy("lang").orderBy("_h"))
+        halves = distinct.where(F.col("lang").isin(few)).withColumn("half", place % 2)
+        own = rows.join(F.broadcast(halves), ["lang", "_h"])
+        trial = _learn(own.withColumn("lang", F.concat((1 - F.col("half")).cast("string"), "lang")))
+        if trial is not None:
+            stats += _fit(trial, own.withColumn("by", F.concat(F.col("half").cast("string"), "lang"))).collect()
+    for r in stats:                              # one row a language
+        mu = r["ce"] / r["w"]
+        model.reject[r["lang"]] = (mu, max(r["sq"] / r["w"] - mu**2, 0.0) ** 0.5, (r["var"] / r["w"]) ** 0.5)
+    if model.reject:
+        loosest = tuple(map(max, zip(*model.reject.values(), strict=True)))
+        for lang in model.langs:
+            model.reject.setdefault(lang, loosest)
     return model
 
 

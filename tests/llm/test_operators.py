@@ -334,6 +334,36 @@ def test_language_model_in_pieces(spark, monkeypatch):
     assert sorted(map(key, language_id.identify(docs, ~language_id.fold(4, 2)).collect())) == whole
 
 
+def prose(rng, letters, words=40):
+    return " ".join("".join(rng.choice(list(letters), int(n))) for n in rng.integers(2, 7, words))
+
+
+def test_every_language_is_calibrated(spark, monkeypatch):
+    rng, rows = np.random.default_rng(7), []
+    for lang, letters, n in (("big", "abcdefgh", 400), ("rare", "klmnopqr", 6), ("one", "stuvwxyz", 1)):
+        rows += [(prose(rng, letters), lang) for _ in range(n)]
+    monkeypatch.setattr(language_id, "CALIBRATION_ROWS", 1, raising=False)       # as if the table were large
+    model = language_id.train_model(spark.createDataFrame(rows, "text string, lang string").repartition(4))
+    assert model.langs == ["big", "one", "rare"] and set(model.reject) == set(model.langs)
+    assert model.reject["one"] == tuple(map(max, zip(model.reject["big"], model.reject["rare"], strict=True)))
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(rows)] + [(-1, prose(rng, "klmnopqr"), None), (-2, "q" * 40 + " ξψω" * 40, None)],
+                                 "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r for r in language_id.identify(docs, F.lit(True)).collect()}
+    assert got[-1].lang_pred == "rare" and not got[-1].rejected and got[-2].rejected
+    assert not any(got[i].rejected for i in range(len(rows)))
+
+
+def test_language_whose_texts_all_fall_aside(spark):
+    rng = np.random.default_rng(8)
+    draws = spark.createDataFrame([(prose(rng, "klmnopqr"),) for _ in range(60)], "text string")
+    fallen = [r.text for r in draws.where(F.pmod(F.xxhash64("text"), F.lit(language_id.CALIBRATION_SHARE)) == 0).collect()]
+    assert fallen
+    rows = [(prose(rng, "abcdefgh"), "big") for _ in range(100)] + [(t, "aside") for t in fallen] * 3
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(rows)], "doc_id bigint, text string, lang string")
+    got = language_id.identify(docs, F.lit(True)).join(docs, "doc_id").collect()
+    assert all(r.lang_pred == r.lang for r in got)
+
+
 # 5 ------------------------------------------------------------------------------------------
 
 def edit_distance(a, b):
