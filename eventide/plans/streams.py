@@ -25,7 +25,7 @@ from ..sources.dimension import read_dimension
 from ..sources.lines import read_lines, with_arrival, write_lines
 from ..sources.tables import read_table
 from ..streaming.enrich import DimensionSnapshot, enrich_per_batch
-from ..streaming.patterns import followed_by_per_batch, stream_adjacent_change
+from ..streaming.patterns import adjacent_change_per_batch, followed_by_per_batch
 from ..streaming.runner import (append_markers, run_stream, split_outputs_per_batch, stage_by_time,
                                 state_partitions)
 from ..streaming.topn import event_time, top_n_per_batch, window_counts_stream
@@ -140,9 +140,9 @@ def stream_adjacent_change_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-adjacent")
     ev = _staged_events(spark, sf_dir, root).where(F.col("event_id") >= 0).select(
         "user_id", "event_id", "ts", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
-    s = stream_adjacent_change(ev, "user_id", ["ts", "event_id"], "k")
-    _replay(spark, lambda: run_stream(s, f"{root}/ckpt", sink=f"{root}/out"))
-    return spark.read.parquet(f"{root}/out")
+    find = adjacent_change_per_batch(root, "user_id", ["ts", "event_id"], "k")
+    _drain(lambda: run_stream(ev, f"{root}/ckpt", foreach_batch=find))
+    return spark.read.parquet(f"{root}/out").drop("batch")
 
 
 def stream_etl_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

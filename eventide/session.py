@@ -88,8 +88,8 @@ _SHIPPED: set[int] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``eventide`` importable in Python workers (``addPyFile`` of a zip).
 
-    Needed by the operators that run pandas code in tasks (keyed streaming
-    state); done once per SparkContext. The zip is built on the driver and
+    Needed by the operators that run Python code in tasks (`eventide.llm`);
+    done once per SparkContext. The zip is built on the driver and
     distributed by Spark, like ``--py-files``.
     """
     sc = spark.sparkContext

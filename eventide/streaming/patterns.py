@@ -1,19 +1,14 @@
-"""Streaming sequence patterns: C1 with keyed state, C2 with the batch pattern per micro-batch."""
+"""Streaming sequence patterns: C1 and C2 with the batch pattern per micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.intervals import interval_us
 from ..functions.timebucket import epoch_of
-from ..operators.sequence import followed_by_within
-from ..session import drop_folder, finished_ids, ship_package
+from ..operators.sequence import adjacent_change, followed_by_within
+from ..session import drop_folder, finished_ids
 
 NO_TIME = -(1 << 62)     # event time before any row, in microseconds
 
@@ -71,61 +66,43 @@ def followed_by_per_batch(root: str, key: str, ts: str, seq: str, is_start: Colu
     return write
 
 
-def _plain(v):
-    """A pandas/numpy scalar as the plain Python value the state row needs."""
-    if v is None or (not isinstance(v, str) and pd.isna(v)):
-        return None
-    if isinstance(v, pd.Timestamp):
-        return v.to_pydatetime()
-    return v.item() if hasattr(v, "item") else v
-
+def adjacent_change_per_batch(root: str, key: str, order: list[str], value: str, cols=(), split="auto"):
+    """``foreachBatch`` function of C1: the batch pattern over each key's last event and the micro-batch.
 
-def stream_adjacent_change(events: DataFrame, key: str, order: list[str], value: str,
-                           cols=()) -> DataFrame:
-    """C1 on a stream: keyed state holds only the key's last event.
+    Arrival order across micro-batches is the order of the batches; within one,
+    a key's rows go by ``order``. Rows with a NULL key are ignored. The event
+    carried for a key is compared with the key's first row of the batch only, so
+    a row that sorts before it is still its successor. A hot key is cut into
+    buckets of the first ``order`` column by ``split``. Output columns equal
+    :func:`~eventide.operators.sequence.adjacent_change`.
 
-    ``lag`` is not available on streams, so each key's rows of a
-    micro-batch are sorted by ``order`` in pandas, compared with their
-    predecessor (the state's last event for the first row), and the last row
-    becomes the new state. Arrival order across micro-batches is the order of
-    the batches. Output columns equal :func:`~eventide.operators.sequence.adjacent_change`.
+    Folders under ``root``, named by batch id: ``out`` and ``last`` (one event a
+    key, written last). A replayed batch starts again from the batch before it
+    and overwrites its own folders.
     """
     order, cols = list(order), list(cols)
-    ship_package(events.sparkSession)
-    carried = list(dict.fromkeys(order + [value] + cols))
-    # Integers cross pandas as exact decimals: a NULL or a shift would make them floats.
-    kinds = events.schema
-    exact = lambda c: F.col(c).cast("decimal(20,0)") if isinstance(kinds[c].dataType, T.IntegralType) else F.col(c)
-    base = events.where(F.col(key).isNotNull()).select(key, *[exact(c).alias(c) for c in carried if c != key])
-    carried = [c for c in carried if c != key]
-    in_schema = base.schema
-    fields = [in_schema[c] for c in carried]
-    out_schema = T.StructType([in_schema[key]] + [T.StructField(c, in_schema[c].dataType) for c in carried]
-                              + [T.StructField(f"prev_{c}", in_schema[c].dataType) for c in carried])
-    state_schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    carried = [c for c in dict.fromkeys(order + [value] + cols) if c != key]
 
-    def step(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="mergesort")
-        pdf = pdf.reset_index(drop=True)
-        prev = pdf[carried].astype(object).shift(1)
-        if state.exists:
-            last = state.get
-            for i, c in enumerate(carried):
-                prev.at[0, c] = last[i]
-        has_prev = pd.Series(True, index=pdf.index)
-        if not state.exists:
-            has_prev.iloc[0] = False
-        cur_v, prev_v = pdf[value], prev[value]
-        same = (cur_v == prev_v) | (cur_v.isna() & prev_v.isna())
-        hit = has_prev & ~same
-        out = pdf.loc[hit, [key] + carried].copy()
-        for c in carried:
-            out[f"prev_{c}"] = prev.loc[hit, c].values
-        tail = pdf.iloc[-1]
-        state.update(tuple(_plain(tail[c]) for c in carried))
-        yield out[[f.name for f in out_schema.fields]]
-
-    out = base.groupBy(key).applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-    back = lambda c, name: F.col(name).cast(kinds[c].dataType).alias(name)
-    return out.select(key, *[back(c, c) for c in carried], *[back(c, f"prev_{c}") for c in carried])
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.where(F.col(key).isNotNull()).select(key, *carried).persist()
+        try:
+            before = [i for i in finished_ids(spark, f"{root}/last", "batch") if i < batch_id]
+            event, at = F.struct(*carried), F.struct(*order)
+            ends = rows.groupBy(key).agg(F.min_by(event, at).alias("_first"), F.max_by(event, at).alias("_last"))
+            found = adjacent_change(rows, key, order, value, cols=cols, split=split)
+            if before:
+                known = spark.read.schema(rows.schema).parquet(f"{root}/last/batch={before[-1]}").select(key, event.alias("_before"))
+                ends = known.join(ends, key, "full")
+                joint = ends.where(F.col("_first").isNotNull() & F.col("_before").isNotNull()
+                                   & ~F.col(f"_first.{value}").eqNullSafe(F.col(f"_before.{value}")))
+                found = found.unionByName(joint.select(key, *[F.col(f"_first.{c}").alias(c) for c in carried],
+                                                       *[F.col(f"_before.{c}").alias(f"prev_{c}") for c in carried]))
+                ends = ends.withColumn("_last", F.coalesce("_last", "_before"))
+            found.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+            ends.select(key, *[F.col(f"_last.{c}").alias(c) for c in carried]).write.mode("overwrite").parquet(f"{root}/last/batch={batch_id}")
+        finally:
+            rows.unpersist()
+        for old in before[:-1]:                    # a replay needs the batch before it, no older one
+            drop_folder(spark, f"{root}/last/batch={old}")
+    return write
