@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, hnsw, language_id, licenses, mixing, near_dedup, pii, sharding, toxicity
+from . import bpe, exact_dedup, hnsw, language_id, licenses, mixing, near_dedup, periodic, pii, reverse_search, sharding, toxicity
 from .common import documents
 
 OP7_SHARD_BYTES = 1 << 20
@@ -78,6 +78,25 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir, ["doc_id", "text"]))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet").select("item_id", "text")
+    return reverse_search.search(documents(spark, sf_dir, ["doc_id", "text"]), items)
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic.repetitions(periodic.planted(documents(spark, sf_dir, ["doc_id", "text"])))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    longest = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("order"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length")))), 1)
+    rows = rows.withColumn("_best", F.when(F.size("runs") > 0, longest))
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("_best.start").alias("start"),
+        F.col("_best.length").alias("length"), F.col("_best.period").alias("period"),
+        F.expr("_best.length * 1000 div _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_near_dedup": op2_near_dedup,
@@ -89,9 +108,18 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_licenses": op10_licenses,
+    "op12_search": op12_search,
+    "op13_runs": op13_runs,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"unnest(regexp_extract_all({lower}, '{_TERM}'))"
+
 
 ORACLE = {
     "op7_sharding": f"""
@@ -112,4 +140,16 @@ ORACLE = {
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
                sha256(t) AS text_sha256
         FROM d JOIN g USING (t)""",
+    "op12_search": f"""
+        WITH t AS (SELECT doc_id, {_terms("text")} AS term FROM documents),
+             n AS (SELECT doc_id, count(*)::BIGINT AS n FROM t GROUP BY doc_id),
+             c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+             q AS (SELECT DISTINCT item_id, {_terms("text")} AS term FROM benchmark),
+             tf AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM t SEMI JOIN q USING (term) GROUP BY ALL),
+             w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+                   FROM tf, c GROUP BY term, docs),
+             s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+                   FROM q JOIN tf USING (term) JOIN w USING (term) JOIN n USING (doc_id), c GROUP BY ALL),
+             r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
 }
