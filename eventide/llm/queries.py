@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, hnsw, language_id, licenses, mixing, near_dedup, periodic, pii, reverse_search, sharding, toxicity
+from . import bpe, context_mixing, exact_dedup, hnsw, language_id, licenses, mixing, near_dedup, periodic, pii, reverse_search, sharding, toxicity
 from .common import documents
 
 OP7_SHARD_BYTES = 1 << 20
@@ -78,6 +78,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir, ["doc_id", "text"]))
 
 
+def op11_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = language_id.fold(10, 0)
+    return context_mixing.score(documents(spark, sf_dir, ["doc_id", "text"]), ~held_out).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet").select("item_id", "text")
     return reverse_search.search(documents(spark, sf_dir, ["doc_id", "text"]), items)
@@ -108,6 +114,7 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_licenses": op10_licenses,
+    "op11_lm": op11_lm,
     "op12_search": op12_search,
     "op13_runs": op13_runs,
 }
