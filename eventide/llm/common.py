@@ -23,6 +23,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_alone(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back; Spark drops the shuffle files that led to it.
+
+    Nothing else may read the exchanges of ``df``. The caller removes the folder when
+    no later step reads it.
+    """
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def join_small(df: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join with a written table of fixed-width rows: broadcast up to ``max_rows`` of them.
