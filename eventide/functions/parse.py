@@ -84,11 +84,12 @@ def parse_delimited(df: DataFrame, value: str, schema, sep: str = ",",
     # split once per row. (A Filter on `bad` would be pushed below the
     # projection and re-split the line for every field it references.)
     if on_error == "fail":
-        boom = F.raise_error(F.concat(F.lit("malformed line: "),
-                                      F.coalesce(F.col(value), F.lit("NULL"))))
-        # In a generator the check cannot be pruned with the columns, so even count() fails.
-        row = F.array(F.struct(*[c.alias(n) for n, c in fields]))
-        return df.select(*keep_cols, F.inline(F.when(bad, boom).otherwise(row)))
+        rows = df.select(*keep_cols, F.col(value).alias("_line"),
+                         F.struct(*[c.alias(n) for n, c in fields]).alias("_row"), bad.alias("_bad"))
+        boom = F.raise_error(F.concat(F.lit("malformed line: "), F.coalesce("_line", F.lit("NULL"))))
+        # In a generator the check cannot be pruned with the columns, so even count() fails;
+        # it reads the row and the flag of the projection below, never the line's fields.
+        return rows.select(*keep_cols, F.inline(F.when(F.col("_bad"), boom).otherwise(F.array("_row"))))
     if on_error == "drop":
         return drop_bad(df.select(*keep_cols, F.struct(*[c.alias(n) for n, c in fields]).alias("_row"),
                                   bad.alias("_bad")), keep or [])

@@ -88,9 +88,11 @@ def sliding_counts(df: DataFrame, keys, ts: str, size, slide,
     # long that is one bucket or two neighbours.
     first = floor_us(F.col("_p") + F.lit(g_us), bucket_us)
     last = floor_us(F.col("_p") + F.lit(size_us), bucket_us)
-    # No partition count: adaptive execution sizes the tasks and splits skew.
+    # With the session's own partition number adaptive execution does not merge the
+    # tasks by the small size of the panes: the fan-out to windows follows.
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = (p_us.withColumn("_b", F.explode(F.array_distinct(F.array(first, last))))
-                  .repartition(*keys, "_b"))
+                  .repartition(n_parts, *keys, "_b"))
     n_windows = -(-size_us // slide_us)
     offsets = F.sequence(F.lit(0).cast("bigint"), F.lit(n_windows - 1).cast("bigint"))
     ends = (spread.select(*keys, "_b", "_pn", "_p", F.explode(offsets).alias("_i"))

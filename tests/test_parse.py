@@ -79,3 +79,11 @@ def test_json_parse_tolerant(spark):
         parse_json(df, "value", schema, on_error="fail").collect()
     req = parse_json(df, "value", schema, on_error="drop", required=["b"]).collect()
     assert [r.msg.a for r in req] == [1]
+
+
+def test_fail_splits_a_line_once(spark):
+    """The failing check reads the projected row and flag; it does not split the line for every field."""
+    df = spark.createDataFrame([("1,2,x",)], "value string")
+    plan = parse_delimited(df, "value", "a bigint, b bigint, c string")._jdf.queryExecution().executedPlan().toString()
+    generate = next(x for x in plan.splitlines() if "Generate" in x)
+    assert "split(" not in generate and "raise_error" in generate

@@ -81,3 +81,12 @@ def test_pane_plan_shape(spark):
     assert plan.count("Exchange hashpartitioning") == 2
     assert "Expand" not in plan
     assert "partial_count" in plan
+
+
+def test_fan_out_keeps_the_partition_number(spark):
+    """The exchange before the fan-out has the session's partition number, which adaptive execution keeps."""
+    df = spark.range(200).select(F.col("id").alias("k"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("ts"))
+    counts = sliding_counts(df, "k", "ts", "10 minutes", "5 seconds")
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    assert f", {n}), REPARTITION_BY_NUM" in counts._jdf.queryExecution().executedPlan().toString()
+    assert counts.rdd.getNumPartitions() == int(n)
