@@ -18,18 +18,22 @@ other value upserts.
   (:func:`merge_changes`, written wherever it likes) and merge later commits
   onto it; deletes stay in it as tombstones, so the snapshot is the same.
 
+A table fed by a stream alone can keep its log in Spark's file sink instead of commit
+folders (:mod:`eventide.streaming.upsert`); the readers here take either.
+
 One writer per table; readers use finished commits only, so they can run at any time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import finished_ids
+from ..session import finished_ids, path_exists
 from .changes import DELETE, UPDATE_BEFORE, precombine
 
 COMMIT_DIR = "evt_commit"
+SINK_LOG = "_spark_metadata"     # where Spark's file sink lists the files of finished micro-batches
 META = ["_op", "_commit", "_seq"]
 
 
@@ -50,15 +54,19 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, commit: int, keys,
     """
     if int(commit) in finished_commits(spark, path):
         return
-    cols = [c for c in batch.columns if c != op_col]
+    (log_rows(batch, keys, F.lit(int(commit)), op_col, seq).sortWithinPartitions(partition)
+     .write.mode("overwrite").parquet(f"{path}/log/{COMMIT_DIR}={int(commit)}"))
+
+
+def log_rows(changes: DataFrame, keys, commit: Column, op_col: str | None = None, seq: str | None = None) -> DataFrame:
+    """Change rows as the log stores them; a NULL key fails."""
+    cols = [c for c in changes.columns if c != op_col]
     no_key = F.raise_error(F.lit("upsert: NULL key"))
     values = [F.when(F.col(c).isNull(), no_key).otherwise(F.col(c)).alias(c) if c in _keys(keys) else F.col(c) for c in cols]
-    b = batch.select(*values,
-                     (F.coalesce(F.col(op_col).cast("string"), F.lit("U")) if op_col else F.lit("U")).alias("_op"),
-                     F.lit(int(commit)).cast("bigint").alias("_commit"),
-                     (F.col(seq).cast("bigint") if seq else F.lit(0).cast("bigint")).alias("_seq"))
-    (b.sortWithinPartitions(partition)
-      .write.mode("overwrite").parquet(f"{path}/log/{COMMIT_DIR}={int(commit)}"))
+    return changes.select(*values,
+                          (F.coalesce(F.col(op_col).cast("string"), F.lit("U")) if op_col else F.lit("U")).alias("_op"),
+                          commit.cast("bigint").alias("_commit"),
+                          (F.col(seq).cast("bigint") if seq else F.lit(0).cast("bigint")).alias("_seq"))
 
 
 def finished_commits(spark: SparkSession, path: str) -> list[int]:
@@ -67,7 +75,14 @@ def finished_commits(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_log(spark: SparkSession, path: str, after: int = 0, upto: int | None = None) -> DataFrame:
-    """Change rows of the finished commits ``after < n <= upto``; other folders are not read."""
+    """Change rows of the finished commits ``after < n <= upto``; other folders are not read.
+
+    A log written by :func:`eventide.streaming.upsert.append_changes` is read through
+    its own list of committed files.
+    """
+    if path_exists(spark, f"{path}/log/{SINK_LOG}"):
+        upto_col = F.lit(True) if upto is None else F.col("_commit") <= upto
+        return spark.read.parquet(f"{path}/log").where((F.col("_commit") > after) & upto_col)
     done = finished_commits(spark, path)
     if not done:
         raise FileNotFoundError(f"no upsert table at {path}")

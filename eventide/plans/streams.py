@@ -29,7 +29,7 @@ from ..streaming.patterns import adjacent_change_per_batch, followed_by_per_batc
 from ..streaming.runner import (append_markers, run_stream, split_outputs_per_batch, stage_by_time,
                                 state_partitions)
 from ..streaming.topn import event_time, top_n_per_batch, window_counts_stream
-from ..streaming.upsert import stream_changes, upsert_per_batch
+from ..streaming.upsert import append_changes, stream_changes, upsert_per_batch
 from . import cdc, etl, hot, patterns
 
 SLICES = 6
@@ -189,26 +189,27 @@ def stream_change_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_orders_table(spark: SparkSession, sf_dir: str) -> str:
+    """The order changes, numbered by their commit, streamed into a table's log."""
     root = scratch_path(spark, "stream-upsert")
     per = _files_per_slice(spark)
     for c in sorted(cdc.COMMITS):
-        cdc._order_batch(spark, sf_dir, c).repartition(per).write.mode("append").parquet(f"{root}/in")
+        rows = cdc._order_batch(spark, sf_dir, c).withColumn("commit_no", F.lit(c))
+        rows.repartition(per).write.mode("append").parquet(f"{root}/in")
     schema = spark.read.parquet(f"{root}/in").schema
     changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", per).parquet(f"{root}/in")
-    _replay(spark, lambda: run_stream(changes, f"{root}/ckpt",
-                      foreach_batch=upsert_per_batch(f"{root}/table", cdc.ORDER_KEYS, cdc.ORDER_PART)))
+    _drain(lambda: append_changes(changes, f"{root}/table", f"{root}/ckpt", cdc.ORDER_KEYS, F.col("commit_no")))
     return f"{root}/table"
 
 
 def stream_upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stream_orders_table(spark, sf_dir)
-    return read_snapshot(spark, path, cdc.ORDER_KEYS, cdc.ORDER_ORDERING)
+    return read_snapshot(spark, path, cdc.ORDER_KEYS, cdc.ORDER_ORDERING).drop("commit_no")
 
 
 def stream_changes_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commits after the first, read back through the streaming change-log source."""
     path = _stream_orders_table(spark, sf_dir)
     root = scratch_path(spark, "stream-changelog")
-    log = stream_changes(spark, path).where(F.col("_commit") > 1).drop("_commit_dir", "_seq")
+    log = stream_changes(spark, path).where(F.col("_commit") > 1).drop("commit_no", "_seq")
     _replay(spark, lambda: run_stream(log, f"{root}/ckpt", sink=f"{root}/out"))
     return spark.read.parquet(f"{root}/out")

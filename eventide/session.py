@@ -76,13 +76,18 @@ def finished_ids(spark: SparkSession, base: str, name: str) -> list[int]:
     return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that an operator wrote and no reader needs any more."""
     old = spark._jvm.org.apache.hadoop.fs.Path(path)
     old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -93,7 +98,7 @@ def ship_package(spark: SparkSession) -> None:
     distributed by Spark, like ``--py-files``.
     """
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     import zipfile
 
@@ -107,4 +112,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, parent))
     sc.addPyFile(out)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)

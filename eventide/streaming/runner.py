@@ -21,7 +21,8 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 
 def run_stream(df: DataFrame, checkpoint: str, sink: str | None = None, fmt: str = "parquet",
                foreach_batch=None, output_mode: str = "append", trigger: dict | None = None,
-               query_name: str | None = None, options: dict | None = None) -> StreamingQuery:
+               query_name: str | None = None, options: dict | None = None,
+               partition_by: list[str] | None = None) -> StreamingQuery:
     """Start ``df`` with a durable checkpoint.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
@@ -38,6 +39,8 @@ def run_stream(df: DataFrame, checkpoint: str, sink: str | None = None, fmt: str
     w = w.trigger(**(trigger or {"availableNow": True}))
     if foreach_batch is not None:
         return w.foreachBatch(foreach_batch).start()
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     return w.format(fmt).start(sink)
 
 

@@ -1,17 +1,41 @@
-"""Streaming upserts (U2 via ``foreachBatch``) and the streaming change-log read.
-
-Micro-batch ``b`` becomes commit ``b + 1`` of the table. A replayed batch id
-whose commit was finished is not written again; an unfinished one is replaced,
-so recovery after a failure leaves the table as if the batch had run once.
+"""Streaming writes of the upsert table's change log (U2, U4) and the streaming read.
+
+Two ways to write, one for each need:
+
+* :func:`append_changes`: the stream's rows go through Spark's own file sink. A
+  micro-batch counts when the sink has listed its files in ``log/_spark_metadata``,
+  in one step; files of a broken-off micro-batch are never listed, and its replay
+  writes others. Batch readers and :func:`stream_changes` go by that list, so every
+  change reaches them once. The commit number is a column of the input.
+* :func:`upsert_per_batch`: a ``foreachBatch`` function for batches that must be
+  prepared as a whole. Micro-batch ``b`` becomes commit folder ``b + 1``; a finished
+  commit is not written again. It has batch readers only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.upsert import SINK_LOG, log_rows, upsert
+from ..session import path_exists
+from .runner import run_stream
+
 
-from ..operators.upsert import COMMIT_DIR, upsert
+def append_changes(changes: DataFrame, path: str, checkpoint: str, keys, commit: Column, op_col: str | None = None,
+                   seq: str | None = None, trigger: dict | None = None,
+                   partition: str | None = None) -> StreamingQuery:
+    """Start a query that appends the streaming ``changes`` to the log of the table at ``path``, exactly once.
+
+    ``commit`` numbers the producer's commits and must come from the rows (a column
+    of theirs, the time of their file), so that a replay numbers them alike. A NULL
+    key fails the query. ``partition`` (a column of low cardinality, such as a day)
+    gives the files folders of their own, which readers can skip.
+    """
+    return run_stream(log_rows(changes, keys, commit, op_col, seq), checkpoint, sink=f"{path}/log", trigger=trigger,
+                      partition_by=[partition] if partition else None)
 
 
 def upsert_per_batch(path: str, keys, partition: str, op_col: str | None = None, seq: str | None = None,
@@ -24,16 +48,14 @@ def upsert_per_batch(path: str, keys, partition: str, op_col: str | None = None,
 
 
 def stream_changes(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The table's change log as a stream (new commits as they land).
+    """The change log of a table written by :func:`append_changes`, as a stream: each change once.
 
-    A finished commit is never rewritten, so its rows come once. (The files of a
-    commit whose write broke off while Spark was moving them into place may be
-    seen before its replay replaces them; batch readers never see those.) Schema is taken from the commits present when the stream is defined. Use
-    ``trigger(processingTime="3 seconds")`` for the reference's check
-    interval.
+    Schema is taken from the commits present when the stream is defined. Use
+    ``trigger(processingTime="3 seconds")`` for a check interval.
     """
-    schema = spark.read.parquet(f"{path}/log").schema
-    r = spark.readStream.schema(schema)
+    if not path_exists(spark, f"{path}/log/{SINK_LOG}"):
+        raise ValueError(f"{path}/log was not written by append_changes; commit folders have batch readers only")
+    r = spark.readStream.schema(spark.read.parquet(f"{path}/log").schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(f"{path}/log").withColumnRenamed(COMMIT_DIR, "_commit_dir")
+    return r.parquet(f"{path}/log")
