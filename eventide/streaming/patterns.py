@@ -18,11 +18,13 @@ def followed_by_per_batch(root: str, key: str, ts: str, seq: str, is_start: Colu
     """``foreachBatch`` function of C2: the batch pattern over carried rows and the micro-batch.
 
     Event time is the newest ``ts`` of any row so far less ``delay``. A start is
-    emitted once, when event time has reached ``start + within``; a start without
-    ``ts`` at once, as ``timeout``. Rows behind the event time of earlier batches
-    are late and dropped; rows with a NULL key are ignored. Only starts and ends
-    younger than ``within`` are carried, so no start meets more than its nearest
-    end: linear, and a hot key is cut into time buckets by ``split``.
+    emitted once: as ``paid`` in the micro-batch in which event time passes its end
+    (no nearer end can come any more), as ``timeout`` when event time has reached
+    ``start + within``, at once if it has no ``ts``. Rows behind the event time of
+    earlier batches are late and dropped; rows with a NULL key are ignored. Only
+    starts not yet emitted and ends younger than ``within`` are carried, so no start
+    meets more than its nearest end: linear, and a hot key is cut into time buckets
+    by ``split``.
 
     Folders under ``root``, named by batch id: ``out`` (unless ``emit(rows,
     batch_id)`` writes the results), ``open`` (carried rows) and ``mark`` (event
@@ -51,11 +53,18 @@ def followed_by_per_batch(root: str, key: str, ts: str, seq: str, is_start: Colu
             fresh = rows.where(F.col(key).isNotNull() & (F.col("_start") | F.col("_end"))
                                & (F.col("_at").isNull() | (F.col("_at") >= mark)))
             known = fresh if carried is None else carried.unionByName(fresh)
-            found = followed_by_within(known, key, ts, seq, F.col("_start"), F.col("_end"), within, cols=cols, split=split)
-            start = position(f"start_{ts}")
-            (emit or save)(found.where(start.isNull() | (start + within_us <= now)), batch_id)
-            (known.where(F.col("_at") + within_us > now)
-             .write.mode("overwrite").parquet(f"{root}/open/batch={batch_id}"))
+            found = followed_by_within(known, key, ts, seq, F.col("_start"), F.col("_end"), within,
+                                       cols=[*cols, "_end"], split=split).persist()
+            start, end = position(f"start_{ts}"), position(f"end_{ts}")
+            due = start.isNull() | (start + within_us <= now) | F.coalesce(end < now, F.lit(False))
+            (emit or save)(found.where(due).drop("start__end", "end__end"), batch_id)
+            # A start that stays open keeps its row; an emitted one that is an end too stays as an end.
+            again = found.where(start + within_us > now).where(~due | F.col("start__end"))
+            again = again.select(key, *[F.col(f"start_{c}").alias(c) for c in (ts, seq, *cols)], (~due).alias("_start"),
+                                 F.col("start__end").alias("_end"), start.alias("_at"))
+            ends = known.where(~F.col("_start") & F.col("_end") & (F.col("_at") + within_us > now))
+            ends.unionByName(again).write.mode("overwrite").parquet(f"{root}/open/batch={batch_id}")
+            found.unpersist()
             spark.range(1).select(F.lit(now).cast("bigint").alias("mark")).write.mode("overwrite").parquet(
                 f"{root}/mark/batch={batch_id}")
         finally:

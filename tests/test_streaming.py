@@ -178,6 +178,37 @@ def test_out_of_order_within_delay(spark):
     assert run("0 seconds") == {1: "timeout"}
 
 
+def test_paid_rows_leave_before_their_bound(spark):
+    """A paid row leaves once event time has passed its end, a timeout at its deadline; nothing leaves twice."""
+    root = scratch_path(spark, "t-prompt")
+    find = _order_pattern(root)
+    batches = [[("a", _at(0), 1, "1"), ("a", _at(1), 2, "1"), ("b", _at(0), 3, "1"), ("a", _at(3), 4, "2")],
+               [("c", _at(4), 5, "9")],                                  # passes the end at 3 s
+               [("a", _at(5), 6, "1"), ("a", _at(6), 7, "2"), ("c", _at(9), 8, "9")],
+               [("c", _at(10), 9, "9")],                                 # b's deadline
+               [("c", _at(99), 10, "9")]]
+    for i, b in enumerate(batches):
+        find(spark.createDataFrame(b, ORDER), i)
+    got = {(r.batch, r.start_seq, r.end_seq, r.status) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert got == {(1, 1, 4, "paid"), (1, 2, 4, "paid"), (2, 6, 7, "paid"), (3, 3, None, "timeout")}
+
+
+def test_event_that_starts_and_ends(spark):
+    """An event may be a start and an end: emitted as a start, it still ends earlier starts, and itself never."""
+    from eventide.operators.sequence import followed_by_within
+    import random
+    rnd = random.Random(4)
+    events = sorted(((rnd.choice("ab"), _at(rnd.randrange(200)), i, rnd.choice("123")) for i in range(250)), key=lambda e: (e[1], e[2]))
+    is_start, is_end = F.col("status").isin("1", "3"), F.col("status").isin("2", "3")
+    root = scratch_path(spark, "t-both")
+    find = followed_by_per_batch(root, "k", "ts", "seq", is_start, is_end, "10 seconds", cols=["status"])
+    for n in range(5):
+        find(spark.createDataFrame(events[50 * n:50 * n + 50], ORDER), n)
+    find(spark.createDataFrame([("end", _at(9999), -1, "9")], ORDER), 5)
+    want = followed_by_within(spark.createDataFrame(events, ORDER), "k", "ts", "seq", is_start, is_end, "10 seconds", cols=["status"])
+    assert rows(spark.read.parquet(f"{root}/out").drop("batch")) == rows(want)
+
+
 def test_pattern_batches_equal_the_batch_form(spark):
     import random
     from eventide.operators.sequence import followed_by_within
