@@ -7,6 +7,11 @@ With ``split=<interval>`` the work is partitioned by ``(key, time bucket)``
 instead and the few rows that need a neighbour from another bucket get it
 through a small per-bucket table, so results are exactly the unsplit ones.
 
+``split="segments"`` cuts the sequence of a hot key at sampled rows instead of
+times (see :func:`segments`), so it also cuts a burst within a pattern's bound and
+order columns that are neither times nor integers; neighbours in another segment
+come from one summary per segment, its last event for C1, its first end for C2.
+
 ``split="auto"`` picks the bucket length from the data (see
 :func:`auto_split`): no split while no key is hot, else about a million rows
 per (key, bucket), never shorter than the pattern's bound. Rows without a time
@@ -81,6 +86,47 @@ def auto_split(df: DataFrame, keys, position: Column, min_length: int = 1,
     return length
 
 
+SEGMENT_ROWS = 1_000_000      # rows of a segment, more where that would give over MAX_CUTS cuts
+MAX_CUTS = 4096
+SAMPLES = 50                  # sampled rows of a segment
+_FINE = 64
+
+
+def segments(df: DataFrame, keys, order) -> DataFrame | None:
+    """``keys, _cuts``: for every hot key the ``order`` values that cut its rows into segments; else None.
+
+    Rows are sampled by a hash of key and order, ``SAMPLES`` a segment, and every
+    ``SAMPLES``-th sampled row of a key is a cut. A cut stands for at least one
+    ``MAX_CUTS``-th of the rows, so about ``MAX_CUTS`` cuts at most are held, whatever
+    the size: the result is a broadcast table. No key is counted.
+    """
+    keys, order = _names(keys), _names(order)
+    total = df.count()
+    if total <= SEGMENT_ROWS:
+        return None
+    rate = SAMPLES / max(SEGMENT_ROWS, total // MAX_CUTS)
+    at = F.struct(*order)
+    drawn = F.pmod(F.xxhash64(*keys, *order), F.lit(1 << 30)) < int(min(1.0, rate) * (1 << 30))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_at"))
+    cuts = (df.select(*keys, at.alias("_at")).where(drawn).withColumn("_i", place).where(F.col("_i") % SAMPLES == 0)
+            .groupBy(*keys).agg(F.sort_array(F.collect_list("_at")).alias("_cuts")))
+    found = cuts.collect()
+    return F.broadcast(df.sparkSession.createDataFrame(found, cuts.schema)) if found else None
+
+
+def _in_segments(df: DataFrame, keys: list[str], order: list[str], cuts: DataFrame) -> DataFrame:
+    """``df`` with ``_b``, the number of the row's segment: its key's cuts at or before it, found in two steps."""
+    at = F.struct(*order)
+    upto = lambda some: F.size(F.filter(some, lambda c: c <= at))
+    coarse = upto(F.transform(F.sequence(F.lit(1), F.floor(F.size("_cuts") / _FINE).cast("int")),
+                              lambda i: F.element_at("_cuts", i * _FINE)))
+    coarse = F.when(F.size("_cuts") >= _FINE, coarse).otherwise(0)
+    marked = df.join(cuts, keys, "left").withColumn("_c", coarse)
+    fine = upto(F.slice("_cuts", F.col("_c") * _FINE + 1, F.lit(_FINE)))
+    b = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.col("_c") * _FINE + fine)
+    return marked.withColumn("_b", b.cast("bigint")).drop("_cuts", "_c")
+
+
 def _resolve_split(df: DataFrame, keys, position: Column, split, min_length: int = 1) -> int | None:
     if split is None:
         return None
@@ -91,8 +137,8 @@ def with_previous(df: DataFrame, keys, order, cols, split=None, ts: str | None =
                   prev: str = "prev") -> DataFrame:
     """Add struct column ``prev`` = (``order`` + ``cols``) of the previous row of the key.
 
-    ``split`` cuts each key's sequence into buckets of the first ``order`` column
-    (a timestamp or an integer; any other is not split). ``ts`` names the column
+    ``split`` cuts each key's sequence into segments (``"segments"``) or buckets of the
+    first ``order`` column (a timestamp or an integer; any other is not split). ``ts`` names the column
     that a time length is meant for: if that is not the first order column, the
     length comes from the data as with ``"auto"``. The first row of a bucket takes the last row of the nearest earlier non-empty
     bucket of its key. The per-bucket last rows come from a second, narrow
@@ -103,14 +149,15 @@ def with_previous(df: DataFrame, keys, order, cols, split=None, ts: str | None =
     """
     keys, order, cols = _names(keys), _names(order), _names(cols)
     payload = F.struct(*[F.col(c) for c in dict.fromkeys(order + cols)])
-    position = _position(df, order[0])
+    cuts = segments(df, keys, order) if split == "segments" else None
+    position = None if split == "segments" else _position(df, order[0])
     if position is not None and split not in (None, "auto") and ts not in (None, order[0]):
         split = "auto"                    # a time length says nothing about another order
     length = None if position is None else _resolve_split(df, keys, position, split)
-    if length is None:
+    if length is None and cuts is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(prev, F.lag(payload).over(w))
-    b = df.withColumn("_b", _bucket(position, length))
+    b = df.withColumn("_b", _bucket(position, length)) if cuts is None else _in_segments(df, keys, order, cuts)
     w = Window.partitionBy(*keys, "_b").orderBy(*order)
     inner = b.withColumn(prev, F.lag(payload).over(w))
     # Last row of every (key, bucket), then the previous non-empty bucket's last
@@ -167,13 +214,18 @@ def followed_by_within(df: DataFrame, keys, ts: str, seq: str, is_start: Column,
     ignorenulls)`` over the rows already seen is the nearest later end --
     linear, no self join. With ``split`` (at least ``within``) each end row is
     also copied into the previous bucket when it lies within ``within`` of its
-    bucket start, which is every end a start of that bucket can match.
+    bucket start, which is every end a start of that bucket can match. With
+    ``split="segments"`` a start without a later end in its segment takes the first
+    end of the next segments that have one, from a table of one row per segment.
     """
     keys, cols = _names(keys), _names(cols)
     within_us = interval_us(within)
     ev = (df.where((is_start | is_end) & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
             .select(*keys, ts, seq, *cols, is_start.alias("_s"), is_end.alias("_e")))
     part = list(keys)
+    cuts = None
+    if split == "segments":
+        cuts, split = segments(ev, keys, [ts, seq]), None
     position = _position(ev, ts)
     split_us = _resolve_split(ev, keys, position, split, min_length=within_us)
     if split_us is not None:
@@ -196,7 +248,18 @@ def followed_by_within(df: DataFrame, keys, ts: str, seq: str, is_start: Column,
     w = (Window.partitionBy(*part).orderBy(F.col(ts).desc(), F.col(seq).desc())
                .rowsBetween(Window.unboundedPreceding, -1))
     nxt = F.last(F.when(F.col("_e"), end_payload), ignorenulls=True).over(w)
-    starts = ev.withColumn("_n", nxt).where(F.col("_s") & F.col("_own"))
+    if cuts is None:
+        starts = ev.withColumn("_n", nxt).where(F.col("_s") & F.col("_own"))
+    else:
+        ev = _in_segments(ev, keys, [ts, seq], cuts)
+        firsts = ev.groupBy(*keys, "_b").agg(F.min_by(F.when(F.col("_e"), end_payload), F.when(F.col("_e"), F.struct(ts, seq))).alias("_end"))
+        later = Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
+        firsts = firsts.select(*keys, "_b", F.first("_end", ignorenulls=True).over(later).alias("_later"))
+        w = (Window.partitionBy(*keys, "_b").orderBy(F.col(ts).desc(), F.col(seq).desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+        nxt = F.last(F.when(F.col("_e"), end_payload), ignorenulls=True).over(w)
+        starts = (ev.withColumn("_n", nxt).where("_s").join(firsts, [*keys, "_b"], "left")
+                  .withColumn("_n", F.coalesce("_n", "_later")).drop("_later"))
     deadline = F.expr(f"timestampadd(MICROSECOND, {within_us}, `{ts}`)")
     paid = F.col("_n").isNotNull() & (F.col("_n.t") < deadline)
     status = F.when(paid, F.lit("paid"))

@@ -27,7 +27,7 @@ from ..sources.tables import read_table
 
 ROW_SCHEMA = "id bigint, name string, age int, birthday string"
 ROW_COLS = ["id", "name", "age", "birthday"]
-SPLIT = "auto"
+SPLIT = "segments"
 
 ORDER_SCHEMA = ("orderId string, userId string, orderTime string, ip string, "
                 "orderMoney double, orderStatus int")

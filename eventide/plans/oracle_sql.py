@@ -228,5 +228,6 @@ ORACLE["order_status_as_of"] = f"""
   SELECT * REPLACE (CASE WHEN status = 'timeout' AND start_ts + INTERVAL 1 HOUR > (SELECT max(ts) - INTERVAL 1 DAY FROM events)
                          THEN 'pending' ELSE status END AS status)
   FROM ({ORACLE["order_status"]}) o"""
+ORACLE["order_status_10s"] = ORACLE["order_status"].replace("INTERVAL 1 HOUR", "INTERVAL 10 SECOND")
 ORACLE["stream_etl_lines"] = ORACLE["etl_enriched_json"]
 ORACLE["cdc_table_snapshot"] = ORACLE["latest_state"]

@@ -20,7 +20,7 @@ from ..sources.lines import read_lines, write_lines
 from ..sources.tables import read_table
 
 WITHIN = "1 hour"
-SPLIT = "auto"
+SPLIT = "segments"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +33,16 @@ def adjacent_change_q(spark: SparkSession, sf_dir: str, split=SPLIT) -> DataFram
     return adjacent_change(ev, "user_id", ["ts", "event_id"], "k", split=split, ts="ts")
 
 
-def order_status(spark: SparkSession, sf_dir: str, split=SPLIT) -> DataFrame:
+def order_status(spark: SparkSession, sf_dir: str, split=SPLIT, within: str = WITHIN) -> DataFrame:
     ev = _events(spark, sf_dir)
     return followed_by_within(ev, "user_id", "ts", "event_id",
                               F.col("event_type") == "click", F.col("event_type") == "purchase",
-                              WITHIN, cols=["value"], split=split)
+                              within, cols=["value"], split=split)
+
+
+def order_status_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order status at the order job's own bound of ten seconds."""
+    return order_status(spark, sf_dir, within="10 seconds")
 
 
 def order_status_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:

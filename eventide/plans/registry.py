@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {
     "etl_enriched_open_json": etl.etl_enriched_open_json,
     "adjacent_change": patterns.adjacent_change_q,
     "order_status": patterns.order_status,
+    "order_status_10s": patterns.order_status_10s,
     "order_status_as_of": patterns.order_status_as_of,
     "order_paid": patterns.order_paid,
     "order_timeout": patterns.order_timeout,

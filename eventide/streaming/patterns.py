@@ -14,7 +14,7 @@ NO_TIME = -(1 << 62)     # event time before any row, in microseconds
 
 
 def followed_by_per_batch(root: str, key: str, ts: str, seq: str, is_start: Column, is_end: Column, within,
-                          cols=(), delay: str = "0 seconds", split="auto", emit=None):
+                          cols=(), delay: str = "0 seconds", split="segments", emit=None):
     """``foreachBatch`` function of C2: the batch pattern over carried rows and the micro-batch.
 
     Event time is the newest ``ts`` of any row so far less ``delay``. A start is
@@ -23,8 +23,8 @@ def followed_by_per_batch(root: str, key: str, ts: str, seq: str, is_start: Colu
     ``start + within``, at once if it has no ``ts``. Rows behind the event time of
     earlier batches are late and dropped; rows with a NULL key are ignored. Only
     starts not yet emitted and ends younger than ``within`` are carried, so no start
-    meets more than its nearest end: linear, and a hot key is cut into time buckets
-    by ``split``.
+    meets more than its nearest end: linear, and a hot key is cut into segments by
+    ``split``.
 
     Folders under ``root``, named by batch id: ``out`` (unless ``emit(rows,
     batch_id)`` writes the results), ``open`` (carried rows) and ``mark`` (event
@@ -75,14 +75,14 @@ def followed_by_per_batch(root: str, key: str, ts: str, seq: str, is_start: Colu
     return write
 
 
-def adjacent_change_per_batch(root: str, key: str, order: list[str], value: str, cols=(), split="auto"):
+def adjacent_change_per_batch(root: str, key: str, order: list[str], value: str, cols=(), split="segments"):
     """``foreachBatch`` function of C1: the batch pattern over each key's last event and the micro-batch.
 
     Arrival order across micro-batches is the order of the batches; within one,
     a key's rows go by ``order``. Rows with a NULL key are ignored. The event
     carried for a key is compared with the key's first row of the batch only, so
     a row that sorts before it is still its successor. A hot key is cut into
-    buckets of the first ``order`` column by ``split``. Output columns equal
+    segments by ``split``. Output columns equal
     :func:`~eventide.operators.sequence.adjacent_change`.
 
     Folders under ``root``, named by batch id: ``out`` and ``last`` (one event a

@@ -125,3 +125,51 @@ def test_splits_agree_with_null_times_keys_and_a_burst(spark, monkeypatch):
     assert results[0] == results[1] == results[2]
     starts = sum(k is not None and v == "1" for k, _, _, v in _null_rows())
     assert len(results[0]) == starts                 # no start is lost, whatever its time
+
+
+def test_segments_equal_the_unsplit_form(spark, monkeypatch):
+    """One key with every row inside one bound, ties of time, times that are missing and an order by text."""
+    from eventide.operators import sequence
+    monkeypatch.setattr(sequence, "SEGMENT_ROWS", 40)
+    monkeypatch.setattr(sequence, "SAMPLES", 8)
+    rnd = random.Random(8)
+    burst = [("hot", None if i % 50 == 0 else sec(rnd.randrange(9)), i, rnd.choice("1229"), f"{rnd.random():.9f}") for i in range(900)]
+    rows = burst + [(rnd.choice(["a", None, "b"]), sec(i), 1000 + i, rnd.choice("129"), f"x{i:05d}") for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, seq bigint, v string, name string").cache()
+    cuts = {r.k: len(r["_cuts"]) for r in sequence.segments(df, "k", ["ts", "seq"]).collect()}
+    assert cuts["hot"] > 10 and cuts["hot"] > 5 * sum(n for k, n in cuts.items() if k != "hot")
+    for order in (["ts", "seq"], ["seq"], ["name"]):
+        got = [sorted(map(repr, adjacent_change(df, "k", order, "v", split=s).collect())) for s in (None, "segments")]
+        assert got[0] == got[1] and got[0]
+    c2 = lambda s: followed_by_within(df, "k", "ts", "seq", F.col("v") == "1", F.col("v") == "2", "10 seconds", cols=["name"], split=s)
+    got = [sorted(map(repr, c2(s).collect())) for s in (None, "segments")]
+    assert got[0] == got[1] and len(got[0]) > 100
+    # A long way to the next end: many segments without one lie between.
+    far = [("f", sec(0), 0, "1")] + [("f", sec(1), i, "9" if i % 3 else "1") for i in range(1, 500)] + [("f", sec(2), 999, "2")]
+    got = sorted((r.start_seq, r.status, r.end_seq) for r in _c2(spark, far, split="segments").collect())
+    assert got == [(r[2], "paid", 999) for r in far if r[3] == "1"]
+
+
+def test_segments_find_their_rows_in_two_steps(spark, monkeypatch):
+    from eventide.operators import sequence
+    monkeypatch.setattr(sequence, "SEGMENT_ROWS", 2)
+    monkeypatch.setattr(sequence, "SAMPLES", 2)
+    df = spark.range(900).selectExpr("1 AS k", "id AS seq")
+    cuts = sequence.segments(df, "k", "seq")
+    at = [c.seq for c in cuts.first()["_cuts"]]
+    assert len(at) > 3 * sequence._FINE and at == sorted(at)
+    for r in sequence._in_segments(df, ["k"], ["seq"], cuts).collect():
+        assert r["_b"] == sum(c <= r.seq for c in at)
+
+
+def test_segments_exchange_the_rows_once(spark, monkeypatch):
+    from eventide.operators import sequence
+    monkeypatch.setattr(sequence, "SEGMENT_ROWS", 50)
+    monkeypatch.setattr(sequence, "SAMPLES", 8)
+    df = spark.range(400).selectExpr("id % 2 AS k", "id AS seq", "id % 3 AS v")
+    assert sequence.segments(spark.range(40).selectExpr("id AS k", "id AS seq"), "k", "seq") is None
+    plan = adjacent_change(df, "k", "seq", "v", split="segments")._jdf.queryExecution().executedPlan().toString()
+    # The rows cross one exchange; the three others carry one row per segment and task at most.
+    rows_side, summaries = plan.split("+- Range", 1)
+    assert rows_side.count("Exchange hashpartitioning") == 1 and "Aggregate" not in rows_side
+    assert summaries.count("Exchange hashpartitioning") == 3 and summaries.count("partial_max_by") == 1
