@@ -154,7 +154,7 @@ def stream_etl_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = (spark.readStream.schema("value string").option("maxFilesPerTrigger", per)
             .parquet(f"{root}/in"))
     parsed = parse_json(msgs, "value", etl.MESSAGE_SCHEMA, required=["data"]).select("msg.*")
-    dim = DimensionSnapshot(lambda s: s.read.parquet(f"{root}/dim"))
+    dim = DimensionSnapshot(lambda s: s.read.parquet(f"{root}/dim"), f"{root}/dim-versions")
     _replay(spark, lambda: run_stream(parsed, f"{root}/ckpt",
                       foreach_batch=enrich_per_batch(dim, f"{root}/out", "data", ["dt"], "countryCode",
                                                      "country", "area")))
@@ -168,7 +168,7 @@ def stream_etl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     etl.area_hash(spark, sf_dir).write.parquet(f"{root}/dim")
     lines = read_lines(spark, f"{root}/in", stream=True)
     parsed = parse_json(lines, "value", etl.MESSAGE_SCHEMA, required=["data"]).select("msg.*")
-    dim = DimensionSnapshot(lambda s: read_dimension(s, f"{root}/dim"))
+    dim = DimensionSnapshot(lambda s: read_dimension(s, f"{root}/dim"), f"{root}/dim-versions")
     _drain(lambda: run_stream(parsed, f"{root}/ckpt", foreach_batch=enrich_per_batch(
         dim, f"{root}/out", "data", ["dt"], "countryCode", "country", "area", lines=True)))
     return spark.read.text(f"{root}/out").select("value")

@@ -13,8 +13,8 @@ def read_dimension(spark: SparkSession, path: str, group: str = "area",
     """Read a group/members dimension and invert it to ``member -> group``.
 
     Re-read it for every micro-batch (see
-    :class:`eventide.streaming.enrich.DimensionSnapshot`), which also keeps the
-    last non-empty snapshot.
+    :class:`eventide.streaming.enrich.DimensionSnapshot`), which publishes
+    what each micro-batch used and keeps the last non-empty snapshot over restarts.
     """
     raw = spark.read.format(fmt).load(path)
     return invert_groups(raw, group, members, member=member)

@@ -55,6 +55,40 @@ def test_dimension_refresh_per_batch(spark):
     assert out == {0: "east", 1: "west", 2: "west"}
 
 
+def test_dimension_versions(spark):
+    """Restart, empty load, failing load and replay all look up in the version they should."""
+    root = scratch_path(spark, "t-versions")
+    frame = lambda rows_: spark.createDataFrame(rows_, "area string, country string")
+    loads = {"now": lambda s: frame([])}
+    snap = lambda: DimensionSnapshot(lambda s: loads["now"](s), f"{root}/dim")
+    seen = lambda snap_, b: (lambda d: d and sorted(map(tuple, d.collect())))(snap_.at(spark, b))
+    first = snap()
+    assert seen(first, 0) is None                                          # nothing published yet
+    one, two = [("east", "K1"), ("west", "K2")], [("north", "K1")]
+    loads["now"] = lambda s: frame(one)
+    assert seen(first, 1) == one
+    loads["now"] = lambda s: frame([])
+    assert seen(snap(), 2) == one                                          # a restart with an empty source
+    loads["now"] = lambda s: s.read.parquet(f"{root}/no-such-folder")
+    with pytest.warns(UserWarning, match="version 1 kept"):
+        assert seen(snap(), 3) == one                                      # a failing read
+    loads["now"] = lambda s: frame([("x", "K")]).select(F.raise_error(F.lit("broken")).cast("string").alias("area"), "country")
+    with pytest.warns(UserWarning, match="version 1 kept"):
+        assert seen(snap(), 4) == one                                      # one that fails while it runs
+    loads["now"] = lambda s: frame(two)
+    assert seen(snap(), 5) == two
+    loads["now"] = lambda s: frame([("late", "K1")])
+    assert seen(snap(), 5) == two                                          # a replay: the version of its first run
+    assert seen(snap(), 4) == one                                          # and the one before it
+    loads["now"] = lambda s: frame(two)
+    assert seen(snap(), 6) == two
+    from eventide.session import finished_ids
+    assert finished_ids(spark, f"{root}/dim", "version") == [5]            # equal rows are not written again, old ones go
+    loads["now"] = lambda s: s.read.parquet(f"{root}/no-such-folder")
+    with pytest.raises(Exception, match="no-such-folder"):
+        DimensionSnapshot(lambda s: loads["now"](s), f"{root}/other").at(spark, 0)
+
+
 def test_upsert_stream_restart(spark):
     root = scratch_path(spark, "t-restart")
     batches = [cdc._order_batch(spark, SF, c) for c in sorted(cdc.COMMITS)]
