@@ -221,6 +221,11 @@ for _name in ("hot_items_top5", "hot_urls_top5", "order_status", "order_timeout"
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 ORACLE["behavior_text_roundtrip"] = ORACLE["parse_behavior"]
 ORACLE["order_table_snapshot"] = ORACLE["order_derived"]
+ORACLE["order_table_sql"] = ORACLE["order_derived"]
+ORACLE["order_day_sql"] = """
+  SELECT strftime(ts, '%Y-%m-%d') AS partition_day, CAST(CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS INTEGER) AS orderStatus,
+         count(*) AS orders, round(sum(value), 2) AS money
+  FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events) GROUP BY ALL"""
 ORACLE["order_user_snapshot"] = f"""
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY ts DESC, orderId DESC) AS rn
                               FROM ({ORACLE["order_derived"]}) o) r WHERE rn = 1"""

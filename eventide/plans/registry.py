@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cdc, etl, hot, parsing, patterns, streams
+from . import catalog, cdc, etl, hot, parsing, patterns, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,8 @@ QUERIES: dict[str, Query] = {
     "login_changes_from_text": patterns.login_changes_from_text,
     "order_status_from_text": patterns.order_status_from_text,
     "order_derived": cdc.order_derived,
+    "order_table_sql": catalog.order_table_sql,
+    "order_day_sql": catalog.order_day_sql,
     "order_table_snapshot": cdc.order_table_snapshot,
     "order_user_snapshot": cdc.order_user_snapshot,
     "changes_decoded": cdc.changes_decoded,
