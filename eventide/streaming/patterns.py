@@ -75,7 +75,69 @@ def followed_by_per_batch(root: str, key: str, ts: str, seq: str, is_start: Colu
     return write
 
 
-def adjacent_change_per_batch(root: str, key: str, order: list[str], value: str, cols=(), split="segments"):
+STATE_BUCKETS = 16       # folders that the last events are dealt into by key
+MERGE_EVERY = 16         # micro-batches whose last events are merged into one full state
+
+
+class LastEvents:
+    """The last event of every key, kept as a log of per-batch rows dealt into buckets by key.
+
+    Folders under ``root``: ``last/batch=<id>/_bucket=<b>``, the last events of the
+    keys of one micro-batch, and, every ``merge_every`` micro-batches,
+    ``state/batch=<id>/_bucket=<b>``, those of all keys so far. A lookup merges the
+    newest full state with the rows after it, in the buckets of the wanted keys
+    alone. A micro-batch so writes its own keys, whatever the number of known ones.
+    """
+
+    def __init__(self, root: str, key: str, buckets: int = STATE_BUCKETS, merge_every: int = MERGE_EVERY):
+        self.root, self.key, self.buckets, self.merge_every = root, key, buckets, merge_every
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def before(self, rows: DataFrame, batch_id: int, wanted: list[int] | None = None) -> DataFrame | None:
+        """Last events (columns of ``rows``) as of the micro-batch before ``batch_id``, of the ``wanted`` buckets or all."""
+        spark, found = rows.sparkSession, None
+        full = [i for i in finished_ids(spark, f"{self.root}/state", "batch") if i < batch_id]
+        since = full[-1] if full else -1
+        parts = [f"{self.root}/state/batch={since}"] if full else []
+        parts += [f"{self.root}/last/batch={i}" for i in finished_ids(spark, f"{self.root}/last", "batch") if since < i < batch_id]
+        for path in parts:
+            part = spark.read.schema(f"{_ddl(rows)}, _bucket int, _batch bigint").parquet(path)
+            found = part if found is None else found.unionByName(part)
+        if found is None:
+            return None
+        if wanted is not None:
+            found = found.where(F.col("_bucket").isin(wanted))
+        rest = [c for c in rows.columns if c != self.key]
+        newest = found.groupBy(self.key).agg(F.max_by(F.struct(*rest), "_batch").alias("_e"))
+        return newest.select(self.key, *[F.col(f"_e.{c}").alias(c) for c in rest])
+
+    def append(self, rows: DataFrame, batch_id: int) -> None:
+        """Keep ``rows``, one a key, as the last events of micro-batch ``batch_id``; written again on a replay."""
+        spark = rows.sparkSession
+        self._write(rows.withColumn("_batch", F.lit(batch_id).cast("bigint")), f"{self.root}/last/batch={batch_id}")
+        done = [i for i in finished_ids(spark, f"{self.root}/state", "batch") if i < batch_id]
+        if len([i for i in finished_ids(spark, f"{self.root}/last", "batch") if i > (done[-1] if done else -1)]) >= self.merge_every:
+            full = self.before(rows, batch_id + 1)
+            self._write(full.withColumn("_batch", F.lit(batch_id).cast("bigint")), f"{self.root}/state/batch={batch_id}")
+            for old in done[:-1]:                  # a replay of this micro-batch starts from the state before it
+                drop_folder(spark, f"{self.root}/state/batch={old}")
+            for old in finished_ids(spark, f"{self.root}/last", "batch"):
+                if done and old <= done[-1]:
+                    drop_folder(spark, f"{self.root}/last/batch={old}")
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        (rows.withColumn("_bucket", self.bucket()).repartition("_bucket")
+         .write.mode("overwrite").partitionBy("_bucket").parquet(path))
+
+
+def _ddl(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+
+def adjacent_change_per_batch(root: str, key: str, order: list[str], value: str, cols=(), split="segments",
+                              buckets: int = STATE_BUCKETS, merge_every: int = MERGE_EVERY):
     """``foreachBatch`` function of C1: the batch pattern over each key's last event and the micro-batch.
 
     Arrival order across micro-batches is the order of the batches; within one,
@@ -85,33 +147,30 @@ def adjacent_change_per_batch(root: str, key: str, order: list[str], value: str,
     segments by ``split``. Output columns equal
     :func:`~eventide.operators.sequence.adjacent_change`.
 
-    Folders under ``root``, named by batch id: ``out`` and ``last`` (one event a
-    key, written last). A replayed batch starts again from the batch before it
-    and overwrites its own folders.
+    Folders under ``root``: ``out``, named by batch id, and those of :class:`LastEvents`.
+    A replayed batch starts again from the batch before it and overwrites its own
+    folders.
     """
     order, cols = list(order), list(cols)
     carried = [c for c in dict.fromkeys(order + [value] + cols) if c != key]
+    state = LastEvents(root, key, buckets, merge_every)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         rows = batch.where(F.col(key).isNotNull()).select(key, *carried).persist()
         try:
-            before = [i for i in finished_ids(spark, f"{root}/last", "batch") if i < batch_id]
             event, at = F.struct(*carried), F.struct(*order)
-            ends = rows.groupBy(key).agg(F.min_by(event, at).alias("_first"), F.max_by(event, at).alias("_last"))
+            ends = rows.groupBy(key).agg(F.min_by(event, at).alias("_first"), F.max_by(event, at).alias("_last")).persist()
+            wanted = [r[0] for r in ends.select(state.bucket()).distinct().collect()]          # at most ``buckets``
             found = adjacent_change(rows, key, order, value, cols=cols, split=split)
-            if before:
-                known = spark.read.schema(rows.schema).parquet(f"{root}/last/batch={before[-1]}").select(key, event.alias("_before"))
-                ends = known.join(ends, key, "full")
-                joint = ends.where(F.col("_first").isNotNull() & F.col("_before").isNotNull()
-                                   & ~F.col(f"_first.{value}").eqNullSafe(F.col(f"_before.{value}")))
+            known = state.before(rows, batch_id, wanted)
+            if known is not None:
+                joint = ends.join(known.select(key, event.alias("_before")), key).where(
+                    ~F.col(f"_first.{value}").eqNullSafe(F.col(f"_before.{value}")))
                 found = found.unionByName(joint.select(key, *[F.col(f"_first.{c}").alias(c) for c in carried],
                                                        *[F.col(f"_before.{c}").alias(f"prev_{c}") for c in carried]))
-                ends = ends.withColumn("_last", F.coalesce("_last", "_before"))
             found.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
-            ends.select(key, *[F.col(f"_last.{c}").alias(c) for c in carried]).write.mode("overwrite").parquet(f"{root}/last/batch={batch_id}")
+            state.append(ends.select(key, *[F.col(f"_last.{c}").alias(c) for c in carried]), batch_id)
+            ends.unpersist()
         finally:
             rows.unpersist()
-        for old in before[:-1]:                    # a replay needs the batch before it, no older one
-            drop_folder(spark, f"{root}/last/batch={old}")
     return write

@@ -282,3 +282,39 @@ def test_adjacent_change_per_batch(spark, split):
             state[r[0]] = r
     got = spark.read.parquet(f"{root}/out").select("k", "ts", "seq", "v", "big", "prev_ts", "prev_seq", "prev_v", "prev_big").collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want)) and len(want) > 20
+
+
+def test_last_events_write_their_own_buckets_only(spark):
+    """Ten keys over many known ones: the micro-batch writes and reads their buckets, and merging changes nothing."""
+    import random
+
+    from eventide.streaming.patterns import LastEvents
+    root, rng = scratch_path(spark, "t-state"), random.Random(6)
+    write = adjacent_change_per_batch(root, "k", ["seq"], "v", buckets=32, merge_every=3)
+    many = spark.range(100_000).selectExpr("id AS k", "id AS seq", "id % 5 AS v")
+    write(many, 0)
+    model, want = {i: (i, i % 5) for i in range(100_000)}, []
+    for b in range(1, 9):
+        part = [(rng.randrange(20), 1_000_000 * b + i, rng.randrange(5)) for i in range(10)]
+        frame = spark.createDataFrame(part, "k bigint, seq bigint, v bigint")
+        for _ in range(2 if b in (3, 6, 7) else 1):                     # replays, also of a batch that merges
+            write(frame, b)
+        for k, q, v in part:
+            if model[k][1] != v:
+                want.append((k, q, v, *model[k]))
+            model[k] = (q, v)
+        if b == 1:
+            log = spark.read.parquet(f"{root}/last/batch=1")
+            assert log.count() == len({p[0] for p in part}) and len(log.inputFiles()) <= 10
+            known = LastEvents(root, "k", 32).before(frame, 2, [3])
+            plan = known._jdf.queryExecution().executedPlan().toString()
+            assert 0 < known.count() < 6_000 and "_bucket" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    got = spark.read.parquet(f"{root}/out").select("k", "seq", "v", "prev_seq", "prev_v").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert LastEvents(root, "k", 32).before(frame, 99).count() == 100_000
+    from eventide.session import finished_ids
+    assert len(finished_ids(spark, f"{root}/state", "batch")) <= 2 and len(finished_ids(spark, f"{root}/last", "batch")) <= 7
+    again = adjacent_change_per_batch(root, "k", ["seq"], "v", buckets=32, merge_every=3)      # a restart
+    again(spark.createDataFrame([(99_999, 10**9, 77)], "k bigint, seq bigint, v bigint"), 9)
+    last = spark.read.parquet(f"{root}/out/batch=9").collect()
+    assert [(r.k, r.v, r.prev_seq) for r in last] == [(99_999, 77, 99_999)]
