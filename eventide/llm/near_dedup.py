@@ -277,6 +277,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     ignored by the minimum; rows repeating an id and a text share all results.
     An empty table gives no rows; other columns are not read.
     """
+    return _components(docs, words, num, den).drop("rk")
+
+
+def _components(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``near_duplicates`` with ``rk``, the hash of the row's text."""
     sigs = written(document_sets(docs, words), "nd-sigs")
     classes = written(sigs.where("n_shingles > 0").groupBy("vid").agg(
         F.min("doc_id").alias("min_id"), F.min(F.struct("doc_id", "rk")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
@@ -297,8 +302,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         "vid", "min_id", F.coalesce("label", "vid").alias("label"))
     least = named.groupBy("label").agg(F.min("min_id").alias("least"))
     comp = named.join(least, "label").select("vid", "least")
-    return (sigs.select("doc_id", "n_shingles", "vid").join(comp, "vid", "left")
-            .select("doc_id", "n_shingles",
+    return (sigs.select("doc_id", "rk", "n_shingles", "vid").join(comp, "vid", "left")
+            .select("doc_id", "rk", "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
@@ -313,6 +318,10 @@ def _link(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, num
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The row of each component with its smallest ``doc_id``, with all columns of ``docs``."""
-    kept = near_duplicates(docs, words, num, den).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """The row of each component with its smallest ``doc_id``, with all columns of ``docs``.
+
+    Rows that repeat an id with different texts are judged each by its own text.
+    """
+    kept = _components(docs, words, num, den).where("kept").select(F.col("doc_id").alias("_kept"), F.col("rk").alias("_text")).distinct()
+    own = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]) & (own == kept["_text"]), "left_semi")

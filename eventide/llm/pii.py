@@ -16,6 +16,9 @@ import functools
 import math
 import random
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -256,19 +259,18 @@ class SemiMarkov:
     def spans(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
         """(base spans, all spans) of a text, each (start, kind index, end) and sorted."""
         base = base_spans(text)
-        found = set(base)
+        found, near = set(base), _Overlaps(base)
         for a, b in regions(text):
-            own = [s for s in base if s[0] < b and s[2] > a]
             cuts, cands = candidates(text, a, b)
             if not cands:
                 continue
             bonus = np.zeros(len(cands))
             for c, (i, j, k, _) in enumerate(cands):
-                for s in own:
+                for s in near.of(cuts[i], cuts[j]):
                     if (cuts[i], k, cuts[j]) == s:
                         bonus[c] = CLAMP
-                    elif cuts[i] < s[2] and cuts[j] > s[0]:
-                        bonus[c] = min(bonus[c], -CLAMP) if bonus[c] <= 0 else bonus[c]
+                    elif bonus[c] <= 0:
+                        bonus[c] = min(bonus[c], -CLAMP)
             scores, ending, starting = self.lattice(len(cuts) - 1, cands, bonus)
             if scores.max() <= 0:
                 continue
@@ -276,7 +278,7 @@ class SemiMarkov:
             for c in self.best(len(cuts) - 1, cands, scores, ending):
                 i, j, k, _ = cands[c]
                 span = (cuts[i], k, cuts[j])
-                if span in found or any(span[0] < s[2] and span[2] > s[0] for s in own):
+                if span in found or next(near.of(cuts[i], cuts[j]), None):
                     continue
                 if p is None:
                     p, _ = self.marginals(len(cuts) - 1, cands, scores, ending, starting)
@@ -285,6 +287,21 @@ class SemiMarkov:
         return base, sorted(found)
 
 
+class _Overlaps:
+    """Spans, sorted by start, looked up by the range they overlap."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.spans, self.starts = spans, [s[0] for s in spans]
+        self.reach = list(accumulate((s[2] for s in spans), max))       # the furthest end so far
+
+    def of(self, start: int, end: int) -> Iterator[tuple[int, int, int]]:
+        i = bisect_left(self.starts, end) - 1
+        while i >= 0 and self.reach[i] > start:
+            if self.spans[i][2] > start:
+                yield self.spans[i]
+            i -= 1
+
+
 def generated_examples(n: int, seed: int = 11) -> list[tuple[str, list[tuple[int, int, int]]]]:
     """Labelled sentences: entities in common spellings, and numbers that are none."""
     rng = random.Random(seed)
