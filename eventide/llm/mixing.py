@@ -7,10 +7,13 @@ from one to the other, at random but without changing expectations, until one
 holds none or a whole copy. So a source's words stay exactly on target until
 the last open document, and no document gains more than one copy.
 
-The pairs form a reduction tree. In a bucket of about ``FAN`` documents, largest
-first, a document is paired with all smaller ones, which share one probability
-and act as a unit; so the document left open is among the smallest. The open
-ones of the buckets meet, pair by pair, in buckets of the next level.
+The pairs form a reduction tree: in a bucket of about ``FAN`` documents, largest
+first, the open document meets the next one until one of them is settled, so a
+large one is worked off by many small ones and the one left open tends to be
+small. The open ones of the buckets meet in buckets of the next level. Every pair
+draws for itself: no document's fate is tied to a group, and where one document
+outweighs all others it stays open to the end and is drawn by its own odds (the
+source then misses its target by less than that document).
 """
 
 from __future__ import annotations
@@ -73,34 +76,6 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
                       F.when(F.col("full"), F.col("limit")).otherwise(F.col("share") * F.col("w")).alias("target"))
 
 
-def pivot_rest(size: np.ndarray, p: float, rng: np.random.Generator) -> np.ndarray:
-    """Masses after pairing each document, largest first, with all that follow it.
-
-    All start at probability ``p``. The rest keeps one common probability, so a
-    transfer changes every member's mass in proportion to its size. At most one
-    document stays open.
-    """
-    mass, draws = np.zeros(len(size)), rng.random(len(size))
-    rest = np.concatenate((np.cumsum(size[::-1])[::-1][1:], [0.0]))
-    for i in range(len(size)):
-        own, others = p * size[i], p * rest[i]
-        if rest[i] == 0:
-            mass[i] = own
-            break
-        up, down = min(size[i] - own, others), min(own, rest[i] - others)
-        if draws[i] * (up + down) < down:
-            settled, rest_done, own, others = up == size[i] - own, up == others, own + up, others - up
-            mass[i] = size[i] if settled else own
-        else:
-            settled, rest_done, own, others = down == own, down == rest[i] - others, own - down, others + down
-            mass[i] = 0.0 if settled else own
-        p = others / rest[i]
-        if rest_done or not settled:
-            mass[i + 1:] = size[i + 1:] if p > 0.5 else 0.0
-            break
-    return mass
-
-
 def pivot(mass: np.ndarray, size: np.ndarray, rng: np.random.Generator, last: bool = False) -> np.ndarray:
     """Move mass between neighbours until all but at most one hold 0 or their size.
 
@@ -137,9 +112,7 @@ def _level(rows: DataFrame, level: int, seed: int, last: bool) -> DataFrame:
         rng = np.random.default_rng(xxhash.xxh64_intdigest(repr((seed, level, key[0], int(key[1])))))
         group = group.sort_values(["size", "uid"], ascending=[False, True], kind="stable")
         size, mass = group["size"].to_numpy(float), group["mass"].to_numpy(float)
-        if level == 0:
-            mass = pivot_rest(size, group["part"].iloc[0], rng)
-        group["mass"] = pivot(mass, size, rng, last) if level or last else mass
+        group["mass"] = pivot(mass, size, rng, last)
         return group
 
     return rows.groupBy("source", "bucket").applyInPandas(settle, rows.schema)
@@ -164,7 +137,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_C
     units = (rows.groupBy("source", "uid").agg(F.sum("size").cast("double").alias("size"), F.max("n").alias("n"),
                                                F.max(part).alias("part"))
              .where("part > 0 AND size > 0")
-             .select("source", "uid", "size", "part", (F.col("part") * F.col("size")).alias("mass"),
+             .select("source", "uid", "size", (F.col("part") * F.col("size")).alias("mass"),
                      F.pmod("uid", F.ceil(F.col("n") / FAN)).alias("bucket")))
     most = targets.agg(F.max("n")).first()[0] or 0
     settled, buckets, level = [], math.ceil(most / FAN), 0

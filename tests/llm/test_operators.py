@@ -188,7 +188,7 @@ def test_mixing_empty_and_expectation(none):
     mean = np.zeros(300)
     for seed in range(400):
         rng = np.random.default_rng(seed)
-        m = mixing.pivot_rest(size, 0.37, rng)
+        m = mixing.pivot(0.37 * size, size, rng)
         assert np.isclose(m.sum(), 0.37 * size.sum()) and ((m > 0) & (m < size)).sum() <= 1
         m = mixing.pivot(m, size, rng, last=True)
         assert ((m == 0) | (m == size)).all()
@@ -196,6 +196,32 @@ def test_mixing_empty_and_expectation(none):
     assert abs(mean.mean() - 0.37) < 0.01 and np.abs(mean - 0.37).max() < 0.13
 
 
+@pytest.mark.parametrize("large,p", [(1e6, 0.5), (1e6, 0.2), (3e4, 0.5)])
+def test_mixing_small_documents_beside_a_dominating_one(large, p):
+    """The words taken of the small ones vary no more than independent draws would."""
+    small = np.sort(np.random.default_rng(1).integers(1, 100, 200).astype(float))[::-1]
+    size, taken, of_large = np.concatenate(([large], small)), [], []
+    for seed in range(1500):
+        m = mixing.pivot(p * size, size, np.random.default_rng(seed), last=True)
+        taken.append(m[1:].sum())
+        of_large.append(m[0] / large)
+    alone = p * (1 - p) * (small ** 2).sum()
+    assert np.var(taken) <= 1.15 * alone                 # 1,500 draws tell a variance to about 4 %
+    assert abs(np.mean(taken) - p * small.sum()) < 5 * np.sqrt(alone / 1500) and abs(np.mean(of_large) - p) < 0.06
+
+
+def test_mixing_pairs_are_not_positively_bound():
+    """No two equal documents are taken together more often than by independent draws."""
+    size, both, one = np.array([900.0, 50, 50, 50, 50, 40, 40, 30]), np.zeros((8, 8)), np.zeros(8)
+    for seed in range(4000):
+        m = mixing.pivot(0.5 * size, size, np.random.default_rng(seed), last=True) > 0
+        both += np.outer(m, m) / 4000
+        one += m / 4000
+    bound = both - np.outer(one, one)
+    np.fill_diagonal(bound, 0)
+    assert np.abs(one - 0.5).max() < 0.04 and bound.max() < 0.04
+
+
 # 3 ------------------------------------------------------------------------------------------
 
 EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
