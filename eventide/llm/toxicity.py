@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -31,20 +32,39 @@ MIN_TOXIC = 3           # toxic texts that hold a term
 MIN_SHARE = 0.01        # and the share of toxic texts that do
 SPECIFIC = 0.8          # share of a stem's support at which a longer term replaces it
 MIN_ODDS = 4.0          # log odds ratio of a term
-MAX_TERMS = 1_000       # strongest terms of the lexicon
+SHORTEST = 2            # letters of the shortest whole word
 WINDOW = 6              # words to either side of a hit
 CACHE = 400_000         # words whose match a task remembers
+STATES = 200_000        # automaton states it keeps; beyond, they are built anew
 N_FEATURES = 7
 
 _QUOTES = re.compile(r"[\"'`«»‘’“”]")
 _REPORT = re.compile(r"(?i)\b(said|says|called|calls|quote[ds]?|word|term|wrote|insult|dit|sagte|dijo)\b")
 
-# Word characters: letters and everything beyond ASCII, digits inside a word too.
+# Word characters: letters and digits, and what ``_letters`` leaves beyond ASCII.
 IS_WORD = np.zeros(256, dtype=bool)
 IS_WORD[0x30:0x3A] = IS_WORD[0x41:0x5B] = IS_WORD[0x61:0x7B] = True
 IS_WORD[0x80:] = True
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with those of punctuation, symbols and spaces beyond ASCII blanked; places stay."""
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return data
+    size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+    key = np.zeros(len(lead), dtype=np.uint32)             # the character's bytes as one number
+    for k in range(4):
+        here = size > k
+        key[here] = (key[here] << 8) | data[lead[here] + k]
+    known, at = np.unique(key, return_inverse=True)
+    cut = np.array([unicodedata.category(int(c).to_bytes(4, "big").lstrip(b"\0").decode())[0] in "PSZ" for c in known])[at]
+    out = data.copy()
+    for k in range(4):
+        out[lead[cut & (size > k)] + k] = 0x20
+    return out
+
+
 def edits_allowed(term: str, stem: bool) -> int:
     """Edits that a term of this length may carry; a stem needs more letters for one."""
     return 0 if len(term) < (6 if stem else 5) else 1 if len(term) < 10 else 2
@@ -83,6 +103,10 @@ class Lexicon:
                 self.stem[node], self.slack[node] = max(w, self.stem[node] or 0.0), (word_k, k)
             else:
                 self.weight[node], self.slack[node] = max(w, self.weight[node] or 0.0), (k, stem_k)
+        self.reset()
+
+    def reset(self) -> None:
+        """Forget all states but the first."""
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
@@ -151,7 +175,7 @@ def _blocks(batches):
 
 def word_terms(word: str) -> list[tuple[str, bool]]:
     """The terms that a text gets from a word: itself and its stems."""
-    return ([(word, False)] if len(word) >= STEMS[0] else []) + [(word[:k], True) for k in STEMS if len(word) > k]
+    return ([(word, False)] if len(word) >= SHORTEST else []) + [(word[:k], True) for k in STEMS if len(word) > k]
 
 
 def _toxic_terms(toxic: DataFrame, least: float) -> DataFrame:
@@ -167,7 +191,7 @@ def _toxic_terms(toxic: DataFrame, least: float) -> DataFrame:
             counts.clear()
 
         for rows, offsets, data in _blocks(batches):
-            starts, ends, at = K.word_spans(offsets, data, IS_WORD)
+            starts, ends, at = K.word_spans(offsets, _letters(data), IS_WORD)
             cuts = np.searchsorted(at, np.arange(rows.num_rows + 1))
             raw = data.tobytes()
             for r in range(rows.num_rows):
@@ -188,7 +212,7 @@ def _clean_counts(clean: DataFrame, terms: list[tuple[str, bool]]) -> np.ndarray
     def run(batches):
         number, known, total = sent.value, {}, np.zeros(len(sent.value), np.int64)
         for rows, offsets, data in _blocks(batches):
-            starts, ends, at_row = K.word_spans(offsets, data, IS_WORD)
+            starts, ends, at_row = K.word_spans(offsets, _letters(data), IS_WORD)
             if not len(starts):
                 continue
             raw = data.tobytes()
@@ -218,7 +242,7 @@ def _clean_counts(clean: DataFrame, terms: list[tuple[str, bool]]) -> np.ndarray
 
 
 def learn_lexicon(labelled: DataFrame) -> dict[tuple[str, bool], float]:
-    """Terms with their log odds ratio: the strongest ``MAX_TERMS``.
+    """Terms with their log odds ratio, all that reach ``MIN_ODDS``.
 
     A term needs ``MIN_TOXIC`` toxic texts and ``MIN_SHARE`` of them, so that what
     copies of one text share is no term. A stem gives way to a longer term that
@@ -241,7 +265,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[tuple[str, bool], float]:
             if k < len(term) or k == len(term) and not stem:
                 longest[term[:k]] = max(longest.get(term[:k], 0.0), c)
     kept = {t: o for t, (o, c) in strong.items() if not t[1] or longest.get(t[0], 0.0) < SPECIFIC * c}
-    return dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:MAX_TERMS])
+    return dict(sorted(kept.items(), key=lambda x: (-x[1], x[0])))
 
 
 def features(hits: list[tuple[int, float, int, bool]], n_words: int) -> list[float]:
@@ -275,7 +299,7 @@ def _quoted(raw: bytes, before: int, start: int, end: int, after: int) -> bool:
 def text_features(lexicon: Lexicon, cache: dict, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     """(rows, N_FEATURES) of a block."""
     n = len(offsets) - 1
-    starts, ends, rows = K.word_spans(offsets, data, IS_WORD)
+    starts, ends, rows = K.word_spans(offsets, _letters(data), IS_WORD)
     cuts = np.searchsorted(rows, np.arange(n + 1))
     out = np.zeros((n, N_FEATURES))
     if not len(starts):
@@ -302,6 +326,8 @@ def text_features(lexicon: Lexicon, cache: dict, offsets: np.ndarray, data: np.n
         out[r] = features(own, int(cuts[r + 1] - cuts[r]))
     if len(cache) > CACHE:
         cache.clear()
+    if len(lexicon.sets) > STATES:
+        lexicon.reset()
     return out
 
 
