@@ -180,7 +180,7 @@ class Scanner:
         return out
 
     def findings(self, ids: list[int]) -> list[tuple[str, int, int, float]]:
-        """(template, first word, end word, share covered) of a row's best chain per template."""
+        """(template, first word, end word, share covered) of every chain that covers ``COVERED`` of its template."""
         matches: dict[int, list[tuple[int, int, int]]] = {}
         stats = self.automaton.statistics(ids)
         for i, (state, length) in enumerate(stats):
@@ -194,18 +194,38 @@ class Scanner:
                     matches.setdefault(doc, []).append((i + 1, pos + 1, size))
         out = []
         for doc, found in matches.items():
-            covered, first, end = chain(found)
-            share = covered / self.sizes[doc]
-            if share >= COVERED:
-                out.append((self.names[doc], first, end, share))
+            out += [(self.names[doc], first, end, covered / self.sizes[doc])
+                    for covered, first, end in chains(found, COVERED * self.sizes[doc])]
         return sorted(out)
 
 
+def chains(matches: list[tuple[int, int, int]], least: float) -> list[tuple[int, int, int]]:
+    """(tokens covered, first word, end word) of disjoint chains of ``least`` tokens and more.
+
+    The best chain is taken, then the best of what lies before it and after it in
+    the file, and so on; a match across a chain's border counts with its outer part.
+    """
+    out, todo = [], [matches]
+    while todo:
+        own = todo.pop()
+        if not own:
+            continue
+        covered, first, end = chain(own)
+        if covered < least:
+            continue
+        out.append((covered, first, end))
+        todo.append([(min(e, first), t - max(e - first, 0), n - max(e - first, 0)) for e, t, n in own
+                     if min(e, first) - (e - n) >= MIN_MATCH])
+        todo.append([(e, t, min(n, e - end)) for e, t, n in own if min(n, e - end) >= MIN_MATCH])
+    return out
+
+
 def chain(matches: list[tuple[int, int, int]]) -> tuple[int, int, int]:
     """(tokens covered, first word, end word) of the best chain of (file end, template end, length).
 
     A match follows another if it ends later in both and starts at most
-    ``MAX_GAP`` words after it in the file; overlapping tokens count once.
+    ``MAX_GAP`` words after it in the file; overlapping tokens count once. Of
+    equally good chains it is the middle one, so that ``chains`` halves a file of copies.
     """
     matches = sorted(set(matches))
     ends = [m[0] for m in matches]
@@ -218,10 +238,12 @@ def chain(matches: list[tuple[int, int, int]]) -> tuple[int, int, int]:
             if p_end < end and p_t < t_end:
                 gain = min(length, end - p_end, t_end - p_t)
                 if best[j][0] + gain > value:
-                    value, first = best[j][0] + gain, best[j][1]
+                    value, first = best[j][0] + gain, min(best[j][1], end - length)
         best.append((value, first))
-    top = max(range(len(best)), key=lambda i: (best[i][0], -matches[i][0]))
-    return best[top][0], best[top][1], matches[top][0]
+    most = max(b[0] for b in best)
+    top = [i for i, b in enumerate(best) if b[0] == most]
+    at = top[len(top) // 2]
+    return most, best[at][1], matches[at][0]
 
 
 def _runs(known: np.ndarray) -> bool:
@@ -238,8 +260,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict
     Words are runs of digits, letters a-z (A-Z lower-cased) and characters
     beyond ASCII. Base places are those where a phrase's words stand
     consecutively; ``first_word``/``last_word`` are their least and greatest start
-    (null without any). ``findings`` are (label, start, end, share) of templates
-    whose best chain covers ``COVERED`` of them. ``labels`` adds their names to
+    (null without any). ``findings`` are (label, start, end, share) of every chain
+    that covers ``COVERED`` of its template, so a notice that stands twice counts twice. ``labels`` adds their names to
     the base labels; both are distinct, sorted and comma-joined ('' for none).
     ``score`` is the largest share covered, at least 0.5 with a base phrase. A
     null or empty text has no words. Rows stay one to one; other columns are not

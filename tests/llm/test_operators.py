@@ -437,6 +437,24 @@ def test_quoted_hits_count_apart():
     assert x[0, 0] > 0 and x[0, 1] == 0 and x[1, 0] == 0 and x[1, 1] > 0 and not x[2].any()
 
 
+def test_terms_beside_punctuation_beyond_ascii():
+    lexicon = toxicity.Lexicon({("wanker", False): 3.0, ("git", False): 2.0})
+    texts = ["you wanker friend", "you \u201cwanker\u201d friend", "you wanker\u2026 friend", "you \u2014wanker\u2014 friend",
+             "\u00bfwanker?", "\uff08wanker\uff09", "\U0001F600wanker\U0001F600", "\u00e9t\u00e9 w\u00e4nker \u0431\u044b\u043b", "so a git\u2019s"]
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    x = toxicity.text_features(lexicon, {}, np.cumsum([0] + [len(r) for r in raw]), data)
+    assert (x[:, :4].sum(axis=1) > 0).all()
+    assert x[0, 0] == x[2, 0] > 0 and x[1, 1] > 0 and x[1, 0] == 0          # curly quotes quote
+    assert (x[3:7, 0] > 0).all() and x[7, 2] > 0 and x[8, 0] > 0
+    for t in [*texts, "\u65e5\u672c\u3001\u8a9e\u3002 a\u0301b \u00ad\u200b"]:
+        got = toxicity._letters(np.frombuffer(t.encode(), np.uint8)).tobytes().decode()
+        import unicodedata
+        assert got == "".join(c if ord(c) < 128 or unicodedata.category(c)[0] not in "PSZ" else " " * len(c.encode()) for c in t)
+    lexicon.reset()
+    assert lexicon.match("wankr") == (3.0, 1)
+
+
 # 6 ------------------------------------------------------------------------------------------
 
 def test_bpe_equals_library(spark, edge, none):
@@ -561,7 +579,7 @@ def test_matches_of_each_template_equal_brute_force(monkeypatch):
     letters = "abc"
     templates = {str(n): " ".join(rng.choice(list(letters), int(m))) for n, m in enumerate(rng.integers(4, 30, 8))}
     scanner, got = licenses.Scanner(templates, {}), {}
-    monkeypatch.setattr(licenses, "chain", lambda found: got.setdefault(len(got), sorted(found)) and (0, 0, 0))
+    monkeypatch.setattr(licenses, "chains", lambda found, least: got.setdefault(len(got), sorted(found)) and [])
     text = rng.choice(list(letters + "z"), 300, p=[0.32, 0.32, 0.32, 0.04]).tolist()
     scanner.findings(scanner.word_ids(np.array([kernels.hash_word(w) for w in text], dtype=np.uint64)).tolist())
     want = []
@@ -578,6 +596,35 @@ def test_matches_of_each_template_equal_brute_force(monkeypatch):
     assert sorted(got.values()) == sorted(w for w in want if w)
 
 
+def test_chain_equals_enumeration():
+    rng = np.random.default_rng(12)
+    for _ in range(150):
+        matches = [(int(e), int(t), int(min(n, e, t))) for e, t, n in zip(rng.integers(4, 120, 7), rng.integers(4, 30, 7),
+                                                                        rng.integers(4, 20, 7), strict=True)]
+        own = sorted(set(matches))
+
+        def longest(i):
+            end, t, n = own[i]
+            return max([n] + [longest(j) + min(n, end - own[j][0], t - own[j][1]) for j in range(len(own))
+                              if own[j][0] < end and own[j][1] < t and own[j][0] >= end - n - licenses.MAX_GAP])
+        covered, first, end = licenses.chain(matches)
+        assert covered == max(longest(i) for i in range(len(own))) and 0 <= first < end
+
+
+def test_every_copy_of_a_notice_is_found():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.PHRASES)
+
+    def found(text):
+        words = [kernels.hash_word(w) for w in licenses.tokens(text)]
+        return scanner.findings(scanner.word_ids(np.array(words, dtype=np.uint64)).tolist())
+    for name, text in licenses.TEMPLATES.items():
+        size = len(licenses.tokens(text))
+        close = [f for f in found(f"{text} {text} {text}") if f[0] == name]
+        assert [f[1:] for f in close] == [(k * size, (k + 1) * size, 1.0) for k in range(3)], name
+        far = [f for f in found(f"{text} {'unrelated words ' * 400} {text}") if f[0] == name]
+        assert [f[1:] for f in far] == [(0, size, 1.0), (size + 800, 2 * size + 800, 1.0)], name
+
+
 # pipeline -----------------------------------------------------------------------------------
 
 def test_pipeline(spark, edge):
