@@ -236,3 +236,5 @@ ORACLE["order_status_as_of"] = f"""
 ORACLE["order_status_10s"] = ORACLE["order_status"].replace("INTERVAL 1 HOUR", "INTERVAL 10 SECOND")
 ORACLE["stream_etl_lines"] = ORACLE["etl_enriched_json"]
 ORACLE["cdc_table_snapshot"] = ORACLE["latest_state"]
+ORACLE["stream_login_changes_from_text"] = ORACLE["login_changes_from_text"]
+ORACLE["stream_order_table"] = ORACLE["order_table_snapshot"]

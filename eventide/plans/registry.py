@@ -50,6 +50,8 @@ QUERIES: dict[str, Query] = {
     "stream_order_status": streams.stream_order_status,
     "stream_order_timeout": streams.stream_order_timeout,
     "stream_adjacent_change": streams.stream_adjacent_change_q,
+    "stream_login_changes_from_text": streams.stream_login_changes_from_text,
+    "stream_order_table": streams.stream_order_table,
     "stream_etl_enriched": streams.stream_etl_enriched,
     "stream_etl_lines": streams.stream_etl_lines,
     "stream_change_capture": streams.stream_change_capture,

@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import parse_json
-from ..functions.parse import substr0
+from ..functions.parse import parse_delimited, substr0
 from ..operators.changes import decode_changes
 from ..operators.upsert import read_snapshot
 from ..session import scratch_path
 from ..sources.dimension import read_dimension
+from ..sources.json_table import read_json_table
 from ..sources.lines import read_lines, with_arrival, write_lines
+from ..sources.positions import POSITION_BITS, read_positioned_lines
 from ..sources.tables import read_table
 from ..streaming.enrich import DimensionSnapshot, enrich_per_batch
 from ..streaming.patterns import adjacent_change_per_batch, followed_by_per_batch
@@ -145,6 +147,30 @@ def stream_adjacent_change_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").drop("batch")
 
 
+def stream_login_changes_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The login job end to end: text lines as a stream, consecutive ones of a user by their place in the files."""
+    root = scratch_path(spark, "stream-login-lines")
+    k = F.get_json_object("props", "$.k")
+    ev = read_table(spark, sf_dir, "events").repartitionByRange("event_id").sortWithinPartitions("event_id")
+    write_lines(ev.select(F.concat_ws(",", "event_id", "user_id", k).alias("value")), f"{root}/in")
+    lines = read_positioned_lines(spark, f"{root}/in", stream=True, log=f"{root}/files")
+    rows = parse_delimited(lines, "value", "event_id bigint, user_id bigint, k bigint", keep=["seq"])
+    find = adjacent_change_per_batch(root, "user_id", ["seq"], "k", cols=["event_id"])
+    _drain(lambda: run_stream(rows, f"{root}/ckpt", foreach_batch=find))
+    return spark.read.parquet(f"{root}/out").drop("batch", "seq", "prev_seq")
+
+
+def stream_order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order-table job end to end: JSON lines as a stream, derived fields, the table's log, its snapshot."""
+    root = scratch_path(spark, "stream-order-table")
+    write_lines(cdc.order_messages(spark, sf_dir), f"{root}/in")
+    orders = read_json_table(spark, cdc.ORDER_SCHEMA, f"{root}/in", stream=True, positions=True, log=f"{root}/files")
+    rows = orders.withColumn("ts", substr0("orderId", 17)).withColumn("partition_day", substr0("orderTime", 10))
+    file_number = F.shiftright("seq", POSITION_BITS) + 1
+    _drain(lambda: append_changes(rows, f"{root}/table", f"{root}/ckpt", "orderId", file_number, seq="seq"))
+    return read_snapshot(spark, f"{root}/table", "orderId", "ts").drop("seq")
+
+
 def stream_etl_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages as a stream; the area dimension re-read at every micro-batch."""
     root = scratch_path(spark, "stream-etl")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.changes import INSERT, decode_changes
 from .lines import read_lines
+from .positions import read_positioned_lines
 
 
 def snapshot_as_changes(df: DataFrame, kind_col: str = "kind") -> DataFrame:
@@ -35,7 +36,13 @@ def read_jdbc_snapshot(spark: SparkSession, url: str, table: str, properties: di
 
 def read_change_envelopes(spark: SparkSession, row_schema, path: str | None = None,
                           topic: str | None = None, bootstrap: str | None = None,
-                          stream: bool = False) -> DataFrame:
-    """Change envelopes (files or topic) decoded to change rows, bad ones skipped."""
-    lines = read_lines(spark, path=path, topic=topic, bootstrap=bootstrap, stream=stream)
+                          stream: bool = False, positions: bool = False, log: str | None = None) -> DataFrame:
+    """Change envelopes (files or topic) decoded to change rows, bad ones skipped.
+
+    With ``positions`` files are read by :func:`read_positioned_lines` and ``seq`` is a bigint.
+    """
+    if positions:
+        lines = read_positioned_lines(spark, path, stream=stream, log=log)
+    else:
+        lines = read_lines(spark, path=path, topic=topic, bootstrap=bootstrap, stream=stream)
     return decode_changes(lines, "value", row_schema, keep=["seq"])
