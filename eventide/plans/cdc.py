@@ -32,7 +32,7 @@ SPLIT = "segments"
 ORDER_SCHEMA = ("orderId string, userId string, orderTime string, ip string, "
                 "orderMoney double, orderStatus int")
 ORDER_KEYS, ORDER_ORDERING, ORDER_PART = ["o_custkey"], ["o_orderdate", "o_orderkey"], "partition_day"
-COMMITS = {1: ["1-URGENT", "2-HIGH"], 2: ["3-MEDIUM"], 3: ["4-NOT SPECIFIED", "5-LOW"]}
+COMMITS = {1: ["1-URGENT", "2-HIGH"], 2: ["3-MEDIUM"], 3: None}        # the last takes all other priorities, NULL too
 
 
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +96,9 @@ def order_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_batch(spark: SparkSession, sf_dir: str, commit: int) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
-    return (o.where(F.col("o_orderpriority").isin(COMMITS[commit]))
+    named = [p for c in COMMITS.values() if c for p in c]
+    own = F.col("o_orderpriority").isin(COMMITS[commit] or named)
+    return (o.where(own if COMMITS[commit] else ~F.coalesce(own, F.lit(False)))
              .withColumn(ORDER_PART, F.date_format("o_orderdate", "yyyy-MM-dd")))
 
 

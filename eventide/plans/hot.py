@@ -47,16 +47,22 @@ def url_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select((F.col("event_id") % n_pages).alias("page_id"), "ts"))
 
 
+def with_url(clicks: DataFrame, pages: DataFrame) -> DataFrame:
+    """Every click with the URL of its page; one of a page not in the table is kept under the page's id."""
+    url = F.coalesce("url", F.concat(F.lit("unlisted page "), F.col("page_id").cast("string")))
+    return clicks.join(pages.select("page_id", "url"), "page_id", "left").withColumn("url", url)
+
+
 def hot_urls_counts(spark: SparkSession, sf_dir: str, method: str = "panes") -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     clicks = url_clicks(spark, sf_dir)
     if method == "window":
-        return sliding_counts(clicks.join(pages, "page_id"), "url", "ts",
+        return sliding_counts(with_url(clicks, pages), "url", "ts",
                               URL_SIZE, URL_SLIDE, method="window")
     # Count per (page, 5 s pane) before the lookup: the join then sees one row
     # per page and pane instead of one per click.
     per_pane = pane_counts(clicks, "page_id", "ts", URL_SLIDE)
-    return sliding_counts(per_pane.join(pages, "page_id"), "url", "pane_start",
+    return sliding_counts(with_url(per_pane, pages), "url", "pane_start",
                           URL_SIZE, URL_SLIDE, weight="n")
 
 

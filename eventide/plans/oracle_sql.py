@@ -26,8 +26,8 @@ _ITEM_TOP = f"""
 
 _URL_COUNTS = """
   SELECT url, pane + to_seconds(5 * (i + 1)) AS window_end, CAST(sum(c) AS BIGINT) AS n
-  FROM (SELECT p.url, time_bucket(INTERVAL 5 SECOND, e.ts) AS pane, count(*) AS c
-        FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
+  FROM (SELECT coalesce(p.url, 'unlisted page ' || (e.event_id % (SELECT count(*) FROM pages))) AS url, time_bucket(INTERVAL 5 SECOND, e.ts) AS pane, count(*) AS c
+        FROM events e LEFT JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
         WHERE e.event_type = 'click' GROUP BY ALL) u
   CROSS JOIN range(120) t(i)
   GROUP BY ALL"""
@@ -87,10 +87,10 @@ ORACLE.update({
          make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS event_time
   FROM events""",
     "parse_access_log": """
-  SELECT '10.0.' || (e.user_id % 256) || '.' || (p.page_id % 256) AS ip,
+  SELECT '10.0.' || (e.user_id % 256) || '.' || ((e.event_id % (SELECT count(*) FROM pages)) % 256) AS ip,
          CAST(e.user_id AS VARCHAR) AS user_name, epoch_us(e.ts) // 1000 AS event_ms, 'GET' AS method,
-         p.url, make_timestamp((epoch_us(e.ts) // 1000) * 1000) AS event_time
-  FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
+         coalesce(p.url, 'unlisted page ' || (e.event_id % (SELECT count(*) FROM pages))) AS url, make_timestamp((epoch_us(e.ts) // 1000) * 1000) AS event_time
+  FROM events e LEFT JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
   WHERE e.event_type = 'click'""",
     "dimension_inverted": """
   SELECT n.n_name AS country, CASE WHEN n.n_nationkey % 5 = 0 THEN 'WORLD' ELSE r.r_name END AS area

@@ -15,6 +15,7 @@ from ..functions.parse import (epoch_millis_to_ts, epoch_seconds_to_ts, parse_de
 from ..session import scratch_path
 from ..sources.lines import read_lines, write_lines
 from ..sources.tables import read_table
+from .hot import with_url
 
 BEHAVIOR_SCHEMA = "user_id bigint, item_id bigint, category_id bigint, behavior string, ts_seconds bigint"
 ACCESS_SCHEMA = "ip string, user_name string, event_ms bigint, method string, url string"
@@ -40,7 +41,7 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_pages = pages.select(F.count(F.lit(1))).scalar()
     clicks = ev.select((F.col("event_id") % n_pages).alias("page_id"), "user_id", "ts",
                        F.when(F.col("event_type") == "click", "GET").otherwise("POST").alias("method"))
-    j = clicks.join(pages, "page_id")
+    j = with_url(clicks, pages)
     return j.select(F.concat_ws(",",
                                 F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"),
                                          F.lit("."), F.col("page_id") % 256),

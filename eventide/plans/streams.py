@@ -100,9 +100,8 @@ def stream_hot_urls_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_pages = pages.count()
     e = event_time(_staged_events(spark, sf_dir, root, ("click",)), "ts")
     clicks = (e.where(F.col("event_type") == "click")
-               .select((F.col("event_id") % F.lit(n_pages)).alias("page_id"), "_et")
-               .join(pages, "page_id"))
-    counts = window_counts_stream(clicks, "url", "_et", hot.URL_SIZE, hot.URL_SLIDE)
+               .select((F.col("event_id") % F.lit(n_pages)).alias("page_id"), "_et"))
+    counts = window_counts_stream(hot.with_url(clicks, pages), "url", "_et", hot.URL_SIZE, hot.URL_SLIDE)
     _replay(spark, lambda: run_stream(counts, f"{root}/ckpt",
                                       foreach_batch=top_n_per_batch(f"{root}/out", hot.TOP, ties=["url"])))
     return spark.read.parquet(f"{root}/out").drop("batch")
