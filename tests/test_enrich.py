@@ -9,9 +9,9 @@ SCHEMA = "dt string, countryCode string, data array<struct<type: string, score:
 
 
 def test_invert_groups_max_wins(spark):
-    dim = spark.createDataFrame([("east", "US,CA"), ("west", "CA")], "area string, countries string")
+    dim = spark.createDataFrame([("inland", "PE,BO"), ("lakes", "BO")], "area string, countries string")
     out = {r.country: r.area for r in invert_groups(dim, "area", "countries", member="country").collect()}
-    assert out == {"US": "east", "CA": "west"}
+    assert out == {"PE": "inland", "BO": "lakes"}
 
 
 def _msgs(spark, *texts):
@@ -21,23 +21,23 @@ def _msgs(spark, *texts):
 
 def test_explode_enrich_edges(spark):
     msgs = _msgs(spark,
-                 '{"dt":"2021-05-04 08:15:00","countryCode":"TW","data":[{"type":"s1","score":0.6,"level":"C","dt":"old"},{"type":"s2","score":0.4,"level":"A"}]}',
-                 '{"dt":"2021-05-04 09:00:01","countryCode":"ZZ","data":[{"type":"s3","score":0.7,"level":"B"}]}',
-                 '{"dt":"2021-05-04 09:00:02","countryCode":"TW","data":[]}')
-    dim = spark.createDataFrame([("TW", "AREA_AS")], "country string, area string")
+                 '{"dt":"2031-11-20 17:42:09","countryCode":"NO","data":[{"type":"ferry","score":12.25,"level":"late","dt":"old"},{"type":"tram","score":3.5,"level":"on time"},{"type":"cable","level":"closed"}]}',
+                 '{"dt":"2031-11-20 18:00:30","countryCode":"QX","data":[{"type":"night bus","score":40.0,"level":"late"}]}',
+                 '{"dt":"2031-11-20 18:01:00","countryCode":"NO","data":[]}')
+    dim = spark.createDataFrame([("NO", "fjords")], "country string, area string")
     out = explode_enrich(msgs, "data", carry=["dt"], dim=dim, key="countryCode",
                          dim_key="country", dim_value="area")
     rows = sorted((r.type, r.dt, r.area) for r in out.collect())
-    assert rows == [("s1", "2021-05-04 08:15:00", "AREA_AS"), ("s2", "2021-05-04 08:15:00", "AREA_AS"),
-                    ("s3", "2021-05-04 09:00:01", None)]
+    assert rows == [("cable", "2031-11-20 17:42:09", "fjords"), ("ferry", "2031-11-20 17:42:09", "fjords"),
+                    ("night bus", "2031-11-20 18:00:30", None), ("tram", "2031-11-20 17:42:09", "fjords")]
     js = [json.loads(r[0]) for r in out.select(to_json_text(*[F.col(c) for c in out.columns])).collect()]
-    unknown = [j for j in js if j["type"] == "s3"][0]
-    assert "area" not in unknown and unknown["dt"] == "2021-05-04 09:00:01"
+    unknown = [j for j in js if j["type"] == "night bus"][0]
+    assert "area" not in unknown and unknown["dt"] == "2031-11-20 18:00:30"
 
 
 def test_dimension_join_is_left_to_spark(spark):
-    msgs = _msgs(spark, '{"dt":"d","countryCode":"TW","data":[{"type":"s1","score":0.8,"level":"D"}]}')
-    dim = spark.createDataFrame([("TW", "A")], "country string, area string")
+    msgs = _msgs(spark, '{"dt":"d","countryCode":"NO","data":[{"type":"ferry","score":9.0,"level":"late"}]}')
+    dim = spark.createDataFrame([("NO", "fjords")], "country string, area string")
     out = explode_enrich(msgs, "data", carry=["dt"], dim=dim, key="countryCode",
                          dim_key="country", dim_value="area")
     assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString() and out.count() == 1
@@ -46,18 +46,19 @@ def test_dimension_join_is_left_to_spark(spark):
 def test_open_keys_forwarded(spark):
     from eventide.operators.enrich import explode_enrich_open
     df = spark.createDataFrame([
-        ('{"dt":"D1","countryCode":"TW","data":[{"type":"s1","dt":"old","x":{"y":[1,2]}},{"type":"s2"}]}',),
-        ('{"dt":"D2","countryCode":"ZZ","data":[{"type":"s3","area":"stale"}]}',),
-        ('{"dt":"D3","countryCode":"TW","data":[]}',), ("not json",), ('{"dt":"D4"}',), ('{"dt":"D6","data":"oops"}',),
-        ('{"dt":"D5","countryCode":"TW","data":[7,"x",null]}',)], "value string")
-    dim = spark.createDataFrame([("TW", "AS")], "country string, area string")
+        ('{"dt":"D1","countryCode":"NO","data":[{"type":"ferry"},{"type":"tram","dt":"old","x":{"y":[1,2]}},{"type":"lift"}]}',),
+        ('{"dt":"D2","countryCode":"QX","data":[{"type":"night bus","area":"stale"}]}',),
+        ('{"dt":"D3","countryCode":"NO","data":[]}',), ("not json",), ('{"dt":"D4"}',), ('{"dt":"D6","data":"oops"}',),
+        ('{"dt":"D5","countryCode":"NO","data":[7,"x",null]}',)], "value string")
+    dim = spark.createDataFrame([("NO", "fjords")], "country string, area string")
     out = explode_enrich_open(df, "value", "$.data", {"dt": "$.dt"}, dim=dim, key_path="$.countryCode",
                               dim_key="country", dim_value="area")
     got = sorted(json.dumps(json.loads(r.value), sort_keys=True) for r in out.collect())
     want = sorted(json.dumps(x, sort_keys=True) for x in [
-        {"type": "s1", "x": {"y": [1, 2]}, "dt": "D1", "area": "AS"},
-        {"type": "s2", "dt": "D1", "area": "AS"},
-        {"type": "s3", "dt": "D2"}])
+        {"type": "ferry", "dt": "D1", "area": "fjords"},
+        {"type": "tram", "x": {"y": [1, 2]}, "dt": "D1", "area": "fjords"},
+        {"type": "lift", "dt": "D1", "area": "fjords"},
+        {"type": "night bus", "dt": "D2"}])
     assert got == want
 
 

@@ -43,11 +43,11 @@ def test_dimension_refresh_per_batch(spark):
     snap = DimensionSnapshot(lambda s: invert_groups(s.read.parquet(dim_path), "area", "countries",
                                                      member="country"))
     write = enrich_per_batch(snap, f"{root}/out", "data", ["dt"], "countryCode", "country", "area")
-    msg = spark.createDataFrame([("d", "TW", [("s1", 0.5, "A")])],
+    msg = spark.createDataFrame([("d", "NO", [("ferry", 9.5, "late")])],
                                 "dt string, countryCode string, data array<struct<type:string,score:double,level:string>>")
-    publish([("east", "TW,HK")])
+    publish([("east", "NO,SE")])
     write(msg, 0)
-    publish([("west", "TW")])                      # replaced between batches
+    publish([("west", "NO")])                      # replaced between batches
     write(msg, 1)
     publish([])                                    # an empty snapshot is ignored
     write(msg, 2)
