@@ -6,8 +6,9 @@ order (the last 1 to ``ORDERS`` bytes) gives the stretched probability of a deci
 from the counts of its context, exact counts over all training texts; a gate (the
 longest context seen, how often, whether it always went one way, and which bit)
 picks the weights that mix them; an adaptive map per gate refines the mixed
-probability. Weights and maps learn online, decision by decision, from training
-occurrences drawn at random (``FIT_SYMBOLS`` of them), each left out of its own counts.
+probability. Weights and maps are those of least loss over all training occurrences,
+each left out of its own counts; they are found in Newton steps, one pass over the
+distinct windows each.
 
 A context reaches at most two bytes into the word before, and only from a word's
 first three bytes. So a text's probability is a sum over its words and its pairs
@@ -28,12 +29,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_folder, scratch_path, ship_package
@@ -45,8 +47,10 @@ ORDERS = 5
 SPACE, END = 0x20, 0x0A
 START_TAIL = END << 8 | END
 PRIOR = 0.4                    # added to both counts of a decision
-FIT_SYMBOLS = 60_000
 BUCKET_WINDOWS = 100_000
+CHUNK = 1_024                  # windows worked on at once, and per row of the table that the weights are learnt from
+PULL = 1.0                     # of weights and maps to where they start, in decisions
+MAX_PASSES, ENOUGH = 12, 1e-5  # learning ends when the next step would lower the loss by less than this share
 GATES = (ORDERS + 1) * 4 * 2 * 8
 KNOTS = np.linspace(0, 12, 25)
 
@@ -165,7 +169,10 @@ class _Block:
         unit_n = np.bincount(unit, np.concatenate(unit_n), len(units)).astype(np.int64)
         key1, word = later_windows(layout, at, size)
         key2, unit = head_windows(units)
-        keys, which = np.unique(np.concatenate((key1, key2)), return_inverse=True)
+        both = np.concatenate((key1, key2))
+        del key1, key2
+        keys, which = _numbered(both)
+        del both
         key_n = np.bincount(which, np.concatenate((word_n[word], unit_n[unit])).astype(float), len(keys)).astype(np.int64)
         planes = ids.view(np.uint8).reshape(-1, 4).T.tobytes()
         one = lambda x, t: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, t) if isinstance(x, np.ndarray) else x)
@@ -185,6 +192,14 @@ def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
         len(starts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(ASCII_LOWER[data[place]].tobytes()))
 
 
+def _numbered(values: np.ndarray, part: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values in order, place of every value among them), in less memory than ``np.unique`` takes for both."""
+    distinct, place = np.unique(values), np.empty(len(values), np.int32)
+    for a in range(0, len(values), part):
+        place[a:a + part] = np.searchsorted(distinct, values[a:a + part])
+    return distinct, place
+
+
 def _unpack(packed: bytes, n: int) -> np.ndarray:
     raw = np.frombuffer(pa.decompress(packed, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
     return np.ascontiguousarray(raw.reshape(4, n).T).view(np.uint32).ravel()
@@ -280,71 +295,151 @@ def start_weights() -> tuple[np.ndarray, np.ndarray]:
     return np.full((GATES, ORDERS), 0.3), np.tile(KNOTS, (GATES, 1))
 
 
-def fit(x: np.ndarray, gate: np.ndarray, weight: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and maps learnt online from windows drawn in proportion to ``weight``."""
+def weight_sums(x: np.ndarray, gate: np.ndarray, n: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Per gate the loss of ``weights`` over decisions [row, order], its gradient and the rows of its curvature's upper half."""
+    st = (x * weights[gate]).sum(axis=1)
+    p = 1 / (1 + np.exp(np.clip(st, -500, 500)))                     # of the bit not taken
+    slope, bend = -p * n, p * (1 - p) * n
+    parts = [np.logaddexp(0, -st) * n, *(slope * x[:, i] for i in range(ORDERS))]
+    parts += [bend * x[:, i] * x[:, j] for i in range(ORDERS) for j in range(i, ORDERS)]
+    return np.stack([np.bincount(gate, v, GATES) for v in parts], axis=1)
+
+
+def map_sums(x: np.ndarray, gate: np.ndarray, n: np.ndarray, weights: np.ndarray, maps: np.ndarray) -> np.ndarray:
+    """Per gate the loss of ``maps`` after mixing by ``weights``, its gradient, and its curvature's two diagonals."""
+    st = np.clip((x * weights[gate]).sum(axis=1), -12, 12)
+    refined, low, share = _refined(st, gate, maps)
+    p = 1 / (1 + np.exp(np.clip(refined, -500, 500)))
+    slope, bend = -p * n * np.sign(st), p * (1 - p) * n
+    k = len(KNOTS)
+    at = gate * k + low
+    cells = lambda here, above: (np.bincount(at, here, GATES * k) + np.bincount(at + 1, above, GATES * k)).reshape(GATES, k)
+    return np.concatenate((
+        np.bincount(gate, np.logaddexp(0, -refined) * n, GATES)[:, None], cells(slope * (1 - share), slope * share),
+        cells(bend * (1 - share) ** 2, bend * share ** 2), np.bincount(at, bend * share * (1 - share), GATES * k).reshape(GATES, k)), axis=1)
+
+
+def _curvature(sums: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros((GATES, size, size))
+    if size == ORDERS:
+        i, j = np.triu_indices(size)
+        out[:, i, j] = out[:, j, i] = sums[:, 1 + size:]
+    else:
+        i = np.arange(size)
+        out[:, i, i] = sums[:, 1 + size:1 + 2 * size]
+        out[:, i[:-1], i[1:]] = out[:, i[1:], i[:-1]] = sums[:, 1 + 2 * size:3 * size]
+    return out
+
+
+def _newton(start: np.ndarray, sums_at) -> np.ndarray:
+    """The parameters [gate, i] of least loss, drawn to ``start``, by damped Newton steps of every gate for itself.
+
+    ``sums_at(parameters)`` gives ``weight_sums`` or ``map_sums`` over all training
+    occurrences. A map's value at an even chance stays 0.
+    """
+    size, free = start.shape[1], np.ones(start.shape[1])
+    if size != ORDERS:
+        free[0] = 0
+    at, best, least = start, start.copy(), np.full(GATES, np.inf)
+    step, hope, rate = np.zeros_like(start), np.zeros(GATES), np.ones(GATES)
+    for _ in range(MAX_PASSES):
+        sums = sums_at(at)
+        loss = sums[:, 0] + PULL / 2 * ((at - start) ** 2).sum(axis=1)
+        better = loss <= least
+        best[better], least[better], rate[better] = at[better], loss[better], 1
+        rate[~better] /= 4                               # the step went too far
+        slope = (sums[:, 1:1 + size] + PULL * (at - start)) * free
+        bend = _curvature(sums, size) * free[:, None] * free + PULL * np.eye(size)
+        whole = np.linalg.solve(bend, slope[..., None])[..., 0]
+        step[better], hope[better] = whole[better], (slope * whole).sum(axis=1)[better] / 2
+        if hope.sum() <= ENOUGH * least.sum():
+            break
+        at = best - rate[:, None] * step
+    return np.round(best, 6)                             # the order of sums leaves no trace
+
+
+def _fitted(sums_over) -> tuple[np.ndarray, np.ndarray]:
+    """Weights, then maps; ``sums_over(f)`` adds up ``f(x, gate, n)`` over all training decisions."""
     weights, maps = start_weights()
-    if not len(x):
-        return weights, maps
-    rng = np.random.default_rng(seed)
-    draw = rng.choice(len(x), size=2 * FIT_SYMBOLS, p=weight / weight.sum())
-    power, map_power = np.full(weights.shape, 1e-2), np.full(maps.shape, 1e-2)
-    for a in range(0, len(draw), 128):
-        xs, g = x[draw[a:a + 128]].reshape(-1, ORDERS), gate[draw[a:a + 128]].ravel()
-        st = np.clip((xs * weights[g]).sum(axis=1), -12, 12)
-        error = 1 / (1 + np.exp(st))
-        step = np.zeros_like(weights)
-        np.add.at(step, g, error[:, None] * xs)
-        power += step * step
-        weights += 0.05 * step / np.sqrt(power)
-        refined, low, share = _refined(st, g, maps)
-        error = np.sign(st) / (1 + np.exp(refined))
-        step = np.zeros_like(maps)
-        np.add.at(step, (g, low), error * (1 - share))
-        np.add.at(step, (g, low + 1), error * share)
-        step[:, 0] = 0                                   # an even chance stays one
-        map_power += step * step
-        maps += 0.05 * step / np.sqrt(map_power)
-    return weights, maps
+    weights = _newton(weights, lambda w: sums_over(lambda x, g, n: weight_sums(x, g, n, w)))
+    return weights, _newton(maps, lambda m: sums_over(lambda x, g, n: map_sums(x, g, n, weights, m)))
+
+
+def fit(x: np.ndarray, gate: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and maps of least loss over the given windows, each ``weight`` times."""
+    return _fitted(lambda f: f(x.reshape(-1, ORDERS).astype(float), gate.ravel(), np.repeat(weight, 8).astype(float)))
 
 
 def _bucket(n: int) -> Column:
     return F.pmod(F.xxhash64(F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))), F.lit(n))
 
 
-def _learn(windows: DataFrame, n_buckets: int, first: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and maps from about ``FIT_SYMBOLS`` training occurrences, each left out of its counts."""
-    rate = FIT_SYMBOLS / max(1, symbols)
+@contextmanager
+def _few_rows_at_once(spark: SparkSession) -> Iterator[None]:
+    """Reads and Arrow batches of few rows, for tables whose rows are some 200 KB each."""
+    small = {"spark.sql.parquet.columnarReaderBatchSize": "16", "spark.sql.execution.arrow.maxRecordsPerBatch": "16"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
-    def features(group: pd.DataFrame) -> pd.DataFrame:
-        keys, n = group["key"].to_numpy(), group["n"].to_numpy()
-        chance = np.minimum(1.0, n * rate)
-        pick = group["u"].to_numpy() < chance
-        x, gate = inputs(np.maximum(path_counts(keys, n, first)[:, :, pick] - 1, 0))
-        return pd.DataFrame({"key": keys[pick], "weight": n[pick] / chance[pick],
-                             "x": [r.astype(np.float32).tobytes() for r in x], "gate": [r.astype(np.int32).tobytes() for r in gate]})
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [b for b in batches if len(b)]
-        if rows:
-            t = pd.concat(rows).sort_values("key")
-            x = np.frombuffer(b"".join(t["x"]), np.float32).reshape(-1, 8, ORDERS).astype(float)
-            got = fit(x, np.frombuffer(b"".join(t["gate"]), np.int32).reshape(-1, 8), t["weight"].to_numpy())
-        else:
-            got = start_weights()
-        yield pd.DataFrame({"weights": [got[0].tobytes()], "maps": [got[1].tobytes()]})
+def _learn(windows: DataFrame, n_buckets: int, first: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and maps from every training occurrence, each left out of its counts.
 
-    u = F.pmod(F.xxhash64("key", F.lit("fit")), F.lit(1 << 30)) / (1 << 30)
-    drawn = (windows.withColumn("u", u).withColumn("bucket", _bucket(n_buckets)).groupBy("bucket")
-             .applyInPandas(features, "key bigint, weight double, x binary, gate binary"))
-    got = drawn.repartition(1).mapInPandas(learn, "weights binary, maps binary").first()
-    return (np.frombuffer(got["weights"], float).reshape(GATES, ORDERS), np.frombuffer(got["maps"], float).reshape(GATES, -1))
+    Equal occurrences share one row of the table written at ``path``, weighted by their
+    number; every pass sums a few figures per gate over its parts, and Spark adds those up.
+    """
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(list(batches))
+        keys, n = group.column("key").to_numpy(), group.column("n").to_numpy()
+        by = np.argsort(keys)
+        keys, n = keys[by], n[by]
+        counts = path_counts(keys, n, first)
+        for a in range(0, len(keys), CHUNK):
+            x, gate = inputs(np.maximum(counts[:, :, a:a + CHUNK] - 1, 0))
+            row = x.astype(np.float32), gate.astype(np.int16), n[a:a + CHUNK].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in row], ["x", "gate", "n"])
+
+    table = written_alone(windows.where("n > 0").withColumn("bucket", _bucket(n_buckets)).groupBy("bucket").applyInArrow(
+        features, "x binary, gate binary, n binary"), path)
+
+    def sums_over(f) -> np.ndarray:
+        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                for x, gate, n in zip(*batch.columns):
+                    part = f(np.frombuffer(x.as_buffer(), np.float32).reshape(-1, ORDERS).astype(float),
+                             np.frombuffer(gate.as_buffer(), np.int16).astype(np.int64),
+                             np.repeat(np.frombuffer(n.as_buffer(), np.int64).astype(float), 8))
+                    total = part if total is None else total + part
+            pa.default_memory_pool().release_unused()
+            if total is not None:
+                some = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total.ravel()[some])], ["cell", "value"])
+
+        # At most one row per gate and figure comes back, however many windows there are.
+        with _few_rows_at_once(windows.sparkSession):
+            got = table.mapInArrow(add_up, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
+        out = f(np.zeros((0, ORDERS)), np.zeros(0, np.int64), np.zeros(0)).astype(float)     # bincount of nothing is whole numbers
+        out.ravel()[got.column("cell").to_numpy()] = got.column("value").to_numpy()
+        return out
+
+    return _fitted(sums_over)
 
 
 def _prices(windows: DataFrame, n_buckets: int, first: np.ndarray, weights: np.ndarray, maps: np.ndarray) -> DataFrame:
     def price(group: pd.DataFrame) -> pd.DataFrame:
         keys = group["key"].to_numpy()
-        x, gate = inputs(path_counts(keys, group["n"].to_numpy(), first))
-        return pd.DataFrame({"key": keys, "value": log10_taken(x, gate, weights, maps).sum(axis=1)})
+        counts = path_counts(keys, group["n"].to_numpy(), first)
+        value = np.empty(len(keys))
+        for a in range(0, len(keys), CHUNK):
+            value[a:a + CHUNK] = log10_taken(*inputs(counts[:, :, a:a + CHUNK]), weights, maps).sum(axis=1)
+        return pd.DataFrame({"key": keys, "value": value})
 
     return (windows.withColumn("bucket", _bucket(n_buckets)).groupBy("bucket")
             .applyInPandas(price, "key bigint, value float"))
@@ -366,12 +461,15 @@ def _summed(id_type: pa.DataType, n_train: int, n_words: int):
         units = np.unique(np.concatenate([np.unique(units_of(ids[x:y], sizes[i:j], head, tail)[0]) for i, j, x, y in spans]))
         key1, word = later_windows(layout, at, size)
         key2, unit = head_windows(units)
-        keys, which = np.unique(np.concatenate((key1, key2)), return_inverse=True)       # in the order they were asked in
+        both = np.concatenate((key1, key2))
+        del key1, key2, layout
+        which = _numbered(both)[1]                           # in the order they were asked in
+        del both
         count = np.frombuffer(answers.column("counts")[0].as_py(), np.int64)
         price = np.frombuffer(answers.column("prices")[0].as_py(), np.float32).astype(float)
-        del keys
         later = np.bincount(word, price[which[:len(word)]], len(words))
         heads = np.bincount(unit, price[which[len(word):]], len(units))
+        del which, word, unit
         ends, rate = float(row["ends"][0].as_py()), np.log10((count + 0.1) / floor)
         of_word = np.stack((later, rate, (count > 0).astype(float), size + 1.0))
         sums = np.empty((4, len(sizes)))
@@ -381,6 +479,7 @@ def _summed(id_type: pa.DataType, n_train: int, n_words: int):
                 sums[k, i:j] = np.bincount(owner, of_word[k][ids[x:y]], j - i)
             asked_units, text = units_of(ids[x:y], sizes[i:j], head, tail)
             sums[0, i:j] += np.bincount(text, heads[np.searchsorted(units, asked_units)], j - i)
+        pa.default_memory_pool().release_unused()
         return pa.table({
             "doc_id": values("doc_ids").cast(id_type), "train": pa.array(train), "n_tokens": pa.array(sizes + 1, pa.int64()),
             "n_known": pa.array(sums[2].astype(np.int64) + (ends > 0)), "train_tokens": pa.array(np.full(len(sizes), n_train, np.int64)),
@@ -419,7 +518,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
 
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType
     ship_package(spark)
-    path = {k: scratch_path(spark, f"lm-{k}") for k in ("blocks", "words", "windows", "prices", "priced", "answers")}
+    path = {k: scratch_path(spark, f"lm-{k}") for k in ("blocks", "words", "windows", "features", "prices", "priced", "answers")}
     table = written_alone(blocks(docs, train), path["blocks"])
 
     # How often every word and the end occur in training texts.
@@ -438,13 +537,14 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     windows = written_alone(table.select(F.explode(F.arrays_zip("keys", "key_n")).alias("k")).groupBy(
         F.col("k.keys").alias("key")).agg(F.sum("k.key_n").alias("n")), path["windows"])
     first = np.zeros(1 << 16, np.int64)
-    symbols, rows = 0, 0
+    rows = 0
     for r in windows.groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("pair")).agg(
             F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect():          # at most 65,536 rows
         first[r["pair"]] = r["n"]
-        symbols, rows = symbols + r["n"], rows + r["rows"]
+        rows += r["rows"]
     n_buckets = max(1, math.ceil(rows / BUCKET_WINDOWS))
-    weights, maps = _learn(windows, n_buckets, first, symbols)
+    weights, maps = _learn(windows, n_buckets, first, path["features"])
+    drop_folder(spark, path["features"])
     prices = written_alone(_prices(windows, n_buckets, first, weights, maps), path["prices"])
     priced = written_alone(table.select("block", F.posexplode("keys").alias("place", "key")).join(prices, "key").select(
         "block", "place", "value"), path["priced"])

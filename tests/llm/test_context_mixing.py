@@ -152,3 +152,28 @@ def test_fitting_lowers_the_loss():
     x, gate = cm.inputs(np.maximum(cm.path_counts(keys, n, first) - 1, 0))
     loss = lambda w: -(cm.log10_taken(x, gate, *w).sum(axis=1) * n).sum() / n.sum()
     assert loss(cm.fit(x, gate, n.astype(float))) < 0.9 * loss(cm.start_weights())
+
+
+def test_rare_windows_are_learnt_from():
+    x, gate = np.ones((2, 8, cm.ORDERS)), np.arange(16).reshape(2, 8)
+    weights, maps = cm.fit(x, gate, np.array([1e12, 50.0]))
+    assert (weights[8:16] > 0.35).all()                # no draw in proportion to the weights meets the second window
+    assert (weights[16:] == 0.3).all() and (maps[16:] == cm.KNOTS).all()
+
+
+def test_learning_takes_every_training_occurrence(spark, tmp_path):
+    text = "the cat sat on the mat and the dog ran to the cat by the red barn " * 5_000 + "a quick fox, once"
+    count = Counter(windows(text))
+    keys = np.array([int.from_bytes(c, "big") << 8 | b for c, b in count])
+    n = np.array(list(count.values()))
+    assert n.sum() > 300_000
+    first = np.bincount(keys & 0xFFFF, n, 1 << 16).astype(np.int64)
+    rows = [*zip(keys.tolist(), n.tolist()), (7, 0)]                    # a window of no training text
+    table = spark.createDataFrame(rows, "key bigint, n bigint").repartition(3)
+    got = cm._learn(table, 4, first, str(tmp_path / "features"))
+    x, gate = cm.inputs(np.maximum(cm.path_counts(keys, n, first) - 1, 0))
+    want = cm.fit(x.astype(np.float32), gate, n)
+    assert all(np.allclose(g, w, atol=3e-6) for g, w in zip(got, want))
+    slope = cm.weight_sums(x.reshape(-1, cm.ORDERS), gate.ravel(), np.repeat(n, 8), got[0])[:, 1:1 + cm.ORDERS] + cm.PULL * (got[0] - 0.3)
+    before = cm.weight_sums(x.reshape(-1, cm.ORDERS), gate.ravel(), np.repeat(n, 8), cm.start_weights()[0])[:, 1:1 + cm.ORDERS]
+    assert np.abs(slope).sum() < 0.02 * np.abs(before).sum()            # at the least loss over all occurrences
