@@ -6,7 +6,7 @@ from eventide.plans import cdc, etl, hot, patterns, streams
 from eventide.session import scratch_path
 from eventide.streaming.patterns import adjacent_change_per_batch, followed_by_per_batch
 from eventide.streaming.enrich import DimensionSnapshot, enrich_per_batch
-from eventide.streaming.runner import run_stream
+from eventide.streaming.runner import run_stream, stage_by_count
 from eventide.streaming.upsert import append_changes, stream_changes, upsert_per_batch
 
 SF = "/root/testdata/sf0.001"
@@ -318,3 +318,33 @@ def test_last_events_write_their_own_buckets_only(spark):
     again(spark.createDataFrame([(99_999, 10**9, 77)], "k bigint, seq bigint, v bigint"), 9)
     last = spark.read.parquet(f"{root}/out/batch=9").collect()
     assert [(r.k, r.v, r.prev_seq) for r in last] == [(99_999, 77, 99_999)]
+
+
+def test_window_state_of_a_slice_is_bounded(spark, monkeypatch):
+    """More rows are more slices: no micro-batch holds more window state for a larger table, results stay."""
+    monkeypatch.setattr(streams, "WINDOW_ROWS", 300)
+    root = scratch_path(spark, "t-slices")
+    started = {}
+    monkeypatch.setattr(streams, "_replay", lambda s, start: started.update(q=start()) or started["q"].awaitTermination())
+    monkeypatch.setattr(streams, "scratch_path", lambda s, name: root)
+    with streams.state_partitions(spark):
+        assert rows(streams.stream_hot_urls_top5(spark, SF)) == rows(hot.hot_urls_top5(spark, SF))
+    state = [op["numRowsTotal"] for p in started["q"].recentProgress for op in p["stateOperators"]]
+    clicks = spark.read.parquet(f"{SF}/events.parquet").where("event_type = 'click'").count()
+    assert 0 < max(state) < clicks * 120 / 7
+
+
+def test_slices_of_equal_rows(spark):
+    """Cut by count: a time held by many rows stays whole, rows without a time come first, every row once."""
+    path = scratch_path(spark, "t-equal")
+    df = spark.range(1000).selectExpr(
+        "id", "CASE WHEN id % 10 = 9 THEN NULL WHEN id < 900 THEN timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,id div 100) "
+        "ELSE timestamp_ntz'2999-01-01' END AS ts")
+    assert stage_by_count(df, "ts", path, 8, 2) == 2
+    files = spark.read.parquet(path).selectExpr("id", "ts", "_metadata.file_path AS f", "_metadata.file_modification_time AS m")
+    assert sorted(r["id"] for r in files.collect()) == list(range(1000))
+    assert files.where("ts IS NOT NULL").groupBy("ts").agg(F.countDistinct("f").alias("k")).agg(F.max("k")).first()[0] <= 2
+    per = [r["n"] for r in files.groupBy("f").agg(F.count("*").alias("n")).collect()]
+    assert len(per) % 2 == 0 and len(per) >= 12 and max(per) <= 200
+    lo, hi = files.where("ts IS NULL").agg(F.max("m")).first()[0], files.where("ts = timestamp_ntz'2999-01-01'").agg(F.min("m")).first()[0]
+    assert lo <= hi
