@@ -1,11 +1,11 @@
-"""Repeated ids under near-dedup, and personal data among many numbers."""
+"""Repeated ids under near-dedup, personal data among many numbers, and Python workers a task."""
 
 import random
 import time
 
 from pyspark.sql import functions as F
 
-from eventide.llm import near_dedup, pii
+from eventide.llm import bpe, near_dedup, pii, queries
 
 
 def test_near_duplicates_of_repeated_ids(spark):
@@ -45,3 +45,13 @@ def test_a_text_of_addresses_takes_time_in_proportion():
         return time.process_time() - start
 
     assert took(2000) < 3 * took(1000)              # four times it, when every candidate met every span
+
+
+def test_token_digest_takes_one_python_worker_a_task(spark, capsys):
+    df = spark.createDataFrame([(1, "One fish, two fish"), (1, "One fish, two fish"), (None, "größe 漢字 \t\n x"), (3, None), (4, "")],
+                               "doc_id bigint, text string")
+    path, pattern = queries.tokenizer()
+    queries.token_digest(df, path, pattern).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1     # a worker each for encode and decode before
+    rows = [sorted(map(str, d.collect())) for d in (bpe.round_trip(df, path, pattern), bpe.decode(bpe.encode(df, path, pattern), path, pattern))]
+    assert rows[0] == rows[1] and len(rows[0]) == 5
