@@ -1,11 +1,13 @@
-"""Repeated ids under near-dedup, personal data among many numbers, and Python workers a task."""
+"""Repeated ids under near-dedup, personal data among many numbers, Python workers a task, and tables through the driver."""
 
+import functools
+import hashlib
 import random
 import time
 
 from pyspark.sql import functions as F
 
-from eventide.llm import bpe, near_dedup, pii, queries
+from eventide.llm import bpe, common, near_dedup, pii, queries, sharding
 
 
 def test_near_duplicates_of_repeated_ids(spark):
@@ -55,3 +57,28 @@ def test_token_digest_takes_one_python_worker_a_task(spark, capsys):
     assert capsys.readouterr().out.count("MapInArrow") == 1     # a worker each for encode and decode before
     rows = [sorted(map(str, d.collect())) for d in (bpe.round_trip(df, path, pattern), bpe.decode(bpe.encode(df, path, pattern), path, pattern))]
     assert rows[0] == rows[1] and len(rows[0]) == 5
+
+
+def _split(rows, limit, shard=""):
+    """(doc_id, bytes, shard, depth, shard_bytes, oversize) of (doc_id, key bits, bytes), a bit at a time."""
+    size = sum(r[2] for r in rows)
+    if size <= limit or len(shard) == 60:
+        return [(d, n, shard, len(shard), size, size > limit) for d, _, n in rows]
+    return [x for bit in "01" if (half := [r for r in rows if r[1][len(shard)] == bit]) for x in _split(half, limit, shard + bit)]
+
+
+def test_tables_of_the_shards_do_not_pass_the_driver(spark, monkeypatch):
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(sharding, "written", lambda df, name: common.written(seen(df), name))
+    monkeypatch.setattr(sharding, "join_small", functools.partial(common.join_small, max_rows=0))    # as beyond its rows
+    rows = [(i, "x" * (i % 90)) for i in range(400)] + [(7, "é" * 40)] * 9 + [(None, "z" * 500), (None, None), (None, "")]
+    got = seen(sharding.shards(spark.createDataFrame(rows, "doc_id bigint, text string"), 300)).collect()
+    assert len(plans) > 6 and not any("Broadcast" in p for p in plans)      # Spark went by the size of small files before
+    name = lambda d, t: f"text:{t or ''}" if d is None else str(d)
+    keyed = [(d, f"{int(hashlib.md5(name(d, t).encode()).hexdigest()[:15], 16):060b}", len((t or "").encode())) for d, t in rows]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, _split(keyed, 300)))
